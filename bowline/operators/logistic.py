@@ -181,8 +181,8 @@ def gradient_step(W: DataFrame, train: FeatureSplit, k: int, eta: float, lam: fl
 
 def normalize_weights(W: DataFrame, k: int) -> DataFrame:
     """W / sum |W| over the whole matrix (A8); an all-zero W is unchanged."""
-    total = W.agg(sum((F.abs(F.col(f"w_{j}")) for j in range(1, k + 1)), F.lit(0.0)).alias("_s")) \
-             .select(F.sum("_s").alias("s")).first()["s"] or 0.0
+    row_abs = sum((F.abs(F.col(f"w_{j}")) for j in range(1, k + 1)), F.lit(0.0))
+    total = W.select(row_abs.alias("_s")).agg(F.sum("_s").alias("s")).first()["s"] or 0.0
     if total == 0.0:
         return W
     return W.select("term", *[(F.col(f"w_{j}") / F.lit(total)).alias(f"w_{j}") for j in range(1, k + 1)])
