@@ -16,11 +16,15 @@ def class_cols(prefix: str, k: int) -> list[str]:
     return [f"{prefix}_{j}" for j in range(1, k + 1)]
 
 
-def words_per_class_wide(train: Corpus, k: int) -> DataFrame:
-    """(term, c_1..c_k): training token counts per class, one row per term seen
-    in a labelled training document. One hash aggregate, partial before the
-    shuffle on ``term``."""
-    cells = train.labelled().cells()
+def words_per_class_wide(train: Corpus, k: int, extra_vocab=()) -> DataFrame:
+    """(term, c_1..c_k): training token counts per class, one row per term of
+    the shared vocabulary (training terms plus the terms of ``extra_vocab``
+    corpora, which count towards no class). One hash aggregate, partial before
+    the shuffle on ``term``."""
+    cells = train.cells()
+    for extra in extra_vocab:
+        cells = cells.unionByName(extra.cells().select(
+            "doc_id", F.lit(None).cast("int").alias("class_id"), "term", F.lit(0).cast("bigint").alias("cnt")))
     return cells.groupBy("term").agg(
         *[F.sum(F.when(F.col("class_id") == F.lit(j), F.col("cnt")).otherwise(F.lit(0))).cast("bigint")
           .alias(f"c_{j}") for j in range(1, k + 1)])
@@ -54,10 +58,21 @@ class ClassStats:
         return sum(self.n_words)
 
 
-def collect_class_stats(train: Corpus, classes: ClassSet) -> ClassStats:
-    rows = {r["class_id"]: r for r in class_totals(train).collect()}
-    n_docs = tuple(int(rows[j]["n_docs"]) if j in rows else 0 for j in range(1, classes.k + 1))
-    n_words = tuple(int(rows[j]["n_words"] or 0) if j in rows else 0 for j in range(1, classes.k + 1))
+def collect_class_stats(train: Corpus, classes: ClassSet, counts: DataFrame | None = None) -> ClassStats:
+    """n_docs per class from the document rows (no text read); n_words from
+    the (persisted) wide counts table when given."""
+    k = classes.k
+    if counts is None:
+        rows = {r["class_id"]: r for r in class_totals(train).collect()}
+        n_docs = tuple(int(rows[j]["n_docs"]) if j in rows else 0 for j in range(1, k + 1))
+        n_words = tuple(int(rows[j]["n_words"] or 0) if j in rows else 0 for j in range(1, k + 1))
+        return ClassStats(n_docs, n_words)
+    nd = {r["class_id"]: int(r["n"]) for r in
+          train.rows().where(F.col("class_id").isNotNull()).groupBy("class_id")
+               .agg(F.count(F.lit(1)).alias("n")).collect()}
+    w = counts.agg(*[F.sum(f"c_{j}").alias(f"c_{j}") for j in range(1, k + 1)]).first()
+    n_docs = tuple(nd.get(j, 0) for j in range(1, k + 1))
+    n_words = tuple(int(w[f"c_{j}"] or 0) for j in range(1, k + 1))
     return ClassStats(n_docs, n_words)
 
 

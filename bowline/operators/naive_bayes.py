@@ -84,16 +84,18 @@ class NaiveBayesModel:
             "class_id", "term", "log_likelihood", "log_prior")
 
 
-def nb_fit(train: Corpus, classes: ClassSet, vocab_size: int | None = None,
+def nb_fit(train: Corpus, classes: ClassSet, extra_vocab=(), vocab_size: int | None = None,
            beta: float | None = None) -> NaiveBayesModel:
     """Fit on the labelled rows of ``train``.
 
-    ``vocab_size`` is V of the shared vocabulary; default = distinct training
-    terms. ``beta`` defaults to 1 / V.
+    The shared vocabulary is every term of ``train`` and of the ``extra_vocab``
+    corpora (e.g. the documents to classify); it is built in the same single
+    counting pass, and V = its size unless ``vocab_size`` is given.
+    ``beta`` defaults to 1 / V.
     """
-    counts = persist(words_per_class_wide(train, classes.k))
+    counts = persist(words_per_class_wide(train, classes.k, extra_vocab))
     n_terms = counts.count()
-    stats = collect_class_stats(train, classes)
+    stats = collect_class_stats(train, classes, counts)
     v = vocab_size if vocab_size is not None else n_terms
     b = beta if beta is not None else 1.0 / v
     if b <= 0:

@@ -10,7 +10,8 @@ from bowline.operators.counts import frequency_outlier_bounds
 from bowline.operators.naive_bayes import NaiveBayesModel
 
 
-def word_scores(model: NaiveBayesModel, vocab: DataFrame, include_last_class: bool = False) -> DataFrame:
+def word_scores(model: NaiveBayesModel, vocab: DataFrame | None = None,
+                include_last_class: bool = False) -> DataFrame:
     """(term, entropy_sum) for every vocabulary term.
 
     Filtered count f[y,t] = c[y,t] when the term's corpus total lies within
@@ -25,7 +26,9 @@ def word_scores(model: NaiveBayesModel, vocab: DataFrame, include_last_class: bo
     upto = k if include_last_class else k - 1
     tot = sum((F.col(f"c_{j}") for j in range(1, k + 1)), F.lit(0))
     kept = (tot >= F.lit(bounds.low)) & (tot <= F.lit(bounds.high))
-    filled = vocab.join(model.counts, "term", "left").select(
+    # the model's counts already hold every vocabulary term; ``vocab`` adds more
+    base = model.counts if vocab is None else vocab.join(model.counts, "term", "left")
+    filled = base.select(
         "term", *[F.coalesce(F.col(f"c_{j}"), F.lit(0)).alias(f"c_{j}") for j in range(1, k + 1)])
     terms = []
     for j in range(1, upto + 1):
@@ -36,7 +39,7 @@ def word_scores(model: NaiveBayesModel, vocab: DataFrame, include_last_class: bo
     return filled.select("term", total.alias("entropy_sum"))
 
 
-def word_ranking(model: NaiveBayesModel, vocab: DataFrame, num_words: int = 100,
+def word_ranking(model: NaiveBayesModel, vocab: DataFrame | None = None, num_words: int = 100,
                  include_last_class: bool = False, digits: int = 9) -> DataFrame:
     """Top ``num_words`` terms by ascending entropy sum (ties: term), as
     (rank, term, score) with score = -entropy_sum (the printed value).

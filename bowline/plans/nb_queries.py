@@ -79,8 +79,7 @@ def q_nb_fit(spark, sf_dir) -> DataFrame:
     """Dense k x V log2 likelihoods (+ log prior) fitted on the training split."""
     w = _w(spark, sf_dir)
     model = w.nb_model(FIT_LABEL, part="train")
-    vocab = w.corpus(None).vocabulary()
-    return model.log_likelihood_long(vocab).select(
+    return model.log_likelihood_long().select(
         "class_id", "term", F.round("log_likelihood", 9).alias("log_likelihood"),
         F.round("log_prior", 9).alias("log_prior"))
 
@@ -140,7 +139,7 @@ def q_prediction_counts(spark, sf_dir) -> DataFrame:
 def q_word_ranking(spark, sf_dir) -> DataFrame:
     w = _w(spark, sf_dir)
     model = w.nb_model(EVAL_LABEL, part="all")
-    ranking = R.word_ranking(model, w.corpus(None).vocabulary(), 100)
+    ranking = R.word_ranking(model, None, 100)
     return ranking.select("rank", "term", F.round("score", 9).alias("score"))
 
 

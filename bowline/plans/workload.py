@@ -72,9 +72,17 @@ class Workload:
         return self._memo("V", lambda: vocabulary_size(self.corpus(None)))
 
     def nb_model(self, label: str, part: str = "train", with_benchmark: bool = False) -> NaiveBayesModel:
+        """Fitted on the training split (``part='train'``, vocabulary = all
+        documents) or on all documents (vocabulary = documents, plus the
+        benchmark items with ``with_benchmark``)."""
         def fit():
-            data = self.train(label) if part == "train" else self.corpus(label)
-            return nb_fit(data, self.classes(label), self.vocab_size(with_benchmark))
+            if part == "train":
+                data, extra = self.train(label), [self.validation(label)]
+            else:
+                data, extra = self.corpus(label), []
+            if with_benchmark:
+                extra.append(self.benchmark())
+            return nb_fit(data, self.classes(label), extra)
         return self._memo(("nb", label, part, with_benchmark), fit)
 
     def features(self, part: str, normalize: bool) -> lr.FeatureSplit:

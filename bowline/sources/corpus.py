@@ -21,12 +21,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def term_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, term, cnt) for every distinct token of every document.
 
-    explode -> hash aggregate on (doc_id, term); the partial aggregate runs
-    before the shuffle, so only one row per (document, term) is exchanged.
+    The raw rows are hash-partitioned by doc_id (one shuffle of the text, which
+    is more compact than the count rows); explode and the (doc_id, term) hash
+    aggregate then run inside each partition with no further exchange.
     """
-    return (df.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text_col)).alias("term"))
-              .groupBy("doc_id", "term")
-              .agg(F.count(F.lit(1)).alias("cnt")))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(p, "doc_id")
+                .select("doc_id", F.explode(tokens("text")).alias("term"))
+                .groupBy("doc_id", "term")
+                .agg(F.count(F.lit(1)).alias("cnt")))
 
 
 @dataclass(frozen=True)
@@ -93,6 +97,9 @@ class Corpus:
     def docs(self) -> DataFrame:  # (doc_id, class_id, n_tokens)
         raise NotImplementedError
 
+    def rows(self) -> DataFrame:  # (doc_id, class_id) - no text is read
+        raise NotImplementedError
+
     def where(self, cond: Column) -> "Corpus":
         raise NotImplementedError
 
@@ -126,6 +133,9 @@ class TextCorpus(Corpus):
     def docs(self) -> DataFrame:
         return self.frame.select("doc_id", "class_id", F.size("toks").cast("bigint").alias("n_tokens"))
 
+    def rows(self) -> DataFrame:
+        return self.frame.select("doc_id", "class_id")
+
     def cells(self) -> DataFrame:
         return self.frame.select("doc_id", "class_id", F.explode("toks").alias("term"),
                                  F.lit(1).cast("bigint").alias("cnt"))
@@ -145,22 +155,25 @@ class CellCorpus(Corpus):
     and rows (doc_id, class_id) listing every document."""
 
     cell_frame: DataFrame
-    rows: DataFrame
+    row_frame: DataFrame
 
     def where(self, cond: Column) -> "CellCorpus":
-        return CellCorpus(self.cell_frame.where(cond), self.rows.where(cond))
+        return CellCorpus(self.cell_frame.where(cond), self.row_frame.where(cond))
+
+    def rows(self) -> DataFrame:
+        return self.row_frame.select("doc_id", "class_id")
 
     def cells(self) -> DataFrame:
         return self.cell_frame.select("doc_id", "class_id", "term", F.col("cnt").cast("bigint").alias("cnt"))
 
     def scoring_cells(self) -> DataFrame:
-        empty = self.rows.select("doc_id", "class_id", F.lit(None).cast(self.cell_frame.schema["term"].dataType)
+        empty = self.row_frame.select("doc_id", "class_id", F.lit(None).cast(self.cell_frame.schema["term"].dataType)
                                  .alias("term"), F.lit(0).cast("bigint").alias("cnt"))
         return self.cells().unionByName(empty)
 
     def docs(self) -> DataFrame:
         lengths = self.cells().groupBy("doc_id").agg(F.sum("cnt").alias("n_tokens"))
-        return (self.rows.join(lengths, "doc_id", "left")
+        return (self.row_frame.join(lengths, "doc_id", "left")
                     .select("doc_id", "class_id", F.coalesce(F.col("n_tokens"), F.lit(0)).cast("bigint")
                             .alias("n_tokens")))
 
@@ -173,9 +186,22 @@ def corpus_from_table(df: DataFrame, classes: ClassSet | None = None,
         class_id = classes.class_id(label_col)
     else:
         class_id = F.lit(None).cast("int")
-    frame = df.select(
-        F.col(id_col).cast("bigint").alias("doc_id"),
-        class_id.alias("class_id"),
-        tokens(text_col).alias("toks"),
-    )
-    return TextCorpus(frame)
+    base = df.select(F.col(id_col).cast("bigint").alias("doc_id"), class_id.alias("class_id"),
+                     F.col(text_col).alias("_text"))
+    base = balance(base)
+    return TextCorpus(base.select("doc_id", "class_id", tokens("_text").alias("toks")))
+
+
+def balance(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Hash-partition by ``key`` when the scan yields fewer partitions than the
+    session's shuffle parallelism (few large files / row groups).
+
+    Tokenising is CPU-bound, so an under-parallel scan starves the cores; the
+    hash layout also lets per-document aggregates run without another exchange.
+    Large inputs with many splits are left as they are (no extra shuffle).
+    """
+    spark = df.sparkSession
+    p = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() < p:
+        return df.repartition(p, key)
+    return df
