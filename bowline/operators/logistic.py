@@ -1,24 +1,28 @@
 """Multinomial logistic regression by full-batch gradient descent.
 
 Shapes (long/wide relational form of the reference's dense matrices):
-  x(doc_id, term, x)            feature cells of one split, nonzero only
-  rows(doc_id, class_id, bias)  one row per document of the split
+  x(doc_id, class_id, term, x)  feature cells of one split, nonzero only; the
+                                bias column is the cell term = '' present in
+                                every document
   W(term, w_1..w_k)             weights; the bias weights are the row term = ''
 
 Semantics:
-  z_j = b_j * bias + sum_t x[d,t] * w_j[t]     j < k;  the last class is pinned:
+  z_j = sum_t x[d,t] * w_j[t]     (bias included)   j < k;  the last class is pinned:
   e_j = exp(z_j), e_k = 1,  p_j = e_j / sum |e|
   W <- W + eta * ((Delta - P) X - lambda W)     (sums over documents; bias
                                                  penalised too; row k updated)
   normalize_X: every feature column (bias included, giving 1/m) is divided by
   its absolute sum within the split. normalize_W: W / sum |W| after each step.
 
-Layout: x and rows are checkpointed hash-partitioned by doc_id, so the score
-aggregate and the residual join need no exchange; a step shuffles only the
-per-term partial gradient sums. W is checkpointed every step (reliable
-checkpoint in the session's checkpoint folder) so lineage never grows, and is
-broadcast only when its computed size is under the limit - otherwise the score
-join is a shuffled join on term against a second copy of x partitioned by term.
+Layout: x is written once as a Parquet table bucketed by doc_id in the shared
+checkpoint folder. A step is: x join broadcast(W) -> aggregate by (doc_id,
+class_id) with no exchange -> residuals -> shuffled-hash join back to x on
+doc_id with no exchange -> per-term gradient (the one shuffle: partial sums)
+-> W update. W is checkpointed every step (reliable checkpoint in the session's
+checkpoint folder) so lineage never grows. W is broadcast only when its
+computed size is under the limit; otherwise the score join is a sort-merge join
+against a second copy of x bucketed by term (bias cells kept out of it, so the
+'' key is never a hot join key) and the per-document partial sums are shuffled.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +38,7 @@ from bowline.functions.numeric import argmax_1based, safe_div
 from bowline.operators.joins import wide_row_bytes
 from bowline.session import broadcast_limit_bytes
 from bowline.sources.corpus import Corpus
+from bowline.sources.tables import bucketed_table
 
 BIAS_TERM = ""
 
@@ -51,47 +57,53 @@ class Hyperparameters:
 
 @dataclass
 class FeatureSplit:
-    x: DataFrame        # (doc_id, term, x) checkpointed, partitioned by doc_id
-    rows: DataFrame     # (doc_id, class_id, bias) checkpointed, partitioned by doc_id
-    m: int
-    n_cells: int
+    x: DataFrame        # (doc_id, class_id, term, x) table bucketed by doc_id, bias cells included
+    m: int              # documents
+    n_cells: int        # rows of x
+    n_terms: int        # distinct terms of x, the bias term included
     x_by_term: DataFrame | None = None  # built on demand for the shuffled score join
 
+    def cells(self) -> DataFrame:
+        """Feature cells without the bias column."""
+        return self.x.where(F.col("term") != F.lit(BIAS_TERM))
+
 
 def build_features(corpus: Corpus, normalize: bool, partitions: int | None = None) -> FeatureSplit:
     """Feature cells of a split (L1, A7): counts, or counts divided by each
-    term's column sum within this split; bias 1 or 1/m."""
+    term's column sum within this split; bias 1 or 1/m.
+
+    The (doc, term) counts are persisted while the column sums and the bucketed
+    table are built from them, so the text is tokenised once.
+    """
     spark = corpus.spark
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows_raw = corpus.docs().select("doc_id", "class_id")
-    m = rows_raw.count()
-    # one shuffle of cells by doc_id; counting then needs no further exchange
-    tf = (corpus.cells().repartition(p, "doc_id")
-                .groupBy("doc_id", "term").agg(F.sum("cnt").cast("double").alias("cnt")))
+    rows = corpus.rows()
+    m = rows.count()
+    tf = (corpus.cells().groupBy("doc_id", "class_id", "term")
+                .agg(F.sum("cnt").cast("double").alias("cnt"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    bias = (1.0 / m if m else 1.0) if normalize else 1.0
     if normalize:
-        colsum = tf.groupBy("term").agg(F.sum(F.abs("cnt")).alias("colsum"))
-        n_terms = colsum.count()
-        if n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark):
-            x = tf.join(F.broadcast(colsum), "term").select(
-                "doc_id", "term", safe_div(F.col("cnt"), F.col("colsum")).alias("x"))
-        else:
-            x = (tf.join(colsum, "term")
-                   .select("doc_id", "term", safe_div(F.col("cnt"), F.col("colsum")).alias("x"))
-                   .repartition(p, "doc_id"))
-        bias = 1.0 / m if m else 1.0
+        colsum = tf.groupBy("term").agg(F.sum(F.abs("cnt")).alias("colsum")).persist(StorageLevel.MEMORY_AND_DISK)
+        n = colsum.count()
+        right = F.broadcast(colsum) if n * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else colsum
+        cells = tf.join(right, "term").select(
+            "doc_id", "class_id", "term", safe_div(F.col("cnt"), F.col("colsum")).alias("x"))
     else:
-        x = tf.select("doc_id", "term", F.col("cnt").alias("x"))
-        bias = 1.0
-    x = x.checkpoint(eager=True)
-    rows = (rows_raw.select("doc_id", "class_id", F.lit(bias).alias("bias"))
-                    .repartition(p, "doc_id").checkpoint(eager=True))
-    return FeatureSplit(x, rows, m, x.count())
+        colsum = None
+        cells = tf.select("doc_id", "class_id", "term", F.col("cnt").alias("x"))
+    bias_cells = rows.select("doc_id", "class_id", F.lit(BIAS_TERM).alias("term"), F.lit(bias).alias("x"))
+    x = bucketed_table(cells.unionByName(bias_cells), "doc_id", "x", p)
+    tf.unpersist()
+    if colsum is not None:
+        colsum.unpersist()
+    n_terms = x.select("term").distinct().count()
+    return FeatureSplit(x, m, x.count(), n_terms)
 
 
 def init_weights(train: FeatureSplit, k: int, random_initial: bool = False, seed: int = 42) -> DataFrame:
     """W over the training terms plus the bias row; zeros, or N(0, 0.005)."""
-    terms = train.x.select("term").distinct().unionByName(
-        train.x.sparkSession.range(1).select(F.lit(BIAS_TERM).alias("term")))
+    terms = train.x.select("term").distinct()
     if random_initial:
         cols = [(F.randn(seed + j) * F.lit(0.005)).alias(f"w_{j}") for j in range(1, k + 1)]
     else:
@@ -99,52 +111,58 @@ def init_weights(train: FeatureSplit, k: int, random_initial: bool = False, seed
     return terms.select("term", *cols).checkpoint(eager=True)
 
 
-def _bias_weights(W: DataFrame, k: int) -> list[float]:
-    row = W.where(F.col("term") == F.lit(BIAS_TERM)).select(*[f"w_{j}" for j in range(1, k + 1)]).first()
-    return [float(row[f"w_{j}"]) if row is not None else 0.0 for j in range(1, k + 1)]
-
-
-def _term_scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame:
-    """(doc_id, z_1..z_{k-1}) without the bias part."""
+def _scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame:
+    """(doc_id, class_id, z_1..z_{k-1}) for every document (each has a bias cell)."""
     spark = W.sparkSession
-    w_terms = W.where(F.col("term") != F.lit(BIAS_TERM)).select("term", *[f"w_{j}" for j in range(1, k)])
+    wcols = [f"w_{j}" for j in range(1, k)]
     aggs = [F.sum(F.col("x") * F.col(f"w_{j}")).alias(f"z_{j}") for j in range(1, k)]
+    if not aggs:
+        aggs = [F.count(F.lit(1)).alias("_n")]
     if w_rows * wide_row_bytes(k) <= broadcast_limit_bytes(spark):
-        joined = split.x.join(F.broadcast(w_terms), "term")
-    else:
-        if split.x_by_term is None:
-            p = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            split.x_by_term = split.x.repartition(p, "term").checkpoint(eager=True)
-        joined = split.x_by_term.join(w_terms, "term")
-    if k == 1:
-        return joined.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).select("doc_id")
-    return joined.groupBy("doc_id").agg(*aggs)
+        return split.x.join(F.broadcast(W.select("term", *wcols)), "term").groupBy("doc_id", "class_id").agg(*aggs)
+    # W too large to broadcast: term cells meet W in a sort-merge join on term;
+    # the bias part is added from the doc-bucketed cells with the bias weights
+    # (k numbers) as literals.
+    if split.x_by_term is None:
+        split.x_by_term = bucketed_table(split.cells(), "term", "x_by_term")
+    b = _bias_weights(W, k)
+    from_terms = split.x_by_term.join(W.select("term", *wcols).hint("merge"), "term").select(
+        "doc_id", "class_id", *[(F.col("x") * F.col(f"w_{j}")).alias(f"v_{j}") for j in range(1, k)])
+    from_bias = split.x.where(F.col("term") == F.lit(BIAS_TERM)).select(
+        "doc_id", "class_id", *[(F.col("x") * F.lit(b[j - 1])).alias(f"v_{j}") for j in range(1, k)])
+    return (from_terms.unionByName(from_bias).groupBy("doc_id", "class_id")
+                      .agg(*[F.sum(f"v_{j}").alias(f"z_{j}") for j in range(1, k)]))
+
+
+def _bias_weights(W: DataFrame, k: int) -> list[float]:
+    row = W.where(F.col("term") == F.lit(BIAS_TERM)).select(*[f"w_{j}" for j in range(1, k + 1)]).first()
+    return [float(row[f"w_{j}"]) if row is not None else 0.0 for j in range(1, k + 1)]
 
 
 def probabilities(W: DataFrame, split: FeatureSplit, k: int, stable: bool = False,
                   w_rows: int | None = None) -> DataFrame:
-    """(doc_id, class_id, p_1..p_k) for every document of the split (L2)."""
-    b = _bias_weights(W, k)
+    """(doc_id, class_id, p_1..p_k) for every document of the split (L2).
+
+    ``w_rows``: W's row count for the broadcast check (defaults to a count)."""
     w_rows = w_rows if w_rows is not None else W.count()
-    s = _term_scores(W, split, k, w_rows)
-    d = split.rows.join(s, "doc_id", "left")
-    z = [F.coalesce(F.col(f"z_{j}"), F.lit(0.0)) + F.lit(b[j - 1]) * F.col("bias") for j in range(1, k)]
+    s = _scores(W, split, k, w_rows)
+    z = [F.col(f"z_{j}") for j in range(1, k)]
     if stable:
-        top = F.greatest(*z, F.lit(0.0)) if z else F.lit(0.0)
+        top = F.greatest(*z, F.lit(0.0)) if len(z) > 1 else (F.greatest(z[0], F.lit(0.0)) if z else F.lit(0.0))
         e = [F.exp(zj - top) for zj in z] + [F.exp(-top)]
     else:
         e = [F.exp(zj) for zj in z] + [F.lit(1.0)]
-    d = d.select("doc_id", "class_id", "bias", *[ej.alias(f"e_{j}") for j, ej in enumerate(e, start=1)])
+    d = s.select("doc_id", "class_id", *[ej.alias(f"e_{j}") for j, ej in enumerate(e, start=1)])
     tot = sum((F.abs(F.col(f"e_{j}")) for j in range(1, k + 1)), F.lit(0.0))
-    d = d.select("doc_id", "class_id", "bias", *[f"e_{j}" for j in range(1, k + 1)], tot.alias("_tot"))
-    return d.select("doc_id", "class_id", "bias",
+    d = d.select("doc_id", "class_id", *[f"e_{j}" for j in range(1, k + 1)], tot.alias("_tot"))
+    return d.select("doc_id", "class_id",
                     *[F.when(F.col("_tot") == 0, F.col(f"e_{j}")).otherwise(F.col(f"e_{j}") / F.col("_tot"))
                       .alias(f"p_{j}") for j in range(1, k + 1)])
 
 
 def predictions(W: DataFrame, split: FeatureSplit, k: int, stable: bool = False) -> DataFrame:
     """(doc_id, class_id, predicted)."""
-    p = probabilities(W, split, k, stable)
+    p = probabilities(W, split, k, stable, split.n_terms)
     return p.select("doc_id", "class_id",
                     argmax_1based([F.col(f"p_{j}") for j in range(1, k + 1)]).alias("predicted"))
 
@@ -158,25 +176,29 @@ def accuracy(W: DataFrame, split: FeatureSplit, k: int, stable: bool = False) ->
 def gradient_step(W: DataFrame, train: FeatureSplit, k: int, eta: float, lam: float,
                   normalize_w: bool = False, stable: bool = False) -> DataFrame:
     """One full-batch step (L3); returns the new, checkpointed W."""
-    w_rows = W.count()
+    new = gradient_step_plan(W, train, k, eta, lam, stable).checkpoint(eager=True)
+    if normalize_w:
+        new = normalize_weights(new, k).checkpoint(eager=True)
+    return new
+
+
+def gradient_step_plan(W: DataFrame, train: FeatureSplit, k: int, eta: float, lam: float,
+                       stable: bool = False) -> DataFrame:
+    """The lazy plan of one step: scores -> residuals -> per-term gradient ->
+    updated W. W has one row per training term (bias included), so its row
+    count is known without a job."""
+    w_rows = train.n_terms
     p = probabilities(W, train, k, stable, w_rows)
-    r = p.select("doc_id", "bias",
+    r = p.select("doc_id",
                  *[((F.col("class_id") == F.lit(j)).cast("double") - F.col(f"p_{j}")).alias(f"r_{j}")
                    for j in range(1, k + 1)])
-    g_terms = (train.x.join(r.drop("bias"), "doc_id")
-                      .groupBy("term")
-                      .agg(*[F.sum(F.col("x") * F.col(f"r_{j}")).alias(f"g_{j}") for j in range(1, k + 1)]))
-    g_bias = r.agg(*[F.sum(F.col("bias") * F.col(f"r_{j}")).alias(f"g_{j}") for j in range(1, k + 1)]) \
-              .select(F.lit(BIAS_TERM).alias("term"), *[f"g_{j}" for j in range(1, k + 1)])
-    grad = g_terms.unionByName(g_bias)
-    new = W.join(grad, "term", "left").select(
+    grad = (train.x.join(r.hint("shuffle_hash"), "doc_id")
+                   .groupBy("term")
+                   .agg(*[F.sum(F.col("x") * F.col(f"r_{j}")).alias(f"g_{j}") for j in range(1, k + 1)]))
+    return W.join(grad.hint("shuffle_hash"), "term", "left").select(
         "term",
         *[(F.col(f"w_{j}") + F.lit(eta) * (F.coalesce(F.col(f"g_{j}"), F.lit(0.0)) - F.lit(lam) * F.col(f"w_{j}")))
           .alias(f"w_{j}") for j in range(1, k + 1)])
-    new = new.checkpoint(eager=True)
-    if normalize_w:
-        new = normalize_weights(new, k).checkpoint(eager=True)
-    return new
 
 
 def normalize_weights(W: DataFrame, k: int) -> DataFrame:

@@ -30,7 +30,7 @@ def _weights_out(W: DataFrame, k: int) -> DataFrame:
 
 
 def q_normalize_features(spark, sf_dir) -> DataFrame:
-    x = _w(spark, sf_dir).features("train", True).x
+    x = _w(spark, sf_dir).features("train", True).cells()
     return x.select("doc_id", "term", F.round("x", WD).alias("x"))
 
 

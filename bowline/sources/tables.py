@@ -104,3 +104,21 @@ class SnapshotStore:
             return None, 0
         it = iteration if iteration is not None else self.latest()
         return t.where(F.col("iter") == F.lit(it)).drop("iter"), it
+
+
+def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table bucketed and sorted by ``key`` in the
+    shared checkpoint folder and return a scan of it.
+
+    Later aggregates by ``key`` and joins between tables bucketed the same way
+    run without an exchange, and the written files cut the lineage (they
+    survive lost executors). The table is external: its files live under the
+    checkpoint folder, the session catalog only holds the bucketing metadata.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"bowline_{name}_{uuid.uuid4().hex[:12]}"
+    path = work_path(spark, "bucketed", table)
+    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
+       .option("path", path).saveAsTable(table))
+    return spark.table(table)
