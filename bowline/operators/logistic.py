@@ -79,7 +79,9 @@ def build_features(corpus: Corpus, normalize: bool, partitions: int | None = Non
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = corpus.rows()
     m = rows.count()
-    tf = (corpus.cells().groupBy("doc_id", "class_id", "term")
+    # terms are keyed as strings so the bias cell ('') shares the column
+    tf = (corpus.cells().withColumn("term", F.col("term").cast("string"))
+                .groupBy("doc_id", "class_id", "term")
                 .agg(F.sum("cnt").cast("double").alias("cnt"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
     bias = (1.0 / m if m else 1.0) if normalize else 1.0

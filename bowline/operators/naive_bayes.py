@@ -57,13 +57,17 @@ class NaiveBayesModel:
         b = self.beta if beta is None else beta
         return [math.log2(b / d) for d in self._denominators(b)]
 
-    def log_likelihood(self) -> DataFrame:
-        """(term, l_1..l_k) for every term seen in training."""
+    def log_likelihood(self, with_seen: bool = False) -> DataFrame:
+        """(term, l_1..l_k[, seen]) for every vocabulary term of the model;
+        ``seen`` = the term occurs in a labelled training document."""
         dens = self._denominators(self.beta)
+        extra = []
+        if with_seen:
+            extra = [(sum((F.col(f"c_{j}") for j in range(1, self.k + 1)), F.lit(0)) > 0).alias("seen")]
         return self.counts.select(
             "term",
             *[F.log2((F.col(f"c_{j}") + F.lit(self.beta)) / F.lit(dens[j - 1])).alias(f"l_{j}")
-              for j in range(1, self.k + 1)])
+              for j in range(1, self.k + 1)], *extra)
 
     def log_likelihood_long(self, vocab: DataFrame | None = None) -> DataFrame:
         """(class_id, term, log_likelihood, log_prior): the dense k x V table.
@@ -112,17 +116,21 @@ def nb_scores(model: NaiveBayesModel, test: Corpus, vocab: str = "shared") -> Da
     likelihood table (broadcast when its checked size allows) -> hash aggregate
     by document (partial before the shuffle, so one row per document moves).
     """
+    if vocab not in ("shared", "train"):
+        raise ValueError("vocab must be 'shared' or 'train'")
     k = model.k
-    lik = model.log_likelihood()
+    lik = model.log_likelihood(with_seen=(vocab == "train"))
     unseen = model.unseen_log_likelihood()
     toks = test.scoring_cells()
     joined = sized_join(toks, lik, "term", "left", model.n_terms, wide_row_bytes(k))
     prior = model.log_prior()
     aggs = []
     for j in range(1, k + 1):
-        missing = F.lit(unseen[j - 1]) if vocab == "shared" else F.lit(0.0)
-        contrib = F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(
-            F.col("cnt") * F.coalesce(F.col(f"l_{j}"), missing))
+        if vocab == "shared":
+            value = F.coalesce(F.col(f"l_{j}"), F.lit(unseen[j - 1]))
+        else:  # terms without training occurrences are ignored
+            value = F.when(F.col("seen"), F.col(f"l_{j}")).otherwise(F.lit(0.0))
+        contrib = F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(F.col("cnt") * value)
         aggs.append(F.sum(contrib).alias(f"a_{j}"))
     per_doc = joined.groupBy("doc_id", "class_id").agg(*aggs)
     return per_doc.select(
