@@ -156,30 +156,31 @@ def nb_beta_sweep(model: NaiveBayesModel, test: Corpus, betas=BETA_GRID,
                   vocab: str = "shared") -> DataFrame:
     """(beta, doc_id, class_id, predicted) for every beta, from one counts table.
 
-    The likelihood table is expanded to (term, beta) rows (|betas| x model);
-    the priors do not depend on beta. One join, one aggregate by (beta, doc).
+    Token cells join the (size-checked) counts table once; each joined row is
+    then expanded to the |betas| smoothing values and the log likelihoods are
+    computed there, so the broadcast side stays the plain k-column counts table.
+    The priors do not depend on beta. One join, one aggregate by (beta, doc).
     """
+    if vocab not in ("shared", "train"):
+        raise ValueError("vocab must be 'shared' or 'train'")
     k = model.k
-    V = model.vocab_size
+    V = float(model.vocab_size)
     words = model.stats.n_words
     beta_arr = F.array(*[F.lit(float(b)) for b in betas])
-    lik = model.counts.select("term", F.explode(beta_arr).alias("beta"), *class_cols("c", k)).select(
-        "term", "beta",
-        *[F.log2((F.col(f"c_{j}") + F.col("beta")) / (F.lit(float(words[j - 1])) + F.col("beta") * F.lit(float(V))))
-          .alias(f"l_{j}") for j in range(1, k + 1)])
-    toks = test.scoring_cells().select("doc_id", "class_id", "term", "cnt",
-                                       F.explode(beta_arr).alias("beta"))
-    joined = sized_join(toks, lik, ["term", "beta"], "left", model.n_terms * len(betas),
-                        wide_row_bytes(k, 32))
+    toks = test.scoring_cells()
+    joined = sized_join(toks, model.counts, "term", "left", model.n_terms, wide_row_bytes(k))
+    seen = sum((F.coalesce(F.col(f"c_{j}"), F.lit(0)) for j in range(1, k + 1)), F.lit(0)) > 0
+    expanded = joined.select("doc_id", "class_id", "term", "cnt", seen.alias("seen"),
+                             *class_cols("c", k), F.explode(beta_arr).alias("beta"))
     aggs = []
     for j in range(1, k + 1):
-        unseen = F.log2(F.col("beta") / (F.lit(float(words[j - 1])) + F.col("beta") * F.lit(float(V))))
-        missing = unseen if vocab == "shared" else F.lit(0.0)
-        contrib = F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(
-            F.col("cnt") * F.coalesce(F.col(f"l_{j}"), missing))
+        lik = F.log2((F.coalesce(F.col(f"c_{j}"), F.lit(0)) + F.col("beta"))
+                     / (F.lit(float(words[j - 1])) + F.col("beta") * F.lit(V)))
+        value = lik if vocab == "shared" else F.when(F.col("seen"), lik).otherwise(F.lit(0.0))
+        contrib = F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(F.col("cnt") * value)
         aggs.append(F.sum(contrib).alias(f"a_{j}"))
     prior = model.log_prior()
-    per = joined.groupBy("beta", "doc_id", "class_id").agg(*aggs)
+    per = expanded.groupBy("beta", "doc_id", "class_id").agg(*aggs)
     return per.select(
         "beta", "doc_id", "class_id",
         argmax_1based([F.col(f"a_{j}") + F.lit(prior[j - 1]) for j in range(1, k + 1)]).alias("predicted"))
