@@ -20,9 +20,10 @@ class_id) with no exchange -> residuals -> shuffled-hash join back to x on
 doc_id with no exchange -> per-term gradient (the one shuffle: partial sums)
 -> W update. W is checkpointed every step (reliable checkpoint in the session's
 checkpoint folder) so lineage never grows. W is broadcast only when its
-computed size is under the limit; otherwise the score join is a sort-merge join
-against a second copy of x bucketed by term (bias cells kept out of it, so the
-'' key is never a hot join key) and the per-document partial sums are shuffled.
+computed size is under the limit; otherwise the score join is a shuffled
+sort-merge join on term (AQE splits hot terms; bias cells are kept out of it,
+so the '' key is never a join key) and the per-document partial sums are
+shuffled.
 """
 
 from __future__ import annotations
@@ -61,7 +62,6 @@ class FeatureSplit:
     m: int              # documents
     n_cells: int        # rows of x
     n_terms: int        # distinct terms of x, the bias term included
-    x_by_term: DataFrame | None = None  # built on demand for the shuffled score join
 
     def cells(self) -> DataFrame:
         """Feature cells without the bias column."""
@@ -122,13 +122,12 @@ def _scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame
         aggs = [F.count(F.lit(1)).alias("_n")]
     if w_rows * wide_row_bytes(k) <= broadcast_limit_bytes(spark):
         return split.x.join(F.broadcast(W.select("term", *wcols)), "term").groupBy("doc_id", "class_id").agg(*aggs)
-    # W too large to broadcast: term cells meet W in a sort-merge join on term;
-    # the bias part is added from the doc-bucketed cells with the bias weights
-    # (k numbers) as literals.
-    if split.x_by_term is None:
-        split.x_by_term = bucketed_table(split.cells(), "term", "x_by_term")
+    # W too large to broadcast: term cells meet W in a shuffled sort-merge join
+    # on term, where AQE's skew-join handling splits hot terms; the bias part
+    # is added from the doc-bucketed cells with the bias weights (k numbers)
+    # as literals, so '' is never a join key.
     b = _bias_weights(W, k)
-    from_terms = split.x_by_term.join(W.select("term", *wcols).hint("merge"), "term").select(
+    from_terms = split.cells().join(W.select("term", *wcols).hint("merge"), "term").select(
         "doc_id", "class_id", *[(F.col("x") * F.col(f"w_{j}")).alias(f"v_{j}") for j in range(1, k)])
     from_bias = split.x.where(F.col("term") == F.lit(BIAS_TERM)).select(
         "doc_id", "class_id", *[(F.col("x") * F.lit(b[j - 1])).alias(f"v_{j}") for j in range(1, k)])
