@@ -1,10 +1,13 @@
 """Multinomial logistic regression by full-batch gradient descent.
 
 Shapes (long/wide relational form of the reference's dense matrices):
-  x(doc_id, class_id, term, x)  feature cells of one split, nonzero only; the
-                                bias column is the cell term = '' present in
+  terms(tkey, term)             dictionary of the training terms plus the bias
+                                term ''; tkey = xxhash64(term) after a check
+                                that no two terms share a hash (else tkey = term)
+  x(doc_id, class_id, tkey, x)  feature cells of one split, nonzero only; the
+                                bias column is the cell of term '' present in
                                 every document
-  W(term, w_1..w_k)             weights; the bias weights are the row term = ''
+  W(tkey, w_1..w_k)             weights; the bias weights are the row of ''
 
 Semantics:
   z_j = sum_t x[d,t] * w_j[t]     (bias included)   j < k;  the last class is pinned:
@@ -58,28 +61,39 @@ class Hyperparameters:
 
 @dataclass
 class FeatureSplit:
-    x: DataFrame        # (doc_id, class_id, term, x) table bucketed by doc_id, bias cells included
+    x: DataFrame        # (doc_id, class_id, tkey, x) table bucketed by doc_id, bias cells included
     m: int              # documents
     n_cells: int        # rows of x
-    n_terms: int        # distinct terms of x, the bias term included
+    n_terms: int        # rows of the term dictionary (training terms + bias)
+    terms: DataFrame    # (tkey, term) dictionary shared by all splits of one model
+    bias_key: object    # tkey of the bias term
 
     def cells(self) -> DataFrame:
-        """Feature cells without the bias column."""
-        return self.x.where(F.col("term") != F.lit(BIAS_TERM))
+        """Feature cells without the bias column, (doc_id, class_id, tkey, x)."""
+        return self.x.where(F.col("tkey") != F.lit(self.bias_key))
 
+    def cells_with_terms(self) -> DataFrame:
+        """(doc_id, class_id, term, x) without the bias column."""
+        return with_terms(self.cells(), self)
 
-def build_features(corpus: Corpus, normalize: bool, partitions: int | None = None) -> FeatureSplit:
+
+def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit | None" = None,
+                   partitions: int | None = None) -> FeatureSplit:
     """Feature cells of a split (L1, A7): counts, or counts divided by each
     term's column sum within this split; bias 1 or 1/m.
 
-    The (doc, term) counts are persisted while the column sums and the bucketed
-    table are built from them, so the text is tokenised once.
+    Without ``dictionary`` this is a training split and its terms become the
+    model's dictionary. With one (the training split's), cells of terms outside
+    it are dropped - their weights are zero, so scores are unchanged - and keys
+    stay consistent across splits. The (doc, term) counts are persisted while
+    the column sums and the bucketed table are built, so the text is tokenised
+    once.
     """
     spark = corpus.spark
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = corpus.rows()
     m = rows.count()
-    # terms are keyed as strings so the bias cell ('') shares the column
+    # terms are keyed as strings so the bias term ('') shares the column
     tf = (corpus.cells().withColumn("term", F.col("term").cast("string"))
                 .groupBy("doc_id", "class_id", "term")
                 .agg(F.sum("cnt").cast("double").alias("cnt"))
@@ -95,22 +109,57 @@ def build_features(corpus: Corpus, normalize: bool, partitions: int | None = Non
         colsum = None
         cells = tf.select("doc_id", "class_id", "term", F.col("cnt").alias("x"))
     bias_cells = rows.select("doc_id", "class_id", F.lit(BIAS_TERM).alias("term"), F.lit(bias).alias("x"))
-    x = bucketed_table(cells.unionByName(bias_cells), "doc_id", "x", p)
+    cells = cells.unionByName(bias_cells)
+    if dictionary is None:
+        terms, n_terms, bias_key = _build_dictionary(cells.select("term").distinct())
+    else:
+        terms, n_terms, bias_key = dictionary.terms, dictionary.n_terms, dictionary.bias_key
+    right = F.broadcast(terms) if n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else terms
+    keyed = cells.join(right, "term").select("doc_id", "class_id", "tkey", "x")
+    x = bucketed_table(keyed, "doc_id", "x", p)
     tf.unpersist()
     if colsum is not None:
         colsum.unpersist()
-    n_terms = x.select("term").distinct().count()
-    return FeatureSplit(x, m, x.count(), n_terms)
+    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key)
+
+
+def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object]:
+    """(tkey, term) with tkey = xxhash64(term) when the hash is collision-free
+    over these terms (checked exactly), else tkey = term. Written to the shared
+    checkpoint folder so it is computed once."""
+    spark = distinct_terms.sparkSession
+    hashed = distinct_terms.select(F.xxhash64("term").alias("tkey"), "term")
+    stats = hashed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tkey").alias("nk")).first()
+    if stats["n"] == stats["nk"]:
+        table = hashed
+        bias_key = spark.range(1).select(F.xxhash64(F.lit(BIAS_TERM)).alias("k")).first()["k"]
+    else:
+        table = distinct_terms.select(F.col("term").alias("tkey"), "term")
+        bias_key = BIAS_TERM
+    from bowline.session import work_path
+    import uuid
+    path = work_path(spark, "dictionaries", uuid.uuid4().hex[:12])
+    table.write.parquet(path)
+    return spark.read.parquet(path), int(stats["n"]), bias_key
+
+
+def with_terms(df: DataFrame, split: FeatureSplit) -> DataFrame:
+    """Replace ``tkey`` by the term string (dictionary join, size-checked broadcast)."""
+    spark = df.sparkSession
+    right = (F.broadcast(split.terms) if split.n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark)
+             else split.terms)
+    cols = [c for c in df.columns if c != "tkey"]
+    return df.join(right, "tkey").select(*[("term" if c == "tkey" else c) for c in ["tkey"] + cols])
 
 
 def init_weights(train: FeatureSplit, k: int, random_initial: bool = False, seed: int = 42) -> DataFrame:
     """W over the training terms plus the bias row; zeros, or N(0, 0.005)."""
-    terms = train.x.select("term").distinct()
+    terms = train.terms.select("tkey")
     if random_initial:
         cols = [(F.randn(seed + j) * F.lit(0.005)).alias(f"w_{j}") for j in range(1, k + 1)]
     else:
         cols = [F.lit(0.0).alias(f"w_{j}") for j in range(1, k + 1)]
-    return terms.select("term", *cols).checkpoint(eager=True)
+    return terms.select("tkey", *cols).checkpoint(eager=True)
 
 
 def _scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame:
@@ -121,22 +170,22 @@ def _scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_n")]
     if w_rows * wide_row_bytes(k) <= broadcast_limit_bytes(spark):
-        return split.x.join(F.broadcast(W.select("term", *wcols)), "term").groupBy("doc_id", "class_id").agg(*aggs)
+        return split.x.join(F.broadcast(W.select("tkey", *wcols)), "tkey").groupBy("doc_id", "class_id").agg(*aggs)
     # W too large to broadcast: term cells meet W in a shuffled sort-merge join
     # on term, where AQE's skew-join handling splits hot terms; the bias part
     # is added from the doc-bucketed cells with the bias weights (k numbers)
     # as literals, so '' is never a join key.
-    b = _bias_weights(W, k)
-    from_terms = split.cells().join(W.select("term", *wcols).hint("merge"), "term").select(
+    b = _bias_weights(W, k, split.bias_key)
+    from_terms = split.cells().join(W.select("tkey", *wcols).hint("merge"), "tkey").select(
         "doc_id", "class_id", *[(F.col("x") * F.col(f"w_{j}")).alias(f"v_{j}") for j in range(1, k)])
-    from_bias = split.x.where(F.col("term") == F.lit(BIAS_TERM)).select(
+    from_bias = split.x.where(F.col("tkey") == F.lit(split.bias_key)).select(
         "doc_id", "class_id", *[(F.col("x") * F.lit(b[j - 1])).alias(f"v_{j}") for j in range(1, k)])
     return (from_terms.unionByName(from_bias).groupBy("doc_id", "class_id")
                       .agg(*[F.sum(f"v_{j}").alias(f"z_{j}") for j in range(1, k)]))
 
 
-def _bias_weights(W: DataFrame, k: int) -> list[float]:
-    row = W.where(F.col("term") == F.lit(BIAS_TERM)).select(*[f"w_{j}" for j in range(1, k + 1)]).first()
+def _bias_weights(W: DataFrame, k: int, bias_key) -> list[float]:
+    row = W.where(F.col("tkey") == F.lit(bias_key)).select(*[f"w_{j}" for j in range(1, k + 1)]).first()
     return [float(row[f"w_{j}"]) if row is not None else 0.0 for j in range(1, k + 1)]
 
 
@@ -194,10 +243,10 @@ def gradient_step_plan(W: DataFrame, train: FeatureSplit, k: int, eta: float, la
                  *[((F.col("class_id") == F.lit(j)).cast("double") - F.col(f"p_{j}")).alias(f"r_{j}")
                    for j in range(1, k + 1)])
     grad = (train.x.join(r.hint("shuffle_hash"), "doc_id")
-                   .groupBy("term")
+                   .groupBy("tkey")
                    .agg(*[F.sum(F.col("x") * F.col(f"r_{j}")).alias(f"g_{j}") for j in range(1, k + 1)]))
-    return W.join(grad.hint("shuffle_hash"), "term", "left").select(
-        "term",
+    return W.join(grad.hint("shuffle_hash"), "tkey", "left").select(
+        "tkey",
         *[(F.col(f"w_{j}") + F.lit(eta) * (F.coalesce(F.col(f"g_{j}"), F.lit(0.0)) - F.lit(lam) * F.col(f"w_{j}")))
           .alias(f"w_{j}") for j in range(1, k + 1)])
 
@@ -208,7 +257,7 @@ def normalize_weights(W: DataFrame, k: int) -> DataFrame:
     total = W.select(row_abs.alias("_s")).agg(F.sum("_s").alias("s")).first()["s"] or 0.0
     if total == 0.0:
         return W
-    return W.select("term", *[(F.col(f"w_{j}") / F.lit(total)).alias(f"w_{j}") for j in range(1, k + 1)])
+    return W.select("tkey", *[(F.col(f"w_{j}") / F.lit(total)).alias(f"w_{j}") for j in range(1, k + 1)])
 
 
 def weight_diagnostics(W: DataFrame, k: int) -> DataFrame:
@@ -218,10 +267,10 @@ def weight_diagnostics(W: DataFrame, k: int) -> DataFrame:
                  F.sum(sum((F.abs(c) for c in cols), F.lit(0.0))).alias("abs_sum"))
 
 
-def weights_long(W: DataFrame, k: int) -> DataFrame:
-    """(term, class_id, w)."""
+def weights_long(W: DataFrame, k: int, split: FeatureSplit) -> DataFrame:
+    """(term, class_id, w) with term strings from the split's dictionary."""
     cells = F.array(*[F.struct(F.lit(j).alias("class_id"), F.col(f"w_{j}").alias("w")) for j in range(1, k + 1)])
-    return W.select("term", F.inline(cells))
+    return with_terms(W, split).select("term", F.inline(cells))
 
 
 def probabilities_long(p: DataFrame, k: int) -> DataFrame:

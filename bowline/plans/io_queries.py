@@ -67,9 +67,10 @@ def q_model_snapshots(spark, sf_dir) -> DataFrame:
     store = T.SnapshotStore.for_run(spark, "x_normalization", LR_NORMALISED["eta"], LR_NORMALISED["lam"])
     hp = L.Hyperparameters(LR_NORMALISED["eta"], LR_NORMALISED["lam"], num_iter=3,
                            num_iter_print=1, num_iter_save=2, num_iter_validation=100)
-    L.train(w.features("train", True), None, w.k_lr, hp, snapshots=store)
+    feats = w.features("train", True)
+    L.train(feats, None, w.k_lr, hp, snapshots=store)
     k = w.k_lr
-    t = store.table()
+    t = L.with_terms(store.table(), feats)
     cells = F.array(*[F.struct(F.lit(j).alias("class_id"), F.col(f"w_{j}").alias("w")) for j in range(1, k + 1)])
     return t.select(F.col("iter").cast("int").alias("iter"), "term", F.inline(cells)).select(
         "iter", "term", "class_id", F.round("w", LQ.WD).alias("w"))

@@ -25,29 +25,29 @@ def _w(spark, sf_dir) -> Workload:
     return Workload.of(spark, sf_dir)
 
 
-def _weights_out(W: DataFrame, k: int) -> DataFrame:
-    return L.weights_long(W, k).select("term", "class_id", F.round("w", WD).alias("w"))
+def _weights_out(w: Workload, W: DataFrame, digits: int = WD) -> DataFrame:
+    split = w.features("train", True)
+    return L.weights_long(W, w.k_lr, split).select("term", "class_id", F.round("w", digits).alias("w"))
 
 
 def q_normalize_features(spark, sf_dir) -> DataFrame:
-    x = _w(spark, sf_dir).features("train", True).cells()
+    x = _w(spark, sf_dir).features("train", True).cells_with_terms()
     return x.select("doc_id", "term", F.round("x", WD).alias("x"))
 
 
 def q_lr_gradient_step(spark, sf_dir) -> DataFrame:
     w = _w(spark, sf_dir)
-    return _weights_out(w.lr_weights(LR_NORMALISED, 1), w.k_lr)
+    return _weights_out(w, w.lr_weights(LR_NORMALISED, 1))
 
 
 def q_lr_train(spark, sf_dir) -> DataFrame:
     w = _w(spark, sf_dir)
-    return _weights_out(w.lr_weights(LR_NORMALISED, LR_STEPS), w.k_lr)
+    return _weights_out(w, w.lr_weights(LR_NORMALISED, LR_STEPS))
 
 
 def q_normalize_weights(spark, sf_dir) -> DataFrame:
     w = _w(spark, sf_dir)
-    W = L.normalize_weights(w.lr_weights(LR_NORMALISED, 1), w.k_lr)
-    return L.weights_long(W, w.k_lr).select("term", "class_id", F.round("w", 15).alias("w"))
+    return _weights_out(w, L.normalize_weights(w.lr_weights(LR_NORMALISED, 1), w.k_lr), 15)
 
 
 def q_weight_diagnostics(spark, sf_dir) -> DataFrame:

@@ -86,14 +86,13 @@ class Workload:
         return self._memo(("nb", label, part, with_benchmark), fit)
 
     def features(self, part: str, normalize: bool) -> lr.FeatureSplit:
+        """Feature split; every non-training split is keyed through the
+        training dictionary (the same for both normalisations)."""
         def build():
             if part == "train":
-                c = self.train(LR_LABEL)
-            elif part == "validation":
-                c = self.validation(LR_LABEL)
-            else:
-                c = self.benchmark()
-            return lr.build_features(c, normalize)
+                return lr.build_features(self.train(LR_LABEL), normalize)
+            c = self.validation(LR_LABEL) if part == "validation" else self.benchmark()
+            return lr.build_features(c, normalize, dictionary=self.features("train", normalize))
         return self._memo(("x", part, normalize), build)
 
     def lr_weights(self, variant: dict, steps: int) -> DataFrame:

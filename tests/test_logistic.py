@@ -18,9 +18,9 @@ def dense_x(counts, normalize):
     return X
 
 
-def w_dense(W_df, n_terms):
+def w_dense(W_df, n_terms, feats):
     W = np.zeros((K, n_terms + 1))
-    for r in W_df.collect():
+    for r in L.with_terms(W_df, feats).collect():
         col = 0 if r["term"] == "" else int(r["term"]) + 1
         for j in range(1, K + 1):
             W[j - 1, col] = r[f"w_{j}"]
@@ -44,7 +44,7 @@ def test_steps_match_dense_reference(spark, normalize):
     for _ in range(3):
         W = L.gradient_step(W, feats, K, eta, lam)
         Wd, _ = lr_reference_step(X, MICRO_CLASSES, Wd, K, eta, lam)
-    assert np.allclose(w_dense(W, 5), Wd, rtol=1e-10, atol=1e-14)
+    assert np.allclose(w_dense(W, 5, feats), Wd, rtol=1e-10, atol=1e-14)
     probs = L.probabilities(W, feats, K).orderBy("doc_id").collect()
     _, P = lr_reference_step(X, MICRO_CLASSES, Wd, K, eta, lam)
     got = np.array([[r[f"p_{j}"] for j in range(1, K + 1)] for r in probs]).T
@@ -99,7 +99,7 @@ def test_training_loop_history_snapshots_and_resume(spark):
     assert res2.saved == [7]
     straight = L.train(feats, None, K, L.Hyperparameters(0.001, 0.01, num_iter=7, num_iter_save=100,
                                                          num_iter_validation=100))
-    assert np.allclose(w_dense(res2.W, 5), w_dense(straight.W, 5), rtol=1e-12)
+    assert np.allclose(w_dense(res2.W, 5, feats), w_dense(straight.W, 5, feats), rtol=1e-12)
 
 
 def test_zero_iterations_only_evaluates(spark):
@@ -114,7 +114,7 @@ def test_early_stop(spark):
     feats = L.build_features(corpus, False)
     # a validation split whose labels disagree with training: accuracy falls
     val = string_terms(cell_corpus(spark, MICRO_COUNTS, np.array([3, 3, 1, 1, 2, 2])))
-    vfeats = L.build_features(val, False)
+    vfeats = L.build_features(val, False, dictionary=feats)
     hp = L.Hyperparameters(0.01, 0.0, num_iter=30, num_iter_save=1000, num_iter_validation=1,
                            validation_accuracy_diff_cutoff=0.1)
     res = L.train(feats, vfeats, K, hp)
@@ -122,3 +122,19 @@ def test_early_stop(spark):
         best = max(v for _, _, v in res.history)
         assert res.iterations == len(res.history) + 1
         assert best >= res.history[-1][2]
+
+
+def test_dictionary_keys_and_unknown_terms(spark):
+    corpus = string_terms(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES))
+    feats = L.build_features(corpus, False)
+    assert feats.n_terms == 6                     # five terms and the bias term
+    assert isinstance(feats.bias_key, int)        # hashed keys, no collision
+    # a scoring split with an unknown term: its cells are dropped, scores unchanged
+    other = np.hstack([MICRO_COUNTS, np.full((6, 1), 7)])
+    ext = string_terms(cell_corpus(spark, other, MICRO_CLASSES))
+    efeats = L.build_features(ext, False, dictionary=feats)
+    assert efeats.n_cells == feats.n_cells
+    W = L.gradient_step(L.init_weights(feats, K), feats, K, 0.001, 0.01)
+    a = L.probabilities(W, feats, K).orderBy("doc_id").collect()
+    b = L.probabilities(W, efeats, K).orderBy("doc_id").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
