@@ -111,7 +111,10 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     bias_cells = rows.select("doc_id", "class_id", F.lit(BIAS_TERM).alias("term"), F.lit(bias).alias("x"))
     cells = cells.unionByName(bias_cells)
     if dictionary is None:
-        terms, n_terms, bias_key = _build_dictionary(cells.select("term").distinct())
+        # distinct training terms: the (persisted) column sums already hold them
+        distinct = (colsum.select("term") if colsum is not None else tf.select("term").distinct())
+        distinct = distinct.unionByName(spark.range(1).select(F.lit(BIAS_TERM).alias("term")))
+        terms, n_terms, bias_key = _build_dictionary(distinct)
     else:
         terms, n_terms, bias_key = dictionary.terms, dictionary.n_terms, dictionary.bias_key
     right = F.broadcast(terms) if n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else terms
@@ -125,22 +128,22 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
 
 def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object]:
     """(tkey, term) with tkey = xxhash64(term) when the hash is collision-free
-    over these terms (checked exactly), else tkey = term. Written to the shared
-    checkpoint folder so it is computed once."""
+    over these terms (checked exactly on the written table), else tkey = term.
+    Written to the shared checkpoint folder so it is computed once."""
+    import uuid
+
+    from bowline.session import work_path
+
     spark = distinct_terms.sparkSession
-    hashed = distinct_terms.select(F.xxhash64("term").alias("tkey"), "term")
-    stats = hashed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tkey").alias("nk")).first()
+    path = work_path(spark, "dictionaries", uuid.uuid4().hex[:12])
+    distinct_terms.select(F.xxhash64("term").alias("tkey"), "term").write.parquet(path)
+    table = spark.read.parquet(path)
+    stats = table.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tkey").alias("nk")).first()
     if stats["n"] == stats["nk"]:
-        table = hashed
         bias_key = spark.range(1).select(F.xxhash64(F.lit(BIAS_TERM)).alias("k")).first()["k"]
-    else:
-        table = distinct_terms.select(F.col("term").alias("tkey"), "term")
-        bias_key = BIAS_TERM
-    from bowline.session import work_path
-    import uuid
-    path = work_path(spark, "dictionaries", uuid.uuid4().hex[:12])
-    table.write.parquet(path)
-    return spark.read.parquet(path), int(stats["n"]), bias_key
+        return table, int(stats["n"]), bias_key
+    table.select(F.col("term").alias("tkey"), "term").write.parquet(path + "-strings")
+    return spark.read.parquet(path + "-strings"), int(stats["n"]), BIAS_TERM
 
 
 def with_terms(df: DataFrame, split: FeatureSplit) -> DataFrame:
