@@ -45,7 +45,7 @@ def q_scan_class_labels(spark, sf_dir) -> DataFrame:
 def q_beta_accuracy_curve(spark, sf_dir) -> DataFrame:
     path = _run_dir(spark, "acc")
     acc = NQ.sweep_accuracy(spark, sf_dir)
-    acc.coalesce(1).write.option("header", True).csv(path)
+    acc.write.option("header", True).csv(path)
     return M.read_metrics(spark, path).select("beta", F.round("accuracy", 9).alias("accuracy"))
 
 

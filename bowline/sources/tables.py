@@ -58,7 +58,9 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str) -> str:
-    lines.coalesce(1).write.mode("overwrite").text(path)
+    """Text sink, one line per row (K2 ranked words, label files). Part files
+    keep the partition order, so a sorted frame reads back in order."""
+    lines.write.mode("overwrite").text(path)
     return path
 
 
