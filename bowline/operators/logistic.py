@@ -335,3 +335,13 @@ def train(train_split: FeatureSplit, val_split: FeatureSplit | None, k: int, hp:
 
 def finite_or_nan(v: float) -> float:
     return v if math.isfinite(v) else float("nan")
+
+
+def write_split_predictions(W: DataFrame, split: FeatureSplit, k: int, path: str, eta: float, lam: float,
+                            iteration: int, stable: bool = False) -> str:
+    """Score a split and write ``id,class`` CSV with the run parameters (eta,
+    lambda, iter) as partition columns, so runs never overwrite each other (L8)."""
+    from bowline.sources.tables import write_predictions
+    preds = predictions(W, split, k, stable)
+    return write_predictions(preds, path, id_col="doc_id", class_col="predicted",
+                             eta=float(eta), **{"lambda": float(lam)}, iter=int(iteration))

@@ -138,3 +138,20 @@ def test_dictionary_keys_and_unknown_terms(spark):
     a = L.probabilities(W, feats, K).orderBy("doc_id").collect()
     b = L.probabilities(W, efeats, K).orderBy("doc_id").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+def test_score_latest_snapshot_and_write(spark):
+    import uuid
+    from bowline.sources.tables import read_predictions
+    corpus = string_terms(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES))
+    feats = L.build_features(corpus, False)
+    store = SnapshotStore(spark, work_path(spark, "tests", "snap-" + uuid.uuid4().hex))
+    L.train(feats, None, K, L.Hyperparameters(0.001, 0.01, num_iter=3, num_iter_save=3, num_iter_validation=100),
+            snapshots=store)
+    W, it = store.load()
+    path = work_path(spark, "tests", "lrpred-" + uuid.uuid4().hex)
+    L.write_split_predictions(W, feats, K, path, 0.001, 0.01, it)
+    back = read_predictions(spark, path).collect()
+    want = {r["doc_id"]: r["predicted"] for r in L.predictions(W, feats, K).collect()}
+    assert {r["id"]: r["class"] for r in back} == want
+    assert {r["iter"] for r in back} == {3}
