@@ -42,7 +42,7 @@ from bowline.functions.numeric import argmax_1based, safe_div
 from bowline.operators.joins import wide_row_bytes
 from bowline.session import broadcast_limit_bytes
 from bowline.sources.corpus import Corpus
-from bowline.sources.tables import bucketed_table
+from bowline.sources.tables import bucketed_table, written_table
 
 BIAS_TERM = ""
 
@@ -67,6 +67,7 @@ class FeatureSplit:
     n_terms: int        # rows of the term dictionary (training terms + bias)
     terms: DataFrame    # (tkey, term) dictionary shared by all splits of one model
     bias_key: object    # tkey of the bias term
+    layout: str = "bucketed"  # or "spread" when one document would overload a bucket
 
     def cells(self) -> DataFrame:
         """Feature cells without the bias column, (doc_id, class_id, tkey, x)."""
@@ -78,7 +79,7 @@ class FeatureSplit:
 
 
 def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit | None" = None,
-                   partitions: int | None = None) -> FeatureSplit:
+                   partitions: int | None = None, layout: str = "auto") -> FeatureSplit:
     """Feature cells of a split (L1, A7): counts, or counts divided by each
     term's column sum within this split; bias 1 or 1/m.
 
@@ -88,6 +89,13 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     stay consistent across splits. The (doc, term) counts are persisted while
     the column sums and the bucketed table are built, so the text is tokenised
     once.
+
+    ``layout``: "bucketed" (by doc_id: per-document work needs no exchange),
+    "spread" (a plain table: per-document sums go through partial aggregation
+    and a shuffle, the residual join is a shuffled sort-merge join that AQE can
+    split), or "auto" - spread only when the largest document holds more cells
+    than twice an average bucket, i.e. when one document would make its
+    bucket the straggler.
     """
     spark = corpus.spark
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -119,11 +127,19 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
         terms, n_terms, bias_key = dictionary.terms, dictionary.n_terms, dictionary.bias_key
     right = F.broadcast(terms) if n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else terms
     keyed = cells.join(right, "term").select("doc_id", "class_id", "tkey", "x")
-    x = bucketed_table(keyed, "doc_id", "x", p)
+    if layout == "auto":
+        sizes = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(
+            F.max("n").alias("top"), F.sum("n").alias("total")).first()
+        top, total = int(sizes["top"] or 0), int(sizes["total"] or 0)
+        layout = "spread" if total and top > 2 * total / p else "bucketed"
+    if layout == "bucketed":
+        x = bucketed_table(keyed, "doc_id", "x", p)
+    else:
+        x = written_table(keyed, "x")
     tf.unpersist()
     if colsum is not None:
         colsum.unpersist()
-    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key)
+    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout)
 
 
 def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object]:
@@ -245,7 +261,10 @@ def gradient_step_plan(W: DataFrame, train: FeatureSplit, k: int, eta: float, la
     r = p.select("doc_id",
                  *[((F.col("class_id") == F.lit(j)).cast("double") - F.col(f"p_{j}")).alias(f"r_{j}")
                    for j in range(1, k + 1)])
-    grad = (train.x.join(r.hint("shuffle_hash"), "doc_id")
+    # bucketed: co-partitioned hash join, no exchange; spread: shuffled
+    # sort-merge join, which AQE splits when one document is hot
+    hint = "shuffle_hash" if train.layout == "bucketed" else "merge"
+    grad = (train.x.join(r.hint(hint), "doc_id")
                    .groupBy("tkey")
                    .agg(*[F.sum(F.col("x") * F.col(f"r_{j}")).alias(f"g_{j}") for j in range(1, k + 1)]))
     return W.join(grad.hint("shuffle_hash"), "tkey", "left").select(

@@ -21,14 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def term_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, term, cnt) for every distinct token of every document.
 
-    The raw rows are hash-partitioned by doc_id (one shuffle of the text, which
-    is more compact than the count rows); explode and the (doc_id, term) hash
-    aggregate then run inside each partition with no further exchange.
+    explode -> hash aggregate on (doc_id, term): the partial aggregate runs
+    before the shuffle, and the shuffle key (doc_id, term) spreads even a
+    document that holds a large share of all tokens over many reducers.
     """
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(p, "doc_id")
-                .select("doc_id", F.explode(tokens("text")).alias("term"))
+    rows = balance(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    return (rows.select("doc_id", F.explode(tokens("text")).alias("term"))
                 .groupBy("doc_id", "term")
                 .agg(F.count(F.lit(1)).alias("cnt")))
 
@@ -192,16 +190,18 @@ def corpus_from_table(df: DataFrame, classes: ClassSet | None = None,
     return TextCorpus(base.select("doc_id", "class_id", tokens("_text").alias("toks")))
 
 
-def balance(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Hash-partition by ``key`` when the scan yields fewer partitions than the
+def balance(df: DataFrame) -> DataFrame:
+    """Spread rows round-robin when the scan yields fewer partitions than the
     session's shuffle parallelism (few large files / row groups).
 
-    Tokenising is CPU-bound, so an under-parallel scan starves the cores; the
-    hash layout also lets per-document aggregates run without another exchange.
-    Large inputs with many splits are left as they are (no extra shuffle).
+    Tokenising is CPU-bound, so an under-parallel scan starves the cores.
+    Round-robin (not hashing on doc_id) keeps partitions even whatever the key
+    distribution - a doc_id shared by many rows cannot pile up in one task - and
+    Spark sorts before a round-robin exchange, so a recomputed partition gets
+    the same rows. Large inputs with many splits are left as they are.
     """
     spark = df.sparkSession
     p = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if df.rdd.getNumPartitions() < p:
-        return df.repartition(p, key)
+        return df.repartition(p)
     return df

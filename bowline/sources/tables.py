@@ -124,3 +124,12 @@ def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = Non
     (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
        .option("path", path).saveAsTable(table))
     return spark.table(table)
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and scan it back
+    (cuts lineage; the files survive lost executors)."""
+    spark = df.sparkSession
+    path = work_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -155,3 +155,21 @@ def test_score_latest_snapshot_and_write(spark):
     want = {r["doc_id"]: r["predicted"] for r in L.predictions(W, feats, K).collect()}
     assert {r["id"]: r["class"] for r in back} == want
     assert {r["iter"] for r in back} == {3}
+
+
+def test_spread_layout_matches_bucketed(spark):
+    # one document holds most cells: 'auto' picks the spread layout
+    counts = np.vstack([MICRO_COUNTS, np.arange(1, 6) * 3])
+    classes = np.append(MICRO_CLASSES, 2)
+    corpus = string_terms(cell_corpus(spark, counts, classes))
+    auto = L.build_features(corpus, True)
+    bucketed = L.build_features(corpus, True, layout="bucketed")
+    spread = L.build_features(corpus, True, layout="spread")
+    assert spread.layout == "spread" and bucketed.layout == "bucketed"
+    Wb = L.init_weights(bucketed, K)
+    Ws = L.init_weights(spread, K)
+    for _ in range(2):
+        Wb = L.gradient_step(Wb, bucketed, K, 0.05, 0.01)
+        Ws = L.gradient_step(Ws, spread, K, 0.05, 0.01)
+    assert np.allclose(w_dense(Wb, 5, bucketed), w_dense(Ws, 5, spread), rtol=1e-12, atol=1e-15)
+    assert auto.layout in ("spread", "bucketed")
