@@ -68,6 +68,8 @@ class FeatureSplit:
     terms: DataFrame    # (tkey, term) dictionary shared by all splits of one model
     bias_key: object    # tkey of the bias term
     layout: str = "bucketed"  # or "spread" when one document would overload a bucket
+    colsums: DataFrame | None = None  # (term, colsum) of a normalised training split
+    bias_value: float = 1.0
 
     def cells(self) -> DataFrame:
         """Feature cells without the bias column, (doc_id, class_id, tkey, x)."""
@@ -79,7 +81,8 @@ class FeatureSplit:
 
 
 def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit | None" = None,
-                   partitions: int | None = None, layout: str = "auto") -> FeatureSplit:
+                   partitions: int | None = None, layout: str = "auto",
+                   norm_stats: str = "split") -> FeatureSplit:
     """Feature cells of a split (L1, A7): counts, or counts divided by each
     term's column sum within this split; bias 1 or 1/m.
 
@@ -96,6 +99,10 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     split), or "auto" - spread only when the largest document holds more cells
     than twice an average bucket, i.e. when one document would make its
     bucket the straggler.
+
+    ``norm_stats``: "split" (the default: each split normalised by its own
+    column sums, bias 1/m of the split) or "train" (use the column sums and
+    bias of the ``dictionary`` split, which must be a normalised training split).
     """
     spark = corpus.spark
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -107,8 +114,17 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
                 .agg(F.sum("cnt").cast("double").alias("cnt"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
     bias = (1.0 / m if m else 1.0) if normalize else 1.0
+    use_train = normalize and norm_stats == "train"
+    if use_train:
+        if dictionary is None or dictionary.colsums is None:
+            raise ValueError("norm_stats='train' needs a normalised training split as dictionary")
+        bias = dictionary.bias_value
     if normalize:
-        colsum = tf.groupBy("term").agg(F.sum(F.abs("cnt")).alias("colsum")).persist(StorageLevel.MEMORY_AND_DISK)
+        if use_train:
+            colsum = dictionary.colsums
+        else:
+            colsum = (tf.groupBy("term").agg(F.sum(F.abs("cnt")).alias("colsum"))
+                        .persist(StorageLevel.MEMORY_AND_DISK))
         n = colsum.count()
         right = F.broadcast(colsum) if n * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else colsum
         cells = tf.join(right, "term").select(
@@ -118,7 +134,10 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
         cells = tf.select("doc_id", "class_id", "term", F.col("cnt").alias("x"))
     bias_cells = rows.select("doc_id", "class_id", F.lit(BIAS_TERM).alias("term"), F.lit(bias).alias("x"))
     cells = cells.unionByName(bias_cells)
+    saved_colsums = None
     if dictionary is None:
+        if colsum is not None:
+            saved_colsums = written_table(colsum, "colsums")
         # distinct training terms: the (persisted) column sums already hold them
         distinct = (colsum.select("term") if colsum is not None else tf.select("term").distinct())
         distinct = distinct.unionByName(spark.range(1).select(F.lit(BIAS_TERM).alias("term")))
@@ -137,9 +156,9 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     else:
         x = written_table(keyed, "x")
     tf.unpersist()
-    if colsum is not None:
+    if colsum is not None and not use_train:
         colsum.unpersist()
-    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout)
+    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout, saved_colsums, bias)
 
 
 def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object]:

@@ -173,3 +173,20 @@ def test_spread_layout_matches_bucketed(spark):
         Ws = L.gradient_step(Ws, spread, K, 0.05, 0.01)
     assert np.allclose(w_dense(Wb, 5, bucketed), w_dense(Ws, 5, spread), rtol=1e-12, atol=1e-15)
     assert auto.layout in ("spread", "bucketed")
+
+
+def test_norm_stats_from_training_split(spark):
+    corpus = string_terms(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES))
+    feats = L.build_features(corpus, True)
+    val_counts = MICRO_COUNTS[:3] * 2
+    val = string_terms(cell_corpus(spark, val_counts, MICRO_CLASSES[:3], ids=[10, 11, 12]))
+    vfeats = L.build_features(val, True, dictionary=feats, norm_stats="train")
+    X = np.hstack([np.ones((6, 1)), MICRO_COUNTS.astype(float)])
+    sums = np.abs(X).sum(axis=0)
+    Xv = np.hstack([np.ones((3, 1)), val_counts.astype(float)]) / sums
+    got = {(r["doc_id"], r["term"]): r["x"] for r in L.with_terms(vfeats.x, vfeats).collect()}
+    for i, d in enumerate([10, 11, 12]):
+        assert got[(d, "")] == pytest.approx(Xv[i, 0])
+        for t in range(5):
+            if val_counts[i, t]:
+                assert got[(d, str(t))] == pytest.approx(Xv[i, t + 1])
