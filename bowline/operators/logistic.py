@@ -105,7 +105,6 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     bias of the ``dictionary`` split, which must be a normalised training split).
     """
     spark = corpus.spark
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = corpus.rows()
     m = rows.count()
     # terms are keyed as strings so the bias term ('') shares the column
@@ -146,10 +145,11 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
         terms, n_terms, bias_key = dictionary.terms, dictionary.n_terms, dictionary.bias_key
     right = F.broadcast(terms) if n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else terms
     keyed = cells.join(right, "term").select("doc_id", "class_id", "tkey", "x")
+    sizes = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.max("n").alias("top"), F.sum("n").alias("total")).first()
+    top, total = int(sizes["top"] or 0), int(sizes["total"] or 0)
+    p = partitions or bucket_count(spark, total)
     if layout == "auto":
-        sizes = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(
-            F.max("n").alias("top"), F.sum("n").alias("total")).first()
-        top, total = int(sizes["top"] or 0), int(sizes["total"] or 0)
         layout = "spread" if total and top > 2 * total / p else "bucketed"
     if layout == "bucketed":
         x = bucketed_table(keyed, "doc_id", "x", p)
@@ -161,6 +161,18 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout, saved_colsums, bias)
 
 
+# Target bytes of feature cells per bucket (a cell is ~24 bytes in Parquet).
+BUCKET_BYTES = 64 * 1024 * 1024
+
+
+def bucket_count(spark, cells: int) -> int:
+    """Buckets for the feature table: about BUCKET_BYTES each, at least one per
+    core, at most spark.sql.shuffle.partitions."""
+    cores = spark.sparkContext.defaultParallelism
+    cap = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(cores, min(cap, -(-cells * 24 // BUCKET_BYTES)))
+
+
 def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object]:
     """(tkey, term) with tkey = xxhash64(term) when the hash is collision-free
     over these terms (checked exactly on the written table), else tkey = term.

@@ -192,7 +192,7 @@ def corpus_from_table(df: DataFrame, classes: ClassSet | None = None,
 
 def balance(df: DataFrame) -> DataFrame:
     """Spread rows round-robin when the scan yields fewer partitions than the
-    session's shuffle parallelism (few large files / row groups).
+    cluster has cores (few large files / row groups).
 
     Tokenising is CPU-bound, so an under-parallel scan starves the cores.
     Round-robin (not hashing on doc_id) keeps partitions even whatever the key
@@ -201,7 +201,7 @@ def balance(df: DataFrame) -> DataFrame:
     the same rows. Large inputs with many splits are left as they are.
     """
     spark = df.sparkSession
-    p = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < p:
         return df.repartition(p)
     return df
