@@ -195,8 +195,8 @@ def _oracle() -> dict[str, str]:
     one = _base(True) + _steps(1, n_eta, n_lam)
     o["lr_gradient_step"] = S.with_(one, f"SELECT term, class_id, round(w, {WD}) AS w FROM w1")
     o["normalize_weights"] = S.with_(
-        one, "SELECT term, class_id, round(CASE WHEN s = 0 THEN w ELSE w / s END, 15) AS w FROM w1, "
-             "(SELECT sum(abs(w)) AS s FROM w1) t")
+        one, "SELECT term, class_id, round(CASE WHEN s = 0 THEN w ELSE w / s END, 15) AS w FROM "
+             "(SELECT term, class_id, w, sum(abs(w)) OVER () AS s FROM w1)")
     o["weight_diagnostics"] = S.with_(
         one, f"SELECT round(max(w), {WD}) AS max_w, round(sum(abs(w)), 6) AS abs_sum FROM w1")
     three = _base(True) + _steps(LR_STEPS, n_eta, n_lam)
