@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bowline.llm.common import Scratch, arrow_map, components
+from bowline.session import broadcast_limit_bytes
 
 SHINGLE_WORDS = 5      # default of the operator; the registered query takes 2
 PERCENT = 80           # link when 100 * intersection >= PERCENT * union
@@ -172,8 +173,12 @@ def _block_links(percent: int):
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """Full sets of the documents ``ids(id)``, shingled again from the text."""
-    texts = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi") \
+    """Full sets of the documents ``ids(id)``, shingled again from the text.
+    While the ids are known to fit a broadcast, no text is shuffled."""
+    wanted = ids.select(F.col("id").alias("doc_id"))
+    if 32 * wanted.count() <= broadcast_limit_bytes(docs.sparkSession):
+        wanted = F.broadcast(wanted)
+    texts = docs.join(wanted, "doc_id", "left_semi") \
                 .select(F.col("doc_id").alias("id"), "text")
     return (texts.mapInArrow(_set_fn(width), "id long, s array<long>")
             .where(F.size("s") > 0))
@@ -191,7 +196,8 @@ def near_duplicate_links(spark: SparkSession, nodes: DataFrame, docs: DataFrame,
     w = Window.partitionBy("key").orderBy("id")
     stars = scratch.write(keyed.withColumn("leader", F.first("id").over(w)).where("id <> leader"), "stars")
     pairs = scratch.write(stars.select("id", "leader").distinct(), "pairs")
-    members = pairs.select("id").unionByName(pairs.select(F.col("leader").alias("id"))).distinct()
+    members = scratch.write(pairs.select("id").unionByName(pairs.select(F.col("leader").alias("id"))).distinct(),
+                            "members")
     sets = scratch.write(_sets_of(members, docs, width).distinct(), "sets")
     lo, hi = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
     inter = F.size(F.array_intersect("sa", "sb")).cast("long")
