@@ -28,7 +28,8 @@ from bowline.llm.common import Scratch
 
 SHARDS = 8
 SEED = "interleave-1"
-RANGE_ROWS = 50_000
+RANGE_ROWS = 50_000     # rows ranked in one window group, at most about
+MIN_RANGES = 64         # ranges even of few rows, so that all tasks have a share
 _UNIT = float(2 ** 60)
 
 
@@ -50,7 +51,7 @@ def shard_rows(spark: SparkSession, docs: DataFrame, shards: int = SHARDS,
     scratch = Scratch(spark, "interleave")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"))
     total = slim.count()
-    ranges = max(1, -(-total // range_rows))
+    ranges = max(1, -(-total // range_rows), min(MIN_RANGES, total // 500))
     key = _hash60(F.col("doc_id"))
 
     def keyed(df: DataFrame) -> DataFrame:
