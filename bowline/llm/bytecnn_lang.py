@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm.common import free_name
+from bowline.llm.common import free_name, hash_share
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -172,8 +172,9 @@ def train(spark: SparkSession, docs: DataFrame, rows: int = TRAIN_ROWS) -> Folde
     """Learns from one window, at a hashed place, of each sampled text."""
     text = F.col("text").cast("string")
     at = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.greatest(F.length(text) - WINDOW, F.lit(1))) + 1
-    got = (docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")
-                      & text.rlike(r"\p{L}"))
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    total = known.select("doc_id").count()
+    got = (known.where(hash_share(2 * rows, total, "doc_id") & text.rlike(r"\p{L}"))
            .select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("long").alias("doc_id"),
                    F.col("lang").cast("string").alias("lang"),
                    F.substring(text, at.cast("int"), F.lit(WINDOW)).alias("text"))

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bowline.session import checkpoint_dir
@@ -77,6 +77,14 @@ def arrow_map(fn: Callable[[dict], dict], schema: pa.Schema):
     return run
 
 
+def hash_share(want: int, total: int, *cols) -> Column:
+    """Condition that keeps about ``want`` of ``total`` rows by a hash of
+    ``cols``, the same rows at every run: what a sort with a limit then sends to
+    the driver is bounded however many tasks read the table."""
+    share = min(1.0, want / max(1, total))
+    return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) <= int(share * (1 << 30))
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm.common import arrow_map, free_name
+from bowline.llm.common import arrow_map, free_name, hash_share
 
 TRAIN_ROWS = 20_000
 BINS = 32
@@ -185,8 +185,9 @@ def held_out(doc_id: str) -> Column:
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Gam:
-    picked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
-              .where("doc_id IS NOT NULL AND y IN (0, 1)").where(~held_out("doc_id")).distinct()
+    usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
+              .where("doc_id IS NOT NULL AND y IN (0, 1)").where(~held_out("doc_id")))
+    picked = (usable.where(hash_share(2 * rows, usable.count(), "doc_id")).distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most ``rows`` pairs of numbers are broadcast

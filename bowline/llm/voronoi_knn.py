@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bowline.llm.common import Scratch, arrow_map
+from bowline.llm.common import Scratch, arrow_map, hash_share
 
 K = 5
 SCALE = 256
@@ -145,7 +145,7 @@ def top_k(spark: SparkSession, emb: DataFrame, queries: Column | None = None, k:
         return spark.createDataFrame([], out_schema)
     want = min(max_pivots, max(1, int(n ** 0.5)))
     # distinct vectors, so that copies of one do not crowd out the others
-    picked = (vecs.groupBy("v").agg(F.min("vec_id").alias("vec_id"))
+    picked = (vecs.where(hash_share(16 * want, n, "vec_id")).groupBy("v").agg(F.min("vec_id").alias("vec_id"))
               .orderBy(F.xxhash64("vec_id"), "vec_id").limit(want).collect())
     pivots = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in picked], np.int64),
                                            _matrix([r["v"] for r in picked], dim)))
