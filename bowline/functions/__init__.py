@@ -2,8 +2,8 @@
 
 from bowline.functions.text import tokens, TOKEN_SPLIT
 from bowline.functions.numeric import (
-    safe_log2, plogp, argmax_1based, entropy_of, gini_of, safe_div, NEG_INF,
+    plogp, argmax_1based, entropy_of, gini_of, safe_div, NEG_INF,
 )
 
-__all__ = ["tokens", "TOKEN_SPLIT", "safe_log2", "plogp",
+__all__ = ["tokens", "TOKEN_SPLIT", "plogp",
            "argmax_1based", "entropy_of", "gini_of", "safe_div", "NEG_INF"]

@@ -15,11 +15,6 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
-def safe_log2(x: Column) -> Column:
-    """log2 with NumPy's value at 0 (-inf) instead of Spark's NULL."""
-    return F.when(x > 0, F.log2(x)).when(x == 0, F.lit(NEG_INF)).otherwise(F.lit(float("nan")))
-
-
 def plogp(p: Column) -> Column:
     """p * log2(p), taken as 0 at p = 0 (the limit; NumPy would give NaN)."""
     return F.when(p > 0, p * F.log2(p)).otherwise(F.lit(0.0))

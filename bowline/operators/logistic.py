@@ -31,7 +31,6 @@ shuffled.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -46,17 +45,43 @@ from bowline.sources.tables import bucketed_table, written_table
 
 BIAS_TERM = ""
 
+# The defaults a training run has to have.
+ETA, LAM = 0.01, 0.005
+LOG_EVERY, SAVE_EVERY, CHECK_EVERY = 100, 200, 200
+MAX_DROP = 0.05
+
+
+@dataclass(frozen=True)
+class Schedule:
+    """When something happens in a run of ``steps`` gradient steps: each kind of
+    event at the multiples of its period."""
+
+    steps: int
+    log_every: int = LOG_EVERY
+    save_every: int = SAVE_EVERY
+    check_every: int = CHECK_EVERY
+
+    def events(self) -> list[tuple[int, set[str]]]:
+        """(step, kinds of event after it) in order; the last step is always there."""
+        at: dict[int, set[str]] = {self.steps: set()}
+        for kind, every in (("log", self.log_every), ("save", self.save_every), ("check", self.check_every)):
+            for step in range(every, self.steps + 1, every):
+                at.setdefault(step, set()).add(kind)
+        return sorted(at.items())
 
-@dataclass
-class Hyperparameters:
-    learning_rate: float = 0.01
-    penalty_term: float = 0.005
-    num_iter: int = 0
-    num_iter_print: int = 100
-    num_iter_save: int = 200
-    num_iter_validation: int = 200
-    validation_accuracy_diff_cutoff: float = 0.05
-    validation_split: float = 0.2
+
+class StoppingRule:
+    """Breaks when an accuracy lies more than ``max_drop`` below the best seen."""
+
+    def __init__(self, max_drop: float):
+        self.max_drop = max_drop
+        self.best: float | None = None
+
+    def broken_by(self, accuracy: float) -> bool:
+        if self.best is None or accuracy > self.best:
+            self.best = accuracy
+            return False
+        return self.best - accuracy > self.max_drop
 
 
 @dataclass
@@ -105,6 +130,10 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     bias of the ``dictionary`` split, which must be a normalised training split).
     """
     spark = corpus.spark
+    if dictionary is None:
+        # a training split: documents without a class have no part in the
+        # gradient, so they count in no column sum and no bias either
+        corpus = corpus.labelled()
     rows = corpus.rows()
     m = rows.count()
     # terms are keyed as strings so the bias term ('') shares the column
@@ -167,10 +196,8 @@ BUCKET_BYTES = 64 * 1024 * 1024
 
 def bucket_count(spark, cells: int) -> int:
     """Buckets for the feature table: about BUCKET_BYTES each, at least one per
-    core, at most spark.sql.shuffle.partitions."""
-    cores = spark.sparkContext.defaultParallelism
-    cap = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(cores, min(cap, -(-cells * 24 // BUCKET_BYTES)))
+    core. The number follows the bytes alone."""
+    return max(spark.sparkContext.defaultParallelism, -(-cells * 24 // BUCKET_BYTES))
 
 
 def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object]:
@@ -341,50 +368,50 @@ class TrainingResult:
     saved: list[int] = field(default_factory=list)
 
 
-def train(train_split: FeatureSplit, val_split: FeatureSplit | None, k: int, hp: Hyperparameters,
-          W: DataFrame | None = None, normalize_w: bool = False, stable: bool = False,
-          snapshots=None, start_iter: int = 0, log=None) -> TrainingResult:
-    """The training loop (L4, L9): step, print / save / validate on cadence,
-    early stop when best - current validation accuracy > cutoff (the stopping
-    check is not added to the history). The final W is the last one."""
-    if W is None:
-        W = init_weights(train_split, k)
-    best = None
-    history: list[tuple[int, float, float]] = []
-    saved: list[int] = []
-    num_iter = hp.num_iter
-    stopped = False
-    current = start_iter
-    for i in range(hp.num_iter):
-        W = gradient_step(W, train_split, k, hp.learning_rate, hp.penalty_term, normalize_w, stable)
-        if log and (i + 1) % hp.num_iter_print == 0:
-            log(f"finished {i + 1} iterations")
-        if snapshots is not None and (i + 1) % hp.num_iter_save == 0:
-            current = snapshots.save(W, hp.num_iter_save)
-            saved.append(current)
-        if val_split is not None and (i + 1) % hp.num_iter_validation == 0:
-            tr = accuracy(W, train_split, k, stable)
-            va = accuracy(W, val_split, k, stable)
-            if best is None or va > best:
-                best = va
-            elif best - va > hp.validation_accuracy_diff_cutoff:
-                num_iter = i + 1
-                stopped = True
-                break
-            history.append((i + 1, tr, va))
-    if hp.num_iter == 0 and val_split is not None:
-        history.append((0, accuracy(W, train_split, k, stable), accuracy(W, val_split, k, stable)))
-    if snapshots is not None:
-        remainder = num_iter % hp.num_iter_save
-        if remainder:
-            current = snapshots.save(W, remainder)
-            saved.append(current)
-    total = current if snapshots is not None else start_iter + num_iter
-    return TrainingResult(W, num_iter, total, history, stopped, saved)
-
-
-def finite_or_nan(v: float) -> float:
-    return v if math.isfinite(v) else float("nan")
+def train(train_split: FeatureSplit, val_split: FeatureSplit | None, k: int, schedule: Schedule,
+          eta: float = ETA, lam: float = LAM, max_drop: float = MAX_DROP, W: DataFrame | None = None,
+          normalize_w: bool = False, stable: bool = False, snapshots=None, start_iter: int = 0,
+          log=None) -> TrainingResult:
+    """Gradient steps in blocks between the schedule's events (L4, L9): progress
+    lines, snapshots, and checks of both accuracies. A check that breaks the
+    stopping rule ends the run and is not added to the history. A run without
+    steps only evaluates. Steps since the last snapshot get one at the end."""
+    W = init_weights(train_split, k) if W is None else W
+    rule = StoppingRule(max_drop)
+    result = TrainingResult(W, 0, start_iter, [], False, [])
+    unsaved = 0
+
+    def checked(at: int) -> bool:
+        acc = accuracy(result.W, val_split, k, stable)
+        if rule.broken_by(acc):
+            return False
+        result.history.append((at, accuracy(result.W, train_split, k, stable), acc))
+        return True
+
+    def save() -> None:
+        result.total_iter = snapshots.save(result.W, unsaved)
+        result.saved.append(result.total_iter)
+
+    if schedule.steps == 0 and val_split is not None:
+        checked(0)
+    for at, kinds in schedule.events():
+        for _ in range(at - result.iterations):
+            result.W = gradient_step(result.W, train_split, k, eta, lam, normalize_w, stable)
+        unsaved += at - result.iterations
+        result.iterations = at
+        if log and "log" in kinds:
+            log(f"finished {at} iterations")
+        if snapshots is not None and "save" in kinds:
+            save()
+            unsaved = 0
+        if val_split is not None and "check" in kinds and not checked(at):
+            result.stopped_early = True
+            break
+    if snapshots is None:
+        result.total_iter = start_iter + result.iterations
+    elif unsaved:
+        save()
+    return result
 
 
 def write_split_predictions(W: DataFrame, split: FeatureSplit, k: int, path: str, eta: float, lam: float,

@@ -29,7 +29,7 @@ class SplitInfo:
 
     def train(self) -> Column:
         if self.boundary is None:
-            return F.lit(True)
+            return F.col(self.key).isNotNull()
         return F.col(self.key) < F.lit(self.boundary)
 
     def validation(self) -> Column:
@@ -38,11 +38,12 @@ class SplitInfo:
         return F.col(self.key) >= F.lit(self.boundary)
 
     def label(self) -> Column:
-        return F.when(self.train(), F.lit("train")).otherwise(F.lit("validation"))
+        return F.when(self.train(), F.lit("train")).when(self.validation(), F.lit("validation"))
 
 
-def kth_smallest(df: DataFrame, key: str, k: int, lo: int, hi: int) -> int:
-    """The value at 0-based position ``k`` of the sorted integer key column."""
+def kth_smallest(df: DataFrame, key: str, k: int, lo: int, hi: int) -> tuple[int, int]:
+    """The value at 0-based position ``k`` of the sorted integer key column and
+    the number of smaller keys."""
     keys = df.select(F.col(key).cast("bigint").alias("k")).where(F.col("k").isNotNull())
     below = 0
     while True:
@@ -60,7 +61,7 @@ def kth_smallest(df: DataFrame, key: str, k: int, lo: int, hi: int) -> int:
         for r in rows:
             if below + r["n"] > k:
                 if r["lo"] == r["hi"]:
-                    return r["lo"]
+                    return r["lo"], below
                 lo, hi = r["lo"], r["hi"]
                 break
             below += r["n"]
@@ -68,26 +69,14 @@ def kth_smallest(df: DataFrame, key: str, k: int, lo: int, hi: int) -> int:
             raise ValueError("position beyond the number of keys")
 
 
-_CACHE: dict[tuple, SplitInfo] = {}
-
-
 def ordered_split(df: DataFrame, validation_split: float = 0.2, key: str = "doc_id") -> SplitInfo:
-    """Exact ordered split on an integer key (keys assumed unique, like row ids)."""
-    try:
-        cache_key = (df.semanticHash(), key, float(validation_split))
-    except Exception:  # pragma: no cover - plans without a semantic hash
-        cache_key = None
-    if cache_key is not None and cache_key in _CACHE:
-        return _CACHE[cache_key]
+    """Exact ordered split on an integer key. Rows without a key are in neither
+    part. Rows that share the boundary key stay together, all in validation, and
+    the counts say so."""
     stats = df.agg(F.count(key).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     n = int(stats["n"])
     n_val = int(validation_split * n)
-    n_train = n - n_val
     if n_val == 0:
-        info = SplitInfo(n, n_train, 0, None, key)
-    else:
-        boundary = kth_smallest(df, key, n_train, int(stats["lo"]), int(stats["hi"]))
-        info = SplitInfo(n, n_train, n_val, boundary, key)
-    if cache_key is not None:
-        _CACHE[cache_key] = info
-    return info
+        return SplitInfo(n, n, 0, None, key)
+    boundary, smaller = kth_smallest(df, key, n - n_val, int(stats["lo"]), int(stats["hi"]))
+    return SplitInfo(n, smaller, n - smaller, boundary, key)

@@ -14,7 +14,7 @@ from bowline.operators import naive_bayes as NB
 from bowline.plans import lr_queries as LQ
 from bowline.plans import nb_queries as NQ
 from bowline.plans import sql as S
-from bowline.plans.workload import LR_NORMALISED, Workload
+from bowline.plans.workload import LR_NORMALISED, LR_STEPS, Workload
 from bowline.session import work_path
 from bowline.sources import matrix as M
 from bowline.sources import tables as T
@@ -61,14 +61,30 @@ def q_write_predictions(spark, sf_dir) -> DataFrame:
     return T.read_predictions(spark, path)
 
 
+def _fresh_store(spark) -> T.SnapshotStore:
+    return T.SnapshotStore.for_run(spark, "x_normalization", LR_NORMALISED["eta"], LR_NORMALISED["lam"],
+                                   uuid.uuid4().hex[:12])
+
+
+def q_resume_training(spark, sf_dir) -> DataFrame:
+    """Train two steps, then resume from the latest snapshot in the store for
+    what is missing to LR_STEPS: the weights of a straight run."""
+    w = Workload.of(spark, sf_dir)
+    feats, store = w.features("train", True), _fresh_store(spark)
+    step = (LR_NORMALISED["eta"], LR_NORMALISED["lam"])
+    L.train(feats, None, w.k_lr, L.Schedule(2), *step, snapshots=store)
+    W, done = T.SnapshotStore(spark, store.root).load()
+    res = L.train(feats, None, w.k_lr, L.Schedule(LR_STEPS - done), *step, W=W, snapshots=store, start_iter=done)
+    return LQ._weights_out(w, res.W)
+
+
 def q_model_snapshots(spark, sf_dir) -> DataFrame:
     """Train 3 normalised steps saving every 2: snapshots 2 and 3 (remainder)."""
     w = Workload.of(spark, sf_dir)
-    store = T.SnapshotStore.for_run(spark, "x_normalization", LR_NORMALISED["eta"], LR_NORMALISED["lam"])
-    hp = L.Hyperparameters(LR_NORMALISED["eta"], LR_NORMALISED["lam"], num_iter=3,
-                           num_iter_print=1, num_iter_save=2, num_iter_validation=100)
+    store = _fresh_store(spark)
     feats = w.features("train", True)
-    L.train(feats, None, w.k_lr, hp, snapshots=store)
+    L.train(feats, None, w.k_lr, L.Schedule(3, save_every=2), LR_NORMALISED["eta"], LR_NORMALISED["lam"],
+            snapshots=store)
     k = w.k_lr
     t = L.with_terms(store.table(), feats)
     cells = F.array(*[F.struct(F.lit(j).alias("class_id"), F.col(f"w_{j}").alias("w")) for j in range(1, k + 1)])
@@ -83,6 +99,7 @@ QUERIES = {
     "load_or_build": q_load_or_build,
     "write_predictions": q_write_predictions,
     "model_snapshots": q_model_snapshots,
+    "resume_training": q_resume_training,
 }
 
 
@@ -96,6 +113,7 @@ def _oracle() -> dict[str, str]:
     o["load_or_build"] = NQ.ORACLE["term_counts"]
     o["write_predictions"] = NQ.ORACLE["nb_predict"].replace(
         "SELECT doc_id AS id, predicted FROM pred", 'SELECT CAST(doc_id AS BIGINT) AS id, CAST(predicted AS INTEGER) AS "class" FROM pred')
+    o["resume_training"] = LQ.ORACLE["lr_train"]
     snap = LQ._base(True) + LQ._steps(3, LR_NORMALISED["eta"], LR_NORMALISED["lam"])
     o["model_snapshots"] = S.with_(
         snap, f"SELECT 2 AS iter, term, class_id, round(w, {LQ.WD}) AS w FROM w2 UNION ALL "

@@ -42,7 +42,9 @@ def q_lr_gradient_step(spark, sf_dir) -> DataFrame:
 
 def q_lr_train(spark, sf_dir) -> DataFrame:
     w = _w(spark, sf_dir)
-    return _weights_out(w, w.lr_weights(LR_NORMALISED, LR_STEPS))
+    res = L.train(w.features("train", True), None, w.k_lr, L.Schedule(LR_STEPS),
+                  LR_NORMALISED["eta"], LR_NORMALISED["lam"])
+    return _weights_out(w, res.W)
 
 
 def q_normalize_weights(spark, sf_dir) -> DataFrame:
@@ -59,9 +61,8 @@ def q_weight_diagnostics(spark, sf_dir) -> DataFrame:
 
 def q_lr_history(spark, sf_dir) -> DataFrame:
     w = _w(spark, sf_dir)
-    hp = L.Hyperparameters(LR_NORMALISED["eta"], LR_NORMALISED["lam"], num_iter=LR_STEPS,
-                           num_iter_print=1, num_iter_save=LR_STEPS, num_iter_validation=1)
-    res = L.train(w.features("train", True), w.features("validation", True), w.k_lr, hp)
+    res = L.train(w.features("train", True), w.features("validation", True), w.k_lr,
+                  L.Schedule(LR_STEPS, check_every=1), LR_NORMALISED["eta"], LR_NORMALISED["lam"])
     rows = [(i, round(tr, PD), round(va, PD)) for i, tr, va in res.history]
     return spark.createDataFrame(rows, "iter int, train_accuracy double, validation_accuracy double")
 

@@ -2,34 +2,12 @@
 
 from __future__ import annotations
 
-from bowline.plans import nb_queries
+from bowline.plans import io_queries, lr_queries, nb_queries
 
 
 def all_queries() -> dict:
-    out = dict(nb_queries.QUERIES)
-    try:
-        from bowline.plans import lr_queries
-        out.update(lr_queries.QUERIES)
-    except ImportError:  # pragma: no cover
-        pass
-    try:
-        from bowline.plans import io_queries
-        out.update(io_queries.QUERIES)
-    except ImportError:  # pragma: no cover
-        pass
-    return out
+    return nb_queries.QUERIES | lr_queries.QUERIES | io_queries.QUERIES
 
 
 def all_oracles() -> dict:
-    out = dict(nb_queries.ORACLE)
-    try:
-        from bowline.plans import lr_queries
-        out.update(lr_queries.ORACLE)
-    except ImportError:  # pragma: no cover
-        pass
-    try:
-        from bowline.plans import io_queries
-        out.update(io_queries.ORACLE)
-    except ImportError:  # pragma: no cover
-        pass
-    return out
+    return nb_queries.ORACLE | lr_queries.ORACLE | io_queries.ORACLE

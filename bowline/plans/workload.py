@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bowline.operators import logistic as lr
-from bowline.operators.counts import vocabulary_size
 from bowline.operators.naive_bayes import NaiveBayesModel, nb_fit
 from bowline.operators.split import SplitInfo, ordered_split
 from bowline.sources.corpus import ClassSet, TextCorpus, corpus_from_table, read_table
@@ -33,7 +32,7 @@ class Workload:
 
     @staticmethod
     def of(spark: SparkSession, sf_dir: str) -> "Workload":
-        key = (id(spark), sf_dir.rstrip("/"))
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
         if key not in _CONTEXTS:
             _CONTEXTS[key] = Workload(spark, sf_dir)
         return _CONTEXTS[key]
@@ -66,11 +65,6 @@ class Workload:
     def validation(self, label: str) -> TextCorpus:
         return self.corpus(label).where(self.split().validation())
 
-    def vocab_size(self, with_benchmark: bool = False) -> int:
-        if with_benchmark:
-            return self._memo("V+b", lambda: vocabulary_size(self.corpus(None), self.benchmark()))
-        return self._memo("V", lambda: vocabulary_size(self.corpus(None)))
-
     def nb_model(self, label: str, part: str = "train", with_benchmark: bool = False) -> NaiveBayesModel:
         """Fitted on the training split (``part='train'``, vocabulary = all
         documents) or on all documents (vocabulary = documents, plus the

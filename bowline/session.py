@@ -49,11 +49,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="bowline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def durable_path(spark: SparkSession, *parts: str) -> str:
+    """A path for tables that outlive the application (caches, models): below
+    ``bowline.workDir``, else ``spark.checkpoint.dir`` itself, else (local
+    tests, where neither is set) the application's own checkpoint folder."""
+    base = spark.conf.get("bowline.workDir", None) or spark.conf.get("spark.checkpoint.dir", None) \
+        or checkpoint_dir(spark)
+    return "/".join([base.rstrip("/"), "bowline", *parts])
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
@@ -65,10 +76,5 @@ def broadcast_limit_bytes(spark: SparkSession) -> int:
     return int(value) if value else DEFAULT_BROADCAST_LIMIT
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local disk (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["get_session", "checkpoint_dir", "work_path", "broadcast_limit_bytes",
-           "local_path", "DEFAULT_BROADCAST_LIMIT"]
+           "durable_path", "DEFAULT_BROADCAST_LIMIT"]

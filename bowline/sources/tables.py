@@ -4,13 +4,13 @@ prediction CSVs (K1), ranked-word text (K2) and model snapshots (K3, L7)."""
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-from bowline.session import work_path
+from bowline.session import durable_path, work_path
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -20,19 +20,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def _files_fingerprint(source: DataFrame) -> list[str]:
+    """Path, length and modification time of every file the plan reads (file
+    metadata only), and the plan without its per-session expression numbers."""
+    spark = source.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in sorted(source.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        st = path.getFileSystem(conf).getFileStatus(path)
+        out.append(f"{name} {st.getLen()} {st.getModificationTime()}")
+    plan = source._jdf.queryExecution().analyzed().canonicalized().toString()
+    return [*out, re.sub(r"#\d+L?", "", plan)]
+
+
 def load_or_build(spark: SparkSession, name: str, build, *key_parts, source: DataFrame | None = None) -> DataFrame:
     """Read the Parquet table for (name, key) when a committed copy exists
     (``_SUCCESS`` present), else build it, write it and read it back.
 
-    The key covers the parameters and, when given, the semantic hash of the
-    source plan (its files and operators), so changed inputs never hit a stale
-    copy.
+    The key covers the parameters and, when given, the source's files (path,
+    length, modification time) and plan: an overwritten input is built again,
+    and a later application finds the copy of an unchanged one. ``key_parts``
+    have to name what else ``build`` depends on (its version, for one).
     """
-    parts = [repr(p) for p in key_parts]
-    if source is not None:
-        parts.append(str(source.semanticHash()))
-    key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-    path = work_path(spark, "tables", f"{name}-{key}")
+    parts = [repr(p) for p in key_parts] + (_files_fingerprint(source) if source is not None else [])
+    key = hashlib.sha256("|".join(parts).encode()).hexdigest()[:32]
+    path = durable_path(spark, "tables", f"{name}-{key}")
     if not _exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -52,9 +65,9 @@ def write_predictions(preds: DataFrame, path: str, id_col: str = "doc_id",
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).select(
-        F.col("id").cast("bigint").alias("id"), F.col("class").cast("int").alias("class"),
-        *[c for c in spark.read.option("header", True).csv(path).columns if c not in ("id", "class")])
+    rows = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return rows.select(F.col("id").cast("bigint").alias("id"), F.col("class").cast("int").alias("class"),
+                       *[c for c in rows.columns if c not in ("id", "class")])
 
 
 def write_lines(lines: DataFrame, path: str) -> str:
@@ -76,23 +89,28 @@ class SnapshotStore:
         self.root = root.rstrip("/")
 
     @staticmethod
-    def for_run(spark: SparkSession, normalization: str, eta: float, lam: float,
-                run: str | None = None) -> "SnapshotStore":
-        run = run or uuid.uuid4().hex[:12]
-        return SnapshotStore(spark, work_path(spark, "models", run, normalization, f"eta={eta},lambda={lam}"))
+    def for_run(spark: SparkSession, normalization: str, eta: float, lam: float, run: str) -> "SnapshotStore":
+        """The store of a named run; a later application that names the same
+        run and parameters resumes from it."""
+        return SnapshotStore(spark, durable_path(spark, "models", run, normalization, f"eta={eta},lambda={lam}"))
+
+    def committed(self) -> list[int]:
+        """Numbers of the completely written snapshots, in order."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return sorted(int(n[5:]) for n in names if re.fullmatch(r"iter=\d+", n)
+                      and _exists(self.spark, f"{self.root}/{n}/_SUCCESS"))
 
     def table(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.root)
-        except AnalysisException:
-            return None
+        paths = [f"{self.root}/iter={n}" for n in self.committed()]
+        return self.spark.read.option("basePath", self.root).parquet(*paths) if paths else None
 
     def latest(self) -> int:
-        t = self.table()
-        if t is None:
-            return 0
-        row = t.select(F.max("iter").alias("m")).first()
-        return int(row["m"]) if row["m"] is not None else 0
+        return max(self.committed(), default=0)
 
     def save(self, W: DataFrame, iterations: int) -> int:
         n = self.latest() + iterations
@@ -101,11 +119,13 @@ class SnapshotStore:
 
     def load(self, iteration: int | None = None) -> tuple[DataFrame | None, int]:
         """(W, iter) for the chosen or latest snapshot; (None, 0) when empty."""
-        t = self.table()
-        if t is None:
+        done = self.committed()
+        if not done:
             return None, 0
-        it = iteration if iteration is not None else self.latest()
-        return t.where(F.col("iter") == F.lit(it)).drop("iter"), it
+        it = iteration if iteration is not None else done[-1]
+        if it not in done:
+            raise ValueError(f"no complete snapshot {it}; there are {done}")
+        return self.spark.read.parquet(f"{self.root}/iter={it}"), it
 
 
 def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:

@@ -86,42 +86,56 @@ def test_normalize_weights_and_diagnostics(spark):
 def test_training_loop_history_snapshots_and_resume(spark):
     corpus = string_terms(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES))
     feats = L.build_features(corpus, False)
-    hp = L.Hyperparameters(0.001, 0.01, num_iter=5, num_iter_print=1, num_iter_save=2, num_iter_validation=1)
+    plan = L.Schedule(5, log_every=1, save_every=2, check_every=1)
     store = SnapshotStore(spark, work_path(spark, "tests", "snap-" + __import__("uuid").uuid4().hex))
-    res = L.train(feats, feats, K, hp, snapshots=store)
+    res = L.train(feats, feats, K, plan, 0.001, 0.01, snapshots=store)
     assert res.saved == [2, 4, 5]            # cadence 2, remainder 1
     assert [h[0] for h in res.history] == [1, 2, 3, 4, 5]
     # resume from the latest snapshot equals a straight run
     W5, it = store.load()
     assert it == 5
-    hp2 = L.Hyperparameters(0.001, 0.01, num_iter=2, num_iter_save=2, num_iter_validation=100)
-    res2 = L.train(feats, None, K, hp2, W=W5, snapshots=store)
+    res2 = L.train(feats, None, K, L.Schedule(2), 0.001, 0.01, W=W5, snapshots=store)
     assert res2.saved == [7]
-    straight = L.train(feats, None, K, L.Hyperparameters(0.001, 0.01, num_iter=7, num_iter_save=100,
-                                                         num_iter_validation=100))
+    straight = L.train(feats, None, K, L.Schedule(7), 0.001, 0.01)
     assert np.allclose(w_dense(res2.W, 5, feats), w_dense(straight.W, 5, feats), rtol=1e-12)
 
 
 def test_zero_iterations_only_evaluates(spark):
     corpus = string_terms(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES))
     feats = L.build_features(corpus, False)
-    res = L.train(feats, feats, K, L.Hyperparameters(num_iter=0))
+    res = L.train(feats, feats, K, L.Schedule(0))
     assert res.iterations == 0 and len(res.history) == 1
 
 
-def test_early_stop(spark):
+def test_schedule_and_stopping_rule():
+    assert L.Schedule(5, log_every=100, save_every=2, check_every=4).events() == [
+        (2, {"save"}), (4, {"save", "check"}), (5, set())]
+    rule = L.StoppingRule(0.1)
+    assert [rule.broken_by(a) for a in (0.5, 0.8, 0.71, 0.75, 0.69, 0.9)] == [False, False, False, False, True, False]
+
+
+def test_early_stop(spark, monkeypatch):
     corpus = string_terms(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES))
     feats = L.build_features(corpus, False)
-    # a validation split whose labels disagree with training: accuracy falls
-    val = string_terms(cell_corpus(spark, MICRO_COUNTS, np.array([3, 3, 1, 1, 2, 2])))
-    vfeats = L.build_features(val, False, dictionary=feats)
-    hp = L.Hyperparameters(0.01, 0.0, num_iter=30, num_iter_save=1000, num_iter_validation=1,
-                           validation_accuracy_diff_cutoff=0.1)
-    res = L.train(feats, vfeats, K, hp)
-    if res.stopped_early:
-        best = max(v for _, _, v in res.history)
-        assert res.iterations == len(res.history) + 1
-        assert best >= res.history[-1][2]
+    seen = iter([0.5, 0.5, 0.9, 0.5, 0.7, 0.5])          # validation, then training; the third check falls
+    monkeypatch.setattr(L, "accuracy", lambda *a: next(seen))
+    store = SnapshotStore(spark, work_path(spark, "tests", "stop-" + __import__("uuid").uuid4().hex))
+    res = L.train(feats, feats, K, L.Schedule(30, save_every=2, check_every=1), 0.01, 0.0, max_drop=0.1, snapshots=store)
+    assert res.stopped_early and res.iterations == 3
+    assert res.history == [(1, 0.5, 0.5), (2, 0.5, 0.9)]
+    assert res.saved == [2, 3] and store.committed() == [2, 3] and res.total_iter == 3
+
+
+def test_unlabelled_documents_have_no_part_in_training(spark):
+    """Weights equal those fitted on the labelled documents alone."""
+    from bowline.sources.corpus import ClassSet, corpus_from_table
+    rows = [(1, "a b b", "x"), (2, "b c", "y"), (3, "a a c", "x"), (4, "a b zzz", None), (5, "c c c", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    classes = ClassSet(("x", "y"))
+    both = [L.build_features(corpus_from_table(d, classes, "label"), True) for d in (df, df.where("label IS NOT NULL"))]
+    out = [sorted(map(tuple, L.weights_long(L.gradient_step(L.init_weights(f, 2), f, 2, 0.1, 0.01), 2, f)
+                      .select("term", "class_id", "w").collect())) for f in both]
+    assert both[0].m == 3 and out[0] == out[1]
 
 
 def test_dictionary_keys_and_unknown_terms(spark):
@@ -146,8 +160,7 @@ def test_score_latest_snapshot_and_write(spark):
     corpus = string_terms(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES))
     feats = L.build_features(corpus, False)
     store = SnapshotStore(spark, work_path(spark, "tests", "snap-" + uuid.uuid4().hex))
-    L.train(feats, None, K, L.Hyperparameters(0.001, 0.01, num_iter=3, num_iter_save=3, num_iter_validation=100),
-            snapshots=store)
+    L.train(feats, None, K, L.Schedule(3, save_every=3), 0.001, 0.01, snapshots=store)
     W, it = store.load()
     path = work_path(spark, "tests", "lrpred-" + uuid.uuid4().hex)
     L.write_split_predictions(W, feats, K, path, 0.001, 0.01, it)
@@ -158,11 +171,9 @@ def test_score_latest_snapshot_and_write(spark):
 
 
 def test_spread_layout_matches_bucketed(spark):
-    # one document holds most cells: 'auto' picks the spread layout
     counts = np.vstack([MICRO_COUNTS, np.arange(1, 6) * 3])
     classes = np.append(MICRO_CLASSES, 2)
     corpus = string_terms(cell_corpus(spark, counts, classes))
-    auto = L.build_features(corpus, True)
     bucketed = L.build_features(corpus, True, layout="bucketed")
     spread = L.build_features(corpus, True, layout="spread")
     assert spread.layout == "spread" and bucketed.layout == "bucketed"
@@ -172,7 +183,9 @@ def test_spread_layout_matches_bucketed(spark):
         Wb = L.gradient_step(Wb, bucketed, K, 0.05, 0.01)
         Ws = L.gradient_step(Ws, spread, K, 0.05, 0.01)
     assert np.allclose(w_dense(Wb, 5, bucketed), w_dense(Ws, 5, spread), rtol=1e-12, atol=1e-15)
-    assert auto.layout in ("spread", "bucketed")
+    # as many buckets as cells a document: one document is a straggler, 'auto' spreads
+    assert L.build_features(corpus, True, partitions=100).layout == "spread"
+    assert L.build_features(corpus, True, partitions=1).layout == "bucketed"
 
 
 def test_norm_stats_from_training_split(spark):

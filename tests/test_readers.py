@@ -76,3 +76,42 @@ def test_predictions_csv(spark):
     T.write_predictions(preds, path, beta=0.01)
     back = T.read_predictions(spark, path)
     assert sorted((r["id"], r["class"]) for r in back.collect()) == [(12001, 3), (12002, 1)]
+
+
+def test_load_or_build_sees_overwritten_input_and_survives_the_process(spark, tmp_path):
+    import subprocess
+    import sys
+
+    src, work = str(tmp_path / "src"), str(tmp_path / "work")
+    spark.conf.set("bowline.workDir", work)
+    try:
+        built = []
+
+        def count():
+            df = spark.read.parquet(src)
+            got = T.load_or_build(spark, "n", lambda: built.append(1) or df.groupBy().count(), "v1", source=df)
+            return got.first()[0]
+
+        spark.range(5).write.parquet(src)
+        assert count() == 5 and count() == 5 and len(built) == 1
+        # another application finds the copy: its builder must not run
+        code = (f"from bowline.session import get_session; from bowline.sources import tables as T\n"
+                f"s = get_session('local[1]'); s.conf.set('bowline.workDir', {work!r}); df = s.read.parquet({src!r})\n"
+                f"print('N', T.load_or_build(s, 'n', lambda: 1 / 0, 'v1', source=df).first()[0])")
+        run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200,
+                             cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        assert "N 5" in run.stdout, run.stderr[-2000:]
+        spark.range(50).write.mode("overwrite").parquet(src)
+        assert count() == 50 and len(built) == 2
+    finally:
+        spark.conf.unset("bowline.workDir")
+
+
+def test_snapshots_that_were_not_committed_are_ignored(spark, tmp_path):
+    store = T.SnapshotStore(spark, str(tmp_path / "w"))
+    assert store.table() is None and store.load() == (None, 0)
+    store.save(spark.range(3), 2)
+    half = tmp_path / "w" / "iter=9"
+    half.mkdir()
+    (half / "part-00000.parquet").write_bytes(b"half")
+    assert store.committed() == [2] and store.latest() == 2 and store.load()[0].count() == 3

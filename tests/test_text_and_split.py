@@ -45,7 +45,7 @@ def test_kth_smallest_every_position(spark):
     df = spark.createDataFrame([(i,) for i in ids], "k long")
     lo, hi = min(ids), max(ids)
     for pos in range(len(ids)):
-        assert kth_smallest(df, "k", pos, lo, hi) == sorted(ids)[pos]
+        assert kth_smallest(df, "k", pos, lo, hi) == (sorted(ids)[pos], pos)
 
 
 def test_split_without_validation(spark):
@@ -53,3 +53,15 @@ def test_split_without_validation(spark):
     info = ordered_split(df, 0.2)
     assert info.boundary is None and df.where(info.train()).count() == 2
     assert df.where(info.validation()).count() == 0
+
+
+def test_split_with_null_and_repeated_keys(spark):
+    from bowline.operators.split import ordered_split
+
+    for keys, frac in (([1, 2, 2, 2, 2], 0.4), ([None, 3, 1, 2, None], 0.4), ([None, 1, 2], 0.0), ([5] * 9, 0.5)):
+        df = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+        s = ordered_split(df, frac)
+        assert df.where(s.train()).count() == s.n_train and df.where(s.validation()).count() == s.n_validation
+        assert s.n_train + s.n_validation == s.n == sum(k is not None for k in keys)
+        labels = {r[0]: r[1] for r in df.select("doc_id", s.label()).collect()}
+        assert None not in keys or labels[None] is None
