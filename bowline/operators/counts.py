@@ -67,15 +67,18 @@ def collect_class_stats(train: Corpus, classes: ClassSet, counts: DataFrame | No
         n_docs = tuple(int(rows[j]["n_docs"]) if j in rows else 0 for j in range(1, k + 1))
         n_words = tuple(int(rows[j]["n_words"] or 0) if j in rows else 0 for j in range(1, k + 1))
         return ClassStats(n_docs, n_words)
-    nd = {r["class_id"]: int(r["n"]) for r in
-          train.rows().where(F.col("class_id").isNotNull()).groupBy("class_id")
-               .agg(F.count(F.lit(1)).alias("n")).collect()}
+    nd = {r["class_id"]: int(r["n_docs"]) for r in docs_per_class(train).collect()}
     w = counts.agg(*[F.sum(f"c_{j}").alias(f"c_{j}") for j in range(1, k + 1)]).first()
     n_docs = tuple(nd.get(j, 0) for j in range(1, k + 1))
     n_words = tuple(int(w[f"c_{j}"] or 0) for j in range(1, k + 1))
     return ClassStats(n_docs, n_words)
 
 
+def docs_per_class(train: Corpus) -> DataFrame:
+    """(class_id, n_docs) from the document rows alone: no text is read (A2)."""
+    return train.labelled().rows().groupBy("class_id").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
 def word_totals(train: Corpus) -> DataFrame:
     """(term, total): corpus count of each term (A5)."""
     return train.cells().groupBy("term").agg(F.sum("cnt").alias("total"))
@@ -86,15 +89,6 @@ def document_lengths(corpus: Corpus) -> DataFrame:
     return corpus.docs().select("doc_id", "n_tokens")
 
 
-def vocabulary_size(*corpora: Corpus) -> int:
-    """Number of distinct terms over the given corpora (shared vocabulary)."""
-    toks = None
-    for c in corpora:
-        t = c.cells().select("term")
-        toks = t if toks is None else toks.unionByName(t)
-    return int(toks.agg(F.count_distinct("term").alias("v")).first()["v"])
-
-
 @dataclass
 class OutlierBounds:
     avg: float

@@ -49,6 +49,15 @@ def confusion_matrix(preds: DataFrame, classes: ClassSet) -> DataFrame:
                 .select("predicted", "actual", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
+def with_class_names(df: DataFrame, classes: DataFrame, columns: list[str]) -> DataFrame:
+    """Each class id column c of ``columns`` gets a column ``<c>_name`` from the
+    class table (class_id, name) of k rows (J6); an unknown id has a null name."""
+    for c in columns:
+        names = classes.select(F.col("class_id").alias(c), F.col("name").alias(f"{c}_name"))
+        df = df.join(F.broadcast(names), c, "left")
+    return df
+
+
 def best_by_accuracy(acc: DataFrame, key: str = "beta") -> DataFrame:
     """The row with the highest accuracy; the smallest key wins ties."""
     best = acc.agg(F.max_by(F.col(key), F.struct(F.col("accuracy"), -F.col(key))).alias(key))

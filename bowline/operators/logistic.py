@@ -18,10 +18,10 @@ Semantics:
   its absolute sum within the split. normalize_W: W / sum |W| after each step.
 
 Layout: x is written once as a Parquet table bucketed by doc_id in the shared
-checkpoint folder. A step is: x join broadcast(W) -> aggregate by (doc_id,
-class_id) with no exchange -> residuals -> shuffled-hash join back to x on
-doc_id with no exchange -> per-term gradient (the one shuffle: partial sums)
--> W update. W is checkpointed every step (reliable checkpoint in the session's
+checkpoint folder. A step is: x join broadcast(W) -> aggregate by doc_id with
+no exchange -> residuals times eta -> shuffled-hash join back to x on doc_id
+with no exchange -> its products and the shrunk rows of W summed by term (the
+one shuffle: partial sums) = the new W. W is checkpointed every step (reliable checkpoint in the session's
 checkpoint folder) so lineage never grows. W is broadcast only when its
 computed size is under the limit; otherwise the score join is a shuffled
 sort-merge join on term (AQE splits hot terms; bias cells are kept out of it,
@@ -233,21 +233,25 @@ def init_weights(train: FeatureSplit, k: int, random_initial: bool = False, seed
     """W over the training terms plus the bias row; zeros, or N(0, 0.005)."""
     terms = train.terms.select("tkey")
     if random_initial:
-        cols = [(F.randn(seed + j) * F.lit(0.005)).alias(f"w_{j}") for j in range(1, k + 1)]
+        # randn adds the partition number to its seed: keep the columns' seeds apart
+        cols = [(F.randn(seed + j * 2**32) * F.lit(0.005)).alias(f"w_{j}") for j in range(1, k + 1)]
     else:
         cols = [F.lit(0.0).alias(f"w_{j}") for j in range(1, k + 1)]
     return terms.select("tkey", *cols).checkpoint(eager=True)
 
 
 def _scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame:
-    """(doc_id, class_id, z_1..z_{k-1}) for every document (each has a bias cell)."""
+    """(doc_id, class_id, z_1..z_{k-1}) for every document (each has a bias
+    cell), partitioned by doc_id alone so that later joins on it need no
+    further exchange."""
     spark = W.sparkSession
     wcols = [f"w_{j}" for j in range(1, k)]
     aggs = [F.sum(F.col("x") * F.col(f"w_{j}")).alias(f"z_{j}") for j in range(1, k)]
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs = [F.max("class_id").alias("class_id"), *aggs]
     if w_rows * wide_row_bytes(k) <= broadcast_limit_bytes(spark):
-        return split.x.join(F.broadcast(W.select("tkey", *wcols)), "tkey").groupBy("doc_id", "class_id").agg(*aggs)
+        return split.x.join(F.broadcast(W.select("tkey", *wcols)), "tkey").groupBy("doc_id").agg(*aggs)
     # W too large to broadcast: term cells meet W in a shuffled sort-merge join
     # on term, where AQE's skew-join handling splits hot terms; the bias part
     # is added from the doc-bucketed cells with the bias weights (k numbers)
@@ -257,8 +261,9 @@ def _scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame
         "doc_id", "class_id", *[(F.col("x") * F.col(f"w_{j}")).alias(f"v_{j}") for j in range(1, k)])
     from_bias = split.x.where(F.col("tkey") == F.lit(split.bias_key)).select(
         "doc_id", "class_id", *[(F.col("x") * F.lit(b[j - 1])).alias(f"v_{j}") for j in range(1, k)])
-    return (from_terms.unionByName(from_bias).groupBy("doc_id", "class_id")
-                      .agg(*[F.sum(f"v_{j}").alias(f"z_{j}") for j in range(1, k)]))
+    return (from_terms.unionByName(from_bias).groupBy("doc_id")
+                      .agg(F.max("class_id").alias("class_id"),
+                           *[F.sum(f"v_{j}").alias(f"z_{j}") for j in range(1, k)]))
 
 
 def _bias_weights(W: DataFrame, k: int, bias_key) -> list[float]:
@@ -311,24 +316,22 @@ def gradient_step(W: DataFrame, train: FeatureSplit, k: int, eta: float, lam: fl
 
 def gradient_step_plan(W: DataFrame, train: FeatureSplit, k: int, eta: float, lam: float,
                        stable: bool = False) -> DataFrame:
-    """The lazy plan of one step: scores -> residuals -> per-term gradient ->
-    updated W. W has one row per training term (bias included), so its row
-    count is known without a job."""
+    """The lazy plan of one step: scores -> residuals -> the per-term sums of
+    eta * (x * residual) and of W's own rows shrunk by 1 - eta * lam, which are
+    the new W. W has one row per training term (bias included), so its row
+    count is known without a job, and every term of x is among them."""
     w_rows = train.n_terms
     p = probabilities(W, train, k, stable, w_rows)
     r = p.select("doc_id",
-                 *[((F.col("class_id") == F.lit(j)).cast("double") - F.col(f"p_{j}")).alias(f"r_{j}")
+                 *[(F.lit(eta) * ((F.col("class_id") == F.lit(j)).cast("double") - F.col(f"p_{j}"))).alias(f"r_{j}")
                    for j in range(1, k + 1)])
     # bucketed: co-partitioned hash join, no exchange; spread: shuffled
     # sort-merge join, which AQE splits when one document is hot
     hint = "shuffle_hash" if train.layout == "bucketed" else "merge"
-    grad = (train.x.join(r.hint(hint), "doc_id")
-                   .groupBy("tkey")
-                   .agg(*[F.sum(F.col("x") * F.col(f"r_{j}")).alias(f"g_{j}") for j in range(1, k + 1)]))
-    return W.join(grad.hint("shuffle_hash"), "tkey", "left").select(
-        "tkey",
-        *[(F.col(f"w_{j}") + F.lit(eta) * (F.coalesce(F.col(f"g_{j}"), F.lit(0.0)) - F.lit(lam) * F.col(f"w_{j}")))
-          .alias(f"w_{j}") for j in range(1, k + 1)])
+    moves = train.x.join(r.hint(hint), "doc_id").select(
+        "tkey", *[(F.col("x") * F.col(f"r_{j}")).alias(f"w_{j}") for j in range(1, k + 1)])
+    kept = W.select("tkey", *[(F.col(f"w_{j}") * F.lit(1.0 - eta * lam)).alias(f"w_{j}") for j in range(1, k + 1)])
+    return kept.unionByName(moves).groupBy("tkey").agg(*[F.sum(f"w_{j}").alias(f"w_{j}") for j in range(1, k + 1)])
 
 
 def normalize_weights(W: DataFrame, k: int) -> DataFrame:

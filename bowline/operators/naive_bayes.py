@@ -25,9 +25,16 @@ from bowline.operators.counts import (
 from bowline.operators.joins import sized_join, wide_row_bytes
 from bowline.sources.corpus import ClassSet, Corpus
 
-# The smoothing grid of the beta sweep, 1e-5 .. 1 in six
-# log-spaced steps.
-BETA_GRID = (0.00001, 0.0001, 0.001, 0.01, 0.1, 1.0)
+
+
+def log_grid(start: float, stop: float, num: int) -> tuple[float, ...]:
+    """``num`` values from 10**start to 10**stop, evenly spaced in the exponent."""
+    step = (stop - start) / (num - 1) if num > 1 else 0.0
+    return tuple(10.0 ** (start + i * step) for i in range(num))
+
+
+# The smoothing grid of the beta sweep, 1e-5 .. 1 in six steps.
+BETA_GRID = log_grid(-5, 0, 6)
 
 
 @dataclass
@@ -156,31 +163,38 @@ def nb_beta_sweep(model: NaiveBayesModel, test: Corpus, betas=BETA_GRID,
                   vocab: str = "shared") -> DataFrame:
     """(beta, doc_id, class_id, predicted) for every beta, from one counts table.
 
-    Token cells join the (size-checked) counts table once; each joined row is
-    then expanded to the |betas| smoothing values and the log likelihoods are
-    computed there, so the broadcast side stays the plain k-column counts table.
-    The priors do not depend on beta. One join, one aggregate by (beta, doc).
+    The log likelihoods of all smoothing values are computed once per term, as
+    an array of (beta, l_1..l_k) on the model side; each token row meets its
+    array in one (size-checked) join and expands it, so no logarithm is taken
+    per token. The priors do not depend on beta. One aggregate by (beta, doc).
     """
     if vocab not in ("shared", "train"):
         raise ValueError("vocab must be 'shared' or 'train'")
     k = model.k
-    V = float(model.vocab_size)
     words = model.stats.n_words
-    beta_arr = F.array(*[F.lit(float(b)) for b in betas])
-    toks = test.scoring_cells()
-    joined = sized_join(toks, model.counts, "term", "left", model.n_terms, wide_row_bytes(k))
-    seen = sum((F.coalesce(F.col(f"c_{j}"), F.lit(0)) for j in range(1, k + 1)), F.lit(0)) > 0
-    expanded = joined.select("doc_id", "class_id", "term", "cnt", seen.alias("seen"),
-                             *class_cols("c", k), F.explode(beta_arr).alias("beta"))
-    aggs = []
-    for j in range(1, k + 1):
-        lik = F.log2((F.coalesce(F.col(f"c_{j}"), F.lit(0)) + F.col("beta"))
-                     / (F.lit(float(words[j - 1])) + F.col("beta") * F.lit(V)))
-        value = lik if vocab == "shared" else F.when(F.col("seen"), lik).otherwise(F.lit(0.0))
-        contrib = F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(F.col("cnt") * value)
-        aggs.append(F.sum(contrib).alias(f"a_{j}"))
+    betas = [float(b) for b in betas]
+    seen = sum((F.col(f"c_{j}") for j in range(1, k + 1)), F.lit(0)) > 0
+
+    def smoothed(count, beta: float):
+        return [F.log2((count(j) + F.lit(beta)) / F.lit(words[j - 1] + beta * model.vocab_size))
+                for j in range(1, k + 1)]
+
+    def grid(values):
+        return F.array(*[F.struct(F.lit(b).alias("beta"), *[v.alias(f"l_{j}") for j, v in enumerate(values(b), 1)])
+                         for b in betas])
+
+    nothing = grid(lambda b: [F.lit(0.0)] * k)
+    known = grid(lambda b: smoothed(lambda j: F.col(f"c_{j}"), b))
+    unseen = grid(lambda b: [F.lit(v) for v in model.unseen_log_likelihood(b)])
+    if vocab == "train":  # terms without training occurrences are ignored
+        known, unseen = F.when(seen, known).otherwise(nothing), nothing
+    lik = model.counts.select("term", known.alias("grid"))
+    joined = sized_join(test.scoring_cells(), lik, "term", "left", model.n_terms, wide_row_bytes((k + 1) * len(betas)))
+    cells = joined.select("doc_id", "class_id", "cnt", F.inline(
+        F.when(F.col("term").isNull(), nothing).otherwise(F.coalesce(F.col("grid"), unseen))))
+    per = cells.groupBy("beta", "doc_id", "class_id").agg(
+        *[F.sum(F.col("cnt") * F.col(f"l_{j}")).alias(f"a_{j}") for j in range(1, k + 1)])
     prior = model.log_prior()
-    per = expanded.groupBy("beta", "doc_id", "class_id").agg(*aggs)
     return per.select(
         "beta", "doc_id", "class_id",
         argmax_1based([F.col(f"a_{j}") + F.lit(prior[j - 1]) for j in range(1, k + 1)]).alias("predicted"))

@@ -39,16 +39,28 @@ def word_scores(model: NaiveBayesModel, vocab: DataFrame | None = None,
     return filled.select("term", total.alias("entropy_sum"))
 
 
+def with_words(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Replace the column index ``term`` by the word of ``vocabulary(term_id,
+    term)`` (J5); an index without a word keeps its number as text."""
+    words = vocabulary.select(F.col("term_id").alias("term"), F.col("term").alias("_word"))
+    out = df.join(words, "term", "left")
+    word = F.coalesce(F.col("_word"), F.col("term").cast("string")).alias("term")
+    return out.select(*[word if c == "term" else F.col(c) for c in df.columns])
+
+
 def word_ranking(model: NaiveBayesModel, vocab: DataFrame | None = None, num_words: int = 100,
-                 include_last_class: bool = False, digits: int = 9) -> DataFrame:
+                 include_last_class: bool = False, digits: int = 9, words: DataFrame | None = None) -> DataFrame:
     """Top ``num_words`` terms by ascending entropy sum (ties: term), as
     (rank, term, score) with score = -entropy_sum (the printed value).
+    ``words`` is the vocabulary file's table where terms are column indexes.
 
     Ordering uses the sum rounded to ``digits`` places so summation order
     cannot swap near-equal terms. TakeOrderedAndProject keeps only the top rows
     per partition; the rank window then runs on those ``num_words`` rows.
     """
     scored = word_scores(model, vocab, include_last_class)
+    if words is not None:
+        scored = with_words(scored, words)
     top = scored.orderBy(F.round("entropy_sum", digits), "term").limit(num_words)
     w = Window.orderBy(F.round("entropy_sum", digits), "term")
     return top.select(F.row_number().over(w).alias("rank"), "term",
@@ -61,6 +73,14 @@ def format_ranking(ranking: DataFrame) -> DataFrame:
                           .alias("line"))
 
 
+def parse_ranking(lines: DataFrame) -> DataFrame:
+    """(rank, term, score) from the lines that ``format_ranking`` made."""
+    line = r"^(\d+)\. (.*), ([^,]*)$"
+    return lines.select(F.regexp_extract("value", line, 1).cast("int").alias("rank"),
+                        F.regexp_extract("value", line, 2).alias("term"),
+                        F.regexp_extract("value", line, 3).cast("double").alias("score"))
+
+
 def uncertain_documents(probs: DataFrame, k: int, num_docs: int = 100, measure: str = "gini",
                         digits: int = 9) -> DataFrame:
     """Top ``num_docs`` documents by descending uncertainty of their class

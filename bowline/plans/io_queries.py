@@ -9,16 +9,22 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bowline.operators import evaluate as E
 from bowline.operators import logistic as L
 from bowline.operators import naive_bayes as NB
+from bowline.operators import ranking as R
 from bowline.plans import lr_queries as LQ
 from bowline.plans import nb_queries as NQ
 from bowline.plans import sql as S
-from bowline.plans.workload import LR_NORMALISED, LR_STEPS, Workload
+from bowline.plans.workload import LR_LABEL, LR_NORMALISED, LR_PLAIN, LR_STEPS, Workload
 from bowline.session import work_path
 from bowline.sources import matrix as M
 from bowline.sources import tables as T
-from bowline.sources.corpus import term_counts
+from bowline.sources.corpus import ClassSet, term_counts
+
+
+# Columns of the count matrix: a feature selection, the most frequent terms.
+MATRIX_TERMS = 200
 
 
 def _run_dir(spark, name: str) -> str:
@@ -61,6 +67,91 @@ def q_write_predictions(spark, sf_dir) -> DataFrame:
     return T.read_predictions(spark, path)
 
 
+def _matrix_files(spark, sf_dir) -> tuple[str, str, str]:
+    """(matrix, vocabulary, labels): the text files a classifier starts from,
+    for all documents over the most frequent terms (ties by term)."""
+    w = Workload.of(spark, sf_dir)
+    matrix, words, labels = (_run_dir(spark, n) for n in ("matrix", "matrix-words", "matrix-labels"))
+    corpus = w.corpus(NQ.EVAL_LABEL)
+    totals = corpus.cells().groupBy("term").agg(F.sum("cnt").alias("n"))
+    top = totals.orderBy(F.desc("n"), "term").limit(MATRIX_TERMS).select("term")
+    top.orderBy("term").write.text(words)
+    vocabulary = M.read_vocabulary(spark, words)
+    M.write_count_matrix(corpus, vocabulary, vocabulary.count(), matrix)
+    classes = w.classes(NQ.EVAL_LABEL).to_df(spark)
+    T.write_lines(classes.select(F.concat_ws(" ", F.col("class_id").cast("string"), "name").alias("value")), labels)
+    return matrix, words, labels
+
+
+def q_scan_count_matrix(spark, sf_dir) -> DataFrame:
+    """Write the count matrix, read it back: its nonzero cells, with words."""
+    matrix, words, _ = _matrix_files(spark, sf_dir)
+    cells = M.read_count_matrix(spark, matrix, check_width="row").cells()
+    return R.with_words(cells, M.read_vocabulary(spark, words))
+
+
+def q_matrix_word_ranking(spark, sf_dir) -> DataFrame:
+    """Naive Bayes fitted on the count matrix as read, ranked by word."""
+    matrix, words, labels = _matrix_files(spark, sf_dir)
+    classes = ClassSet.from_df(M.read_class_labels(spark, labels))
+    vocabulary = M.read_vocabulary(spark, words)
+    model = NB.nb_fit(M.read_count_matrix(spark, matrix, check_width="row"), classes)
+    ranking = R.word_ranking(model, num_words=100, words=vocabulary)
+    return ranking.select("rank", "term", F.round("score", 9).alias("score"))
+
+
+def q_named_predictions(spark, sf_dir) -> DataFrame:
+    w = Workload.of(spark, sf_dir)
+    preds = NQ.q_nb_predict(spark, sf_dir)
+    return E.with_class_names(preds, w.classes(NQ.FIT_LABEL).to_df(spark), ["predicted"])
+
+
+def q_named_confusion_matrix(spark, sf_dir) -> DataFrame:
+    w = Workload.of(spark, sf_dir)
+    cm = NQ.q_confusion_matrix_nb(spark, sf_dir)
+    return E.with_class_names(cm, w.classes(NQ.EVAL_LABEL).to_df(spark), ["predicted", "actual"]).select(
+        "predicted_name", "actual_name", "n")
+
+
+def q_confusion_matrix_train(spark, sf_dir) -> DataFrame:
+    """The confusion matrix of the training split, kept as a table."""
+    w = Workload.of(spark, sf_dir)
+    preds = L.predictions(w.lr_weights(LR_PLAIN, LR_STEPS), w.features("train", False), w.k_lr)
+    return T.written_table(E.confusion_matrix(preds, w.classes(LR_LABEL)), "confusion")
+
+
+def q_split_tables(spark, sf_dir) -> DataFrame:
+    """Both parts of the split written as one table partitioned by part."""
+    w = Workload.of(spark, sf_dir)
+    path = _run_dir(spark, "split")
+    docs = w.table("documents")
+    docs.withColumn("split", w.split().label()).where("split IS NOT NULL").write.partitionBy("split").parquet(path)
+    return spark.read.parquet(path).select("doc_id", "lang", F.length("text").cast("bigint").alias("n_chars"), "split")
+
+
+def q_ranked_words_text(spark, sf_dir) -> DataFrame:
+    """The ranking as numbered text lines, read back."""
+    path = _run_dir(spark, "ranked")
+    T.write_lines(R.format_ranking(NQ.q_word_ranking(spark, sf_dir)), path)
+    return R.parse_ranking(spark.read.text(path))
+
+
+def q_lr_write_predictions(spark, sf_dir) -> DataFrame:
+    """Score the validation split with a chosen snapshot (not the latest) and
+    write it with its run parameters; what the files say."""
+    w = Workload.of(spark, sf_dir)
+    store = _fresh_store(spark)
+    eta, lam = LR_PLAIN["eta"], LR_PLAIN["lam"]
+    L.train(w.features("train", False), None, w.k_lr, L.Schedule(LR_STEPS, save_every=LR_STEPS - 1), eta, lam,
+            snapshots=store)
+    W, done = store.load(LR_STEPS - 1)
+    path = _run_dir(spark, "lr-predictions")
+    L.write_split_predictions(W, w.features("validation", False), w.k_lr, path, eta, lam, done)
+    return T.read_predictions(spark, path).select(
+        "id", "class", F.col("eta").cast("double").alias("eta"), F.col("lambda").cast("double").alias("lambda"),
+        F.col("iter").cast("int").alias("iter"))
+
+
 def _fresh_store(spark) -> T.SnapshotStore:
     return T.SnapshotStore.for_run(spark, "x_normalization", LR_NORMALISED["eta"], LR_NORMALISED["lam"],
                                    uuid.uuid4().hex[:12])
@@ -100,6 +191,14 @@ QUERIES = {
     "write_predictions": q_write_predictions,
     "model_snapshots": q_model_snapshots,
     "resume_training": q_resume_training,
+    "scan_count_matrix": q_scan_count_matrix,
+    "matrix_word_ranking": q_matrix_word_ranking,
+    "named_predictions": q_named_predictions,
+    "named_confusion_matrix": q_named_confusion_matrix,
+    "confusion_matrix_train": q_confusion_matrix_train,
+    "split_tables": q_split_tables,
+    "ranked_words_text": q_ranked_words_text,
+    "lr_write_predictions": q_lr_write_predictions,
 }
 
 
@@ -118,6 +217,36 @@ def _oracle() -> dict[str, str]:
     o["model_snapshots"] = S.with_(
         snap, f"SELECT 2 AS iter, term, class_id, round(w, {LQ.WD}) AS w FROM w2 UNION ALL "
               f"SELECT 3 AS iter, term, class_id, round(w, {LQ.WD}) AS w FROM w3")
+    top = [S.toks("alltoks"), f"top AS (SELECT term FROM alltoks GROUP BY term ORDER BY count(*) DESC, term "
+                              f"LIMIT {MATRIX_TERMS})",
+           "toks AS MATERIALIZED (SELECT doc_id, term FROM alltoks JOIN top USING (term))"]
+    o["scan_count_matrix"] = S.with_(
+        top + [S.classes(NQ.EVAL_LABEL), S.docs(NQ.EVAL_LABEL)],
+        "SELECT d.doc_id, d.class_id, t.term, count(*) AS cnt FROM toks t JOIN docs d USING (doc_id) "
+        "WHERE d.class_id IS NOT NULL GROUP BY ALL")
+    ranking = NQ.ORACLE["word_ranking"]
+    o["matrix_word_ranking"] = ranking.replace(S.toks(), ",\n".join(top), 1)
+    o["named_predictions"] = NQ.ORACLE["nb_predict"].replace(
+        "SELECT doc_id AS id, predicted FROM pred",
+        "SELECT p.doc_id AS id, p.predicted, c.name AS predicted_name FROM pred p LEFT JOIN cls c ON c.class_id = p.predicted")
+    o["named_confusion_matrix"] = S.with_(
+        NQ._eval_pred_ctes(),
+        "SELECT a.name AS predicted_name, b.name AS actual_name, CAST(count(p.doc_id) AS BIGINT) AS n "
+        "FROM cls a CROSS JOIN cls b LEFT JOIN pred p ON p.predicted = a.class_id AND p.class_id = b.class_id "
+        "GROUP BY a.name, b.name")
+    o["split_tables"] = S.with_(
+        [S.split()], "SELECT d.doc_id, d.lang, length(d.text) AS n_chars, s.split FROM documents d JOIN split s USING (doc_id)")
+    o["ranked_words_text"] = ranking
+    plain = LQ._base(False, [("va", LQ._VA, False, "toks")]) + LQ._steps(LR_STEPS, LR_PLAIN["eta"], LR_PLAIN["lam"])
+    o["confusion_matrix_train"] = S.with_(
+        plain + LQ._probs("pt", f"w{LR_STEPS}", "tr") + [LQ._pred("pt")],
+        "SELECT a.class_id AS predicted, b.class_id AS actual, CAST(count(p.doc_id) AS BIGINT) AS n "
+        "FROM cls a CROSS JOIN cls b LEFT JOIN pr_pt p ON p.predicted = a.class_id AND p.class_id = b.class_id "
+        "GROUP BY a.class_id, b.class_id")
+    o["lr_write_predictions"] = S.with_(
+        plain + LQ._probs("pw", f"w{LR_STEPS - 1}", "va") + [LQ._pred("pw")],
+        f'SELECT CAST(doc_id AS BIGINT) AS id, CAST(predicted AS INTEGER) AS "class", {LR_PLAIN["eta"]!r}::DOUBLE AS eta, '
+        f'{LR_PLAIN["lam"]!r}::DOUBLE AS "lambda", {LR_STEPS - 1}::INTEGER AS iter FROM pr_pw')
     return o
 
 

@@ -39,7 +39,7 @@ def q_words_per_class(spark, sf_dir) -> DataFrame:
 
 
 def q_docs_per_class(spark, sf_dir) -> DataFrame:
-    return C.class_totals(_w(spark, sf_dir).corpus(EVAL_LABEL)).select("class_id", "n_docs")
+    return C.docs_per_class(_w(spark, sf_dir).corpus(EVAL_LABEL))
 
 
 def q_total_words_per_class(spark, sf_dir) -> DataFrame:
@@ -69,7 +69,7 @@ def q_train_validation_split(spark, sf_dir) -> DataFrame:
 def q_one_hot_labels(spark, sf_dir) -> DataFrame:
     """Sparse delta matrix of the training split: (class_id, doc_id, value=1)."""
     w = _w(spark, sf_dir)
-    return (w.train(FIT_LABEL).docs().where(F.col("class_id").isNotNull())
+    return (w.train(FIT_LABEL).labelled().rows()
              .select("class_id", "doc_id", F.lit(1).alias("value")))
 
 
@@ -173,7 +173,7 @@ def _base(label: str) -> list[str]:
 
 _TRAIN = "doc_id IN (SELECT doc_id FROM split WHERE split = 'train')"
 _VAL_DOCS = "vdocs AS (SELECT doc_id, class_id FROM docs WHERE doc_id IN (SELECT doc_id FROM split WHERE split = 'validation'))"
-_BETAS = "(VALUES (0.00001::DOUBLE), (0.0001::DOUBLE), (0.001::DOUBLE), (0.01::DOUBLE), (0.1::DOUBLE), (1.0::DOUBLE)) bt(beta)"
+_BETAS = "(VALUES " + ", ".join(f"({b!r}::DOUBLE)" for b in NB.BETA_GRID) + ") bt(beta)"
 
 
 def _sweep_ctes() -> list[str]:

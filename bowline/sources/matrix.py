@@ -7,7 +7,9 @@
 
 Lines are parsed with ``split`` + ``posexplode`` in one stage and zero cells are
 dropped before any shuffle. Casts run in ANSI mode, so a malformed number fails
-the job; ``check_width`` also fails on rows of unequal length.
+the job. ``check_width=True`` refuses rows of unequal length before anything
+else, in a pass of its own; ``"row"`` fails the reading job on a row that is not
+as wide as the first one, without a second pass.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.sources.corpus import CellCorpus
+from bowline.sources.corpus import CellCorpus, Corpus
 
 
 def read_lines_numbered(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +26,8 @@ def read_lines_numbered(spark: SparkSession, path: str) -> DataFrame:
     Rows of one file split arrive in order and carry consecutive
     ``monotonically_increasing_id`` values (stable on recomputation: the file
     splits are fixed); per-split line counts (one row per split, bounded by the
-    number of splits) give each split's offset.
+    number of splits) give each split's offset. Files that Spark wrote come in
+    the order of their part numbers, others by name.
     """
     raw = spark.read.text(path).select(
         F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
@@ -33,13 +36,15 @@ def read_lines_numbered(spark: SparkSession, path: str) -> DataFrame:
     offsets = blocks.select(
         "file", "block", "first",
         (F.sum("n").over(_ordered_window()) - F.col("n")).alias("offset"))
+    # one row per file split: as many as the scan has tasks
     return (raw.join(F.broadcast(offsets), ["file", "block"])
                .select((F.col("offset") + F.col("mid") - F.col("first")).alias("line_no"), "value"))
 
 
 def _ordered_window():
     from pyspark.sql import Window
-    return Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = F.regexp_extract("file", r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
+    return Window.orderBy(part, "file", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
@@ -68,14 +73,21 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_count_matrix(spark: SparkSession, path: str, labelled: bool = True,
-                      check_width: bool = True) -> CellCorpus:
+                      check_width: bool | str = True) -> CellCorpus:
     """Count-matrix text -> CellCorpus with term = 0-based column index.
 
     The unlabelled form (test file) has no class column.
     """
     lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
     arr = lines.select(F.split(F.col("value"), ",").alias("a"))
-    if check_width:
+    if check_width == "row":
+        first = arr.select(F.size("a")).first()
+        if first is not None:
+            width = F.lit(first[0])
+            arr = arr.select(F.when(F.size("a") == width, F.col("a")).otherwise(F.raise_error(F.concat(
+                F.lit("count matrix rows have different widths: "), width.cast("string"), F.lit(" and "),
+                F.size("a").cast("string")))).alias("a"))
+    elif check_width:
         w = arr.agg(F.min(F.size("a")).alias("lo"), F.max(F.size("a")).alias("hi")).first()
         if w["lo"] is not None and w["lo"] != w["hi"]:
             raise ValueError(f"count matrix rows have different widths ({w['lo']} .. {w['hi']})")
@@ -90,3 +102,20 @@ def read_count_matrix(spark: SparkSession, path: str, labelled: bool = True,
                          F.trim(F.col("raw")).cast("bigint").alias("cnt"))
                  .where(F.col("cnt") != 0))
     return CellCorpus(cells, rows)
+
+
+def write_count_matrix(corpus: Corpus, vocabulary: DataFrame, n_terms: int, path: str, labelled: bool = True) -> str:
+    """``corpus`` as count-matrix text with one column per row of ``vocabulary``
+    (term_id 0..n_terms-1, term); terms outside it have no column. A line holds
+    ``n_terms`` numbers, so this is for narrow vocabularies."""
+    corpus = corpus.labelled() if labelled else corpus
+    counted = (corpus.tf().join(vocabulary.select("term", "term_id"), "term").groupBy("doc_id")
+                     .agg(F.map_from_entries(F.collect_list(F.struct("term_id", "cnt"))).alias("m")))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(n_terms - 1)),
+                        lambda i: F.coalesce(F.col("m")[i.cast("int")], F.lit(0)).cast("string"))
+    fields = [F.col("doc_id").cast("string"), F.concat_ws(",", cells)]
+    if labelled:
+        fields.append(F.col("class_id").cast("string"))
+    lines = corpus.rows().join(counted, "doc_id", "left").select(F.concat_ws(",", *fields).alias("value"))
+    lines.write.mode("overwrite").text(path)
+    return path

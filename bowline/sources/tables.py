@@ -65,9 +65,9 @@ def write_predictions(preds: DataFrame, path: str, id_col: str = "doc_id",
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return rows.select(F.col("id").cast("bigint").alias("id"), F.col("class").cast("int").alias("class"),
-                       *[c for c in rows.columns if c not in ("id", "class")])
+    """(id, class, <run parameters>) of the prediction CSVs below ``path``; the
+    two columns have a fixed schema, so no file is read ahead."""
+    return spark.read.option("header", True).schema("id bigint, class int").csv(path)
 
 
 def write_lines(lines: DataFrame, path: str) -> str:

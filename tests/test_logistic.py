@@ -203,3 +203,53 @@ def test_norm_stats_from_training_split(spark):
         for t in range(5):
             if val_counts[i, t]:
                 assert got[(d, str(t))] == pytest.approx(Xv[i, t + 1])
+
+
+def _two_steps(spark, counts=MICRO_COUNTS, classes=MICRO_CLASSES, **kw):
+    feats = L.build_features(string_terms(cell_corpus(spark, counts, classes)), True, **kw)
+    W = L.init_weights(feats, K)
+    for _ in range(2):
+        W = L.gradient_step(W, feats, K, 0.05, 0.01)
+    return feats, W
+
+
+@pytest.mark.parametrize("layout", ["bucketed", "spread"])
+def test_without_any_broadcast(spark, layout):
+    """The plans beyond the broadcast limit: the same weights and probabilities."""
+    feats, W = _two_steps(spark, layout=layout)
+    want, probs = w_dense(W, 5, feats), L.probabilities(W, feats, K).orderBy("doc_id").collect()
+    spark.conf.set("bowline.broadcastLimitBytes", "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        feats, W = _two_steps(spark, layout=layout)
+        plan = L.gradient_step_plan(W, feats, K, 0.05, 0.01)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan
+        assert np.allclose(w_dense(W, 5, feats), want, rtol=1e-12, atol=1e-15)
+        got = L.probabilities(W, feats, K).orderBy("doc_id").collect()
+        assert np.allclose([list(r)[2:] for r in got], [list(r)[2:] for r in probs], rtol=1e-12)
+    finally:
+        spark.conf.unset("bowline.broadcastLimitBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_shuffle_a_step(spark):
+    """Bucketed features and a broadcast W: only the sums by term are exchanged."""
+    feats, W = _two_steps(spark)
+    plan = L.gradient_step_plan(W, feats, K, 0.05, 0.01)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange RoundRobin" not in plan
+
+
+def test_string_keys_after_a_hash_collision(spark, monkeypatch):
+    feats, W = _two_steps(spark)
+    want = w_dense(W, 5, feats)
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("bigint"))
+    feats, W = _two_steps(spark)
+    assert feats.bias_key == L.BIAS_TERM
+    assert np.allclose(w_dense(W, 5, feats), want, rtol=1e-12, atol=1e-15)
+
+
+def test_random_start(spark):
+    feats, _ = _two_steps(spark)
+    W = w_dense(L.init_weights(feats, K, random_initial=True, seed=7), 5, feats)
+    assert W.shape == (3, 6) and len(set(W.ravel())) == 18 and 0 < np.abs(W).max() < 0.05

@@ -92,3 +92,33 @@ def test_beta_sweep_matches_single_fits(spark):
         _, ref = nb_reference(MICRO_COUNTS, MICRO_CLASSES, MICRO_COUNTS[::-1], 3, beta=beta)
         got = {r["doc_id"]: r["predicted"] for r in sweep.where(f"beta = {beta}").collect()}
         assert [got[d] for d in range(50, 56)] == list(ref)
+
+
+def test_three_hundred_classes_match_numpy(spark):
+    """No limit on the number of classes; the same result as brute force."""
+    rng = np.random.default_rng(3)
+    k = 300
+    counts = rng.integers(0, 4, (k + 40, 6))
+    classes = np.concatenate([np.arange(1, k + 1), rng.integers(1, k + 1, 40)])
+    names = ClassSet.from_labels(spark.createDataFrame([(f"c{j:03d}",) for j in range(k)], "label string"), "label")
+    assert names.k == k
+    train = cell_corpus(spark, counts, classes)
+    test = cell_corpus(spark, counts[:5], [None] * 5, ids=range(1000, 1005))
+    model = nb_fit(train, names)
+    ref_scores, _ = nb_reference(counts, classes, counts[:5], k)
+    got = _scores(nb_scores(model, test), k)
+    assert all(np.allclose(got[1000 + i], ref_scores[i], rtol=1e-12) for i in range(5))
+
+
+def test_sweep_ignores_unknown_terms_with_training_vocabulary(spark):
+    train = cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES)
+    test = cell_corpus(spark, np.array([[0, 0, 0, 0, 0, 4], [1, 0, 0, 3, 0, 9], [0] * 6]), [None] * 3, ids=[7, 8, 9])
+    model = nb_fit(train, CLASSES3, extra_vocab=[test])
+    for vocab in ("shared", "train"):
+        sweep = {(r["beta"], r["doc_id"]): r["predicted"]
+                 for r in nb_beta_sweep(model, test, betas=(0.01, 1.0), vocab=vocab).collect()}
+        for beta in (0.01, 1.0):
+            single = nb_predict(model.with_beta(beta), test, vocab)
+            assert {r["doc_id"]: r["predicted"] for r in single.collect()} == \
+                {d: p for (b, d), p in sweep.items() if b == beta}
+    assert model.vocab_size == 6

@@ -66,3 +66,18 @@ def test_zero_weights_give_uniform_probabilities(spark):
     p = L.probabilities(W, feats, 3).collect()
     for r in p:
         assert [r["p_1"], r["p_2"], r["p_3"]] == pytest.approx([1 / 3] * 3)
+
+
+def test_ranking_by_word_and_text_round_trip(spark):
+    from bowline.operators import ranking as R
+    from bowline.operators.naive_bayes import nb_fit
+    from bowline.sources.corpus import ClassSet
+    from fixtures import MICRO_CLASSES, MICRO_COUNTS, cell_corpus
+    model = nb_fit(cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES), ClassSet(("a", "b", "c")))
+    plain = {r["term"]: r["score"] for r in R.word_ranking(model, num_words=5).collect()}
+    words = spark.createDataFrame([(i, f"w, {9 - i}") for i in range(4)], "term_id int, term string")
+    named = R.word_ranking(model, num_words=5, words=words)
+    got = {r["term"]: r["score"] for r in named.collect()}
+    assert got == {("4" if t == 4 else f"w, {9 - t}"): s for t, s in plain.items()}
+    lines = R.format_ranking(named).withColumnRenamed("line", "value")
+    assert [tuple(r) for r in R.parse_ranking(lines).collect()] == [tuple(r) for r in named.collect()]

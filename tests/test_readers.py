@@ -115,3 +115,35 @@ def test_snapshots_that_were_not_committed_are_ignored(spark, tmp_path):
     half.mkdir()
     (half / "part-00000.parquet").write_bytes(b"half")
     assert store.committed() == [2] and store.latest() == 2 and store.load()[0].count() == 3
+
+
+def test_count_matrix_width_checked_in_the_row(spark, tmp_path):
+    short = _write(tmp_path / "short.csv", "1,0,2,1\n2,1\n")
+    with pytest.raises(Exception, match="different widths"):
+        M.read_count_matrix(spark, str(short), check_width="row").cells().collect()
+    empty = _write(tmp_path / "empty.csv", "")
+    assert M.read_count_matrix(spark, str(empty), check_width="row").cells().count() == 0
+
+
+def test_count_matrix_written_and_read(spark):
+    from bowline.sources.corpus import ClassSet, corpus_from_table
+    rows = [(1, "b a b zzz", "x"), (2, "", "y"), (3, None, "x"), (4, "a", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    vocabulary = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "term_id int, term string")
+    path = work_path(spark, "tests", "matrix-" + os.urandom(4).hex())
+    corpus = corpus_from_table(df, ClassSet(("x", "y")), "label")
+    M.write_count_matrix(corpus, vocabulary, 3, path)
+    assert sorted(r["value"] for r in spark.read.text(path).collect()) == ["1,1,2,0,1", "2,0,0,0,2", "3,0,0,0,1"]
+    M.write_count_matrix(corpus, vocabulary, 3, path, labelled=False)
+    back = M.read_count_matrix(spark, path, labelled=False, check_width="row")
+    assert sorted(map(tuple, back.cells().collect())) == [(1, None, 0, 1), (1, None, 1, 2), (4, None, 0, 1)]
+    assert back.rows().count() == 4
+
+
+def test_lines_follow_part_numbers(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for number in ("00002", "99999", "100000"):
+        _write(folder / f"part-{number}-x.txt", f"w{number}\n")
+    got = [r["term"] for r in M.read_vocabulary(spark, str(folder)).orderBy("term_id").collect()]
+    assert got == ["w00002", "w99999", "w100000"]
