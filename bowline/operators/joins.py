@@ -1,26 +1,7 @@
-"""Join helpers: broadcast a side only after its size has been checked."""
+"""Sizes of join sides: a side is broadcast only when its estimate fits."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from bowline.session import broadcast_limit_bytes
-
-
-def sized_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str,
-               small_rows: int, bytes_per_row: int) -> DataFrame:
-    """Join ``big`` to ``small``; broadcast ``small`` only when its estimated
-    size (``small_rows * bytes_per_row``) is under the session's limit.
-
-    Beyond the limit the join is left to a shuffled (sort-merge) join; AQE's
-    skew handling splits hot keys on the big side.
-    """
-    spark = big.sparkSession
-    if small_rows * bytes_per_row <= broadcast_limit_bytes(spark):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small.hint("merge"), on, how)
-
 
 def wide_row_bytes(k: int, key_bytes: int = 24) -> int:
     """Rough in-memory bytes of a (key, k doubles) row in a hashed relation."""

@@ -22,7 +22,8 @@ from bowline.functions.numeric import NEG_INF, argmax_1based
 from bowline.operators.counts import (
     ClassStats, class_cols, collect_class_stats, persist, words_per_class_wide,
 )
-from bowline.operators.joins import sized_join, wide_row_bytes
+from bowline.operators.joins import wide_row_bytes
+from bowline.session import broadcast_limit_bytes
 from bowline.sources.corpus import ClassSet, Corpus
 
 
@@ -114,22 +115,32 @@ def nb_fit(train: Corpus, classes: ClassSet, extra_vocab=(), vocab_size: int | N
     return NaiveBayesModel(classes, counts, n_terms, stats, v, b)
 
 
+def _meet(test: Corpus, side: DataFrame, n_terms: int, row_bytes: int) -> DataFrame:
+    """Cells of ``test`` left-joined to the per-term table ``side``, and one row
+    with a null term for documents without cells. While ``side`` fits a
+    broadcast, token rows meet it in place; beyond that, only (document, term)
+    counts are shuffled, and the null terms stay out of the join."""
+    if n_terms * row_bytes <= broadcast_limit_bytes(side.sparkSession):
+        return test.scoring_cells().join(F.broadcast(side), "term", "left")
+    empty = test.rows().select("doc_id", "class_id", F.lit(0).cast("bigint").alias("cnt"))
+    return test.tf().join(side.hint("merge"), "term", "left").unionByName(empty, allowMissingColumns=True)
+
+
 def nb_scores(model: NaiveBayesModel, test: Corpus, vocab: str = "shared") -> DataFrame:
     """(doc_id, class_id, s_1..s_k) for every document of ``test``.
 
     ``vocab='shared'``: a test term outside the training terms scores the
     smoothed unseen value; ``vocab='train'``: such terms are ignored.
-    Plan: token rows (explode_outer keeps empty documents) -> left join to the
-    likelihood table (broadcast when its checked size allows) -> hash aggregate
-    by document (partial before the shuffle, so one row per document moves).
+    Plan: cells -> left join to the likelihood table (broadcast when its checked
+    size allows) -> hash aggregate by document (partial before the shuffle, so
+    one row per document moves).
     """
     if vocab not in ("shared", "train"):
         raise ValueError("vocab must be 'shared' or 'train'")
     k = model.k
     lik = model.log_likelihood(with_seen=(vocab == "train"))
     unseen = model.unseen_log_likelihood()
-    toks = test.scoring_cells()
-    joined = sized_join(toks, lik, "term", "left", model.n_terms, wide_row_bytes(k))
+    joined = _meet(test, lik, model.n_terms, wide_row_bytes(k))
     prior = model.log_prior()
     aggs = []
     for j in range(1, k + 1):
@@ -189,7 +200,7 @@ def nb_beta_sweep(model: NaiveBayesModel, test: Corpus, betas=BETA_GRID,
     if vocab == "train":  # terms without training occurrences are ignored
         known, unseen = F.when(seen, known).otherwise(nothing), nothing
     lik = model.counts.select("term", known.alias("grid"))
-    joined = sized_join(test.scoring_cells(), lik, "term", "left", model.n_terms, wide_row_bytes((k + 1) * len(betas)))
+    joined = _meet(test, lik, model.n_terms, wide_row_bytes((k + 1) * len(betas)))
     cells = joined.select("doc_id", "class_id", "cnt", F.inline(
         F.when(F.col("term").isNull(), nothing).otherwise(F.coalesce(F.col("grid"), unseen))))
     per = cells.groupBy("beta", "doc_id", "class_id").agg(

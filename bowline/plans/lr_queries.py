@@ -18,6 +18,7 @@ from bowline.plans import sql as S
 from bowline.plans.workload import LR_LABEL, LR_NORMALISED, LR_PLAIN, LR_STEPS, Workload
 
 WD = 12   # decimal places kept for weights
+WIDE_LABEL = "source"   # 20 classes
 PD = 9    # decimal places kept for probabilities / accuracies
 
 
@@ -109,7 +110,28 @@ def q_uncertain_documents(spark, sf_dir) -> DataFrame:
     return top.select("rank", "doc_id", F.round("entropy", PD).alias("entropy"), F.round("gini", PD).alias("gini"))
 
 
+def _source_probs(spark, sf_dir) -> tuple[DataFrame, int]:
+    """Probabilities of the validation documents for the 20 ``source`` classes."""
+    w = _w(spark, sf_dir)
+    k = w.classes(WIDE_LABEL).k
+    W = w.lr_weights(LR_PLAIN, LR_STEPS, WIDE_LABEL)
+    return L.probabilities(W, w.features("validation", False, WIDE_LABEL), k), k
+
+
+def q_lr_probabilities_source(spark, sf_dir) -> DataFrame:
+    p, k = _source_probs(spark, sf_dir)
+    return L.probabilities_long(p, k).select("doc_id", "prob_class", F.round("p", PD).alias("p"))
+
+
+def q_uncertain_validation_documents(spark, sf_dir) -> DataFrame:
+    p, k = _source_probs(spark, sf_dir)
+    top = R.uncertain_documents(p, k, 100, "entropy")
+    return top.select("rank", "doc_id", F.round("entropy", PD).alias("entropy"), F.round("gini", PD).alias("gini"))
+
+
 QUERIES = {
+    "lr_probabilities_source": q_lr_probabilities_source,
+    "uncertain_validation_documents": q_uncertain_validation_documents,
     "normalize_features": q_normalize_features,
     "lr_gradient_step": q_lr_gradient_step,
     "lr_train": q_lr_train,
@@ -179,9 +201,9 @@ _VA = "SELECT doc_id, class_id FROM docs WHERE doc_id IN (SELECT doc_id FROM spl
 _BM = "SELECT item_id AS doc_id, CAST(NULL AS INTEGER) AS class_id FROM benchmark"
 
 
-def _base(normalize: bool, extra_splits: list[tuple[str, str, bool, str]] = ()) -> list[str]:
-    ctes = [S.toks(), S.toks("btoks", "benchmark", "item_id"), S.classes(LR_LABEL), S.split(),
-            S.docs(LR_LABEL), "kk AS (SELECT max(class_id) AS k FROM cls)"]
+def _base(normalize: bool, extra_splits: list[tuple[str, str, bool, str]] = (), label: str = LR_LABEL) -> list[str]:
+    ctes = [S.toks(), S.toks("btoks", "benchmark", "item_id"), S.classes(label), S.split(),
+            S.docs(label), "kk AS (SELECT max(class_id) AS k FROM cls)"]
     ctes += _features("tr", _TR, normalize)
     for name, filt, norm, tok in extra_splits:
         ctes += _features(name, filt, norm, tok)
@@ -227,6 +249,15 @@ def _oracle() -> dict[str, str]:
         "SELECT a.class_id AS predicted, b.class_id AS actual, CAST(count(p.doc_id) AS BIGINT) AS n "
         "FROM cls a CROSS JOIN cls b LEFT JOIN pr_pv p ON p.predicted = a.class_id AND p.class_id = b.class_id "
         "GROUP BY a.class_id, b.class_id")
+    wide = (_base(False, [("va", _VA, False, "toks")], WIDE_LABEL) + _steps(LR_STEPS, p_eta, p_lam)
+            + _probs("pv", W3, "va"))
+    o["lr_probabilities_source"] = S.with_(wide, f"SELECT doc_id, j AS prob_class, round(p, {PD}) AS p FROM p_pv")
+    o["uncertain_validation_documents"] = S.with_(
+        wide + ["unc AS (SELECT doc_id, -sum(CASE WHEN p > 0 THEN p * log2(p) ELSE 0 END) AS entropy, "
+                "1 - sum(p * p) AS gini FROM p_pv GROUP BY doc_id)"],
+        f"SELECT CAST(row_number() OVER (ORDER BY round(entropy, 9) DESC, doc_id) AS INTEGER) AS rank, doc_id, "
+        f"round(entropy, {PD}) AS entropy, round(gini, {PD}) AS gini FROM unc "
+        f"ORDER BY round(entropy, 9) DESC, doc_id LIMIT 100")
     raw = (_base(True, [("bm", _BM, False, "btoks")]) + _steps(LR_STEPS, n_eta, n_lam)
            + _probs("raw", W3, "bm") + [_pred("raw")])
     o["lr_predict_raw"] = S.with_(raw, "SELECT doc_id AS id, predicted FROM pr_raw")

@@ -32,8 +32,8 @@ class Workload:
 
     @staticmethod
     def of(spark: SparkSession, sf_dir: str) -> "Workload":
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-        if key not in _CONTEXTS:
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _CONTEXTS or _CONTEXTS[key].spark is not spark:
             _CONTEXTS[key] = Workload(spark, sf_dir)
         return _CONTEXTS[key]
 
@@ -70,34 +70,34 @@ class Workload:
         documents) or on all documents (vocabulary = documents, plus the
         benchmark items with ``with_benchmark``)."""
         def fit():
-            if part == "train":
-                data, extra = self.train(label), [self.validation(label)]
-            else:
-                data, extra = self.corpus(label), []
+            data, extra = self.corpus(label), []
+            if part == "train":  # one scan: a validation document gives terms but has no class
+                data = TextCorpus(data.base.withColumn(
+                    "class_id", F.when(self.split().train(), F.col("class_id"))))
             if with_benchmark:
                 extra.append(self.benchmark())
             return nb_fit(data, self.classes(label), extra)
         return self._memo(("nb", label, part, with_benchmark), fit)
 
-    def features(self, part: str, normalize: bool) -> lr.FeatureSplit:
+    def features(self, part: str, normalize: bool, label: str = LR_LABEL) -> lr.FeatureSplit:
         """Feature split; every non-training split is keyed through the
         training dictionary (the same for both normalisations)."""
         def build():
             if part == "train":
-                return lr.build_features(self.train(LR_LABEL), normalize)
-            c = self.validation(LR_LABEL) if part == "validation" else self.benchmark()
-            return lr.build_features(c, normalize, dictionary=self.features("train", normalize))
-        return self._memo(("x", part, normalize), build)
+                return lr.build_features(self.train(label), normalize)
+            c = self.validation(label) if part == "validation" else self.benchmark()
+            return lr.build_features(c, normalize, dictionary=self.features("train", normalize, label))
+        return self._memo(("x", part, normalize, label), build)
 
-    def lr_weights(self, variant: dict, steps: int) -> DataFrame:
+    def lr_weights(self, variant: dict, steps: int, label: str = LR_LABEL) -> DataFrame:
         """W after ``steps`` gradient steps from zeros (checkpointed)."""
         def run():
+            feats, k = self.features("train", variant["normalize"], label), self.classes(label).k
             if steps == 0:
-                return lr.init_weights(self.features("train", variant["normalize"]), self.k_lr)
-            prev = self.lr_weights(variant, steps - 1)
-            return lr.gradient_step(prev, self.features("train", variant["normalize"]), self.k_lr,
-                                    variant["eta"], variant["lam"])
-        return self._memo(("W", tuple(sorted(variant.items())), steps), run)
+                return lr.init_weights(feats, k)
+            prev = self.lr_weights(variant, steps - 1, label)
+            return lr.gradient_step(prev, feats, k, variant["eta"], variant["lam"])
+        return self._memo(("W", tuple(sorted(variant.items())), steps, label), run)
 
     @property
     def k_lr(self) -> int:

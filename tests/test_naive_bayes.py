@@ -122,3 +122,19 @@ def test_sweep_ignores_unknown_terms_with_training_vocabulary(spark):
             assert {r["doc_id"]: r["predicted"] for r in single.collect()} == \
                 {d: p for (b, d), p in sweep.items() if b == beta}
     assert model.vocab_size == 6
+
+
+def test_scores_without_any_broadcast(spark):
+    """The plan beyond the broadcast limit; empty documents keep their row."""
+    train = cell_corpus(spark, MICRO_COUNTS, MICRO_CLASSES)
+    test = cell_corpus(spark, np.vstack([MICRO_COUNTS, np.zeros((1, 5), dtype=int)]), [None] * 7, ids=range(50, 57))
+    model = nb_fit(train, CLASSES3)
+    want = _scores(nb_scores(model, test), 3)
+    sweep = sorted(map(tuple, nb_beta_sweep(model, test).collect()))
+    spark.conf.set("bowline.broadcastLimitBytes", "1")
+    try:
+        got = _scores(nb_scores(model, test), 3)
+        assert set(got) == set(range(50, 57)) and all(np.allclose(got[d], want[d], rtol=1e-12) for d in want)
+        assert sorted(map(tuple, nb_beta_sweep(model, test).collect())) == sweep
+    finally:
+        spark.conf.unset("bowline.broadcastLimitBytes")
