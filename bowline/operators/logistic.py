@@ -33,7 +33,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +94,7 @@ class FeatureSplit:
     layout: str = "bucketed"  # or "spread" when one document would overload a bucket
     colsums: DataFrame | None = None  # (term, colsum) of a normalised training split
     bias_value: float = 1.0
+    term_bytes: float = 24.0  # mean UTF-8 bytes of a term, for size checks
 
     def cells(self) -> DataFrame:
         """Feature cells without the bias column, (doc_id, class_id, tkey, x)."""
@@ -113,10 +113,10 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
 
     Without ``dictionary`` this is a training split and its terms become the
     model's dictionary. With one (the training split's), cells of terms outside
-    it are dropped - their weights are zero, so scores are unchanged - and keys
-    stay consistent across splits. The (doc, term) counts are persisted while
-    the column sums and the bucketed table are built, so the text is tokenised
-    once.
+    it are dropped - from a zero start they have no weight, so scores are unchanged; a random
+    start gives weights to the dictionary alone - and keys
+    stay consistent across splits. The (doc, term) counts are written once, so
+    the text is tokenised once and a lost executor rereads files.
 
     ``layout``: "bucketed" (by doc_id: per-document work needs no exchange),
     "spread" (a plain table: per-document sums go through partial aggregation
@@ -137,57 +137,47 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
     rows = corpus.rows()
     m = rows.count()
     # terms are keyed as strings so the bias term ('') shares the column
-    tf = (corpus.cells().withColumn("term", F.col("term").cast("string"))
-                .groupBy("doc_id", "class_id", "term")
-                .agg(F.sum("cnt").cast("double").alias("cnt"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    bias = (1.0 / m if m else 1.0) if normalize else 1.0
+    tf = written_table(corpus.cells().withColumn("term", F.col("term").cast("string"))
+                             .groupBy("doc_id", "class_id", "term")
+                             .agg(F.sum("cnt").cast("double").alias("cnt")), "tf")
     use_train = normalize and norm_stats == "train"
+    bias = (1.0 / m if m else 1.0) if normalize else 1.0
+    colsum = None
     if use_train:
         if dictionary is None or dictionary.colsums is None:
             raise ValueError("norm_stats='train' needs a normalised training split as dictionary")
-        bias = dictionary.bias_value
-    if normalize:
-        if use_train:
-            colsum = dictionary.colsums
-        else:
-            colsum = (tf.groupBy("term").agg(F.sum(F.abs("cnt")).alias("colsum"))
-                        .persist(StorageLevel.MEMORY_AND_DISK))
-        n = colsum.count()
-        right = F.broadcast(colsum) if n * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else colsum
+        bias, colsum = dictionary.bias_value, dictionary.colsums
+    elif normalize:
+        colsum = written_table(tf.groupBy("term").agg(F.sum(F.abs("cnt")).alias("colsum")), "colsums")
+    if dictionary is None:
+        # distinct training terms: the column sums already hold them
+        distinct = colsum.select("term") if colsum is not None else tf.select("term").distinct()
+        terms, n_terms, bias_key, term_bytes = _build_dictionary(
+            distinct.unionByName(spark.range(1).select(F.lit(BIAS_TERM).alias("term"))))
+    else:
+        terms, n_terms = dictionary.terms, dictionary.n_terms
+        bias_key, term_bytes = dictionary.bias_key, dictionary.term_bytes
+    if colsum is not None:
+        n = n_terms if dictionary is None or use_train else colsum.count()
+        right = F.broadcast(colsum) if n * wide_row_bytes(1, term_bytes) <= broadcast_limit_bytes(spark) else colsum
         cells = tf.join(right, "term").select(
             "doc_id", "class_id", "term", safe_div(F.col("cnt"), F.col("colsum")).alias("x"))
     else:
-        colsum = None
         cells = tf.select("doc_id", "class_id", "term", F.col("cnt").alias("x"))
-    bias_cells = rows.select("doc_id", "class_id", F.lit(BIAS_TERM).alias("term"), F.lit(bias).alias("x"))
-    cells = cells.unionByName(bias_cells)
-    saved_colsums = None
-    if dictionary is None:
-        if colsum is not None:
-            saved_colsums = written_table(colsum, "colsums")
-        # distinct training terms: the (persisted) column sums already hold them
-        distinct = (colsum.select("term") if colsum is not None else tf.select("term").distinct())
-        distinct = distinct.unionByName(spark.range(1).select(F.lit(BIAS_TERM).alias("term")))
-        terms, n_terms, bias_key = _build_dictionary(distinct)
-    else:
-        terms, n_terms, bias_key = dictionary.terms, dictionary.n_terms, dictionary.bias_key
-    right = F.broadcast(terms) if n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark) else terms
-    keyed = cells.join(right, "term").select("doc_id", "class_id", "tkey", "x")
+    right = F.broadcast(terms) if n_terms * wide_row_bytes(1, term_bytes) <= broadcast_limit_bytes(spark) else terms
+    # one bias cell a document, keyed without a join ('' would be a hot key)
+    key = F.lit(bias_key).cast(terms.schema["tkey"].dataType)
+    keyed = cells.join(right, "term").select("doc_id", "class_id", "tkey", "x").unionByName(
+        rows.select("doc_id", "class_id", key.alias("tkey"), F.lit(bias).alias("x")))
     sizes = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(
         F.max("n").alias("top"), F.sum("n").alias("total")).first()
     top, total = int(sizes["top"] or 0), int(sizes["total"] or 0)
     p = partitions or bucket_count(spark, total)
     if layout == "auto":
         layout = "spread" if total and top > 2 * total / p else "bucketed"
-    if layout == "bucketed":
-        x = bucketed_table(keyed, "doc_id", "x", p)
-    else:
-        x = written_table(keyed, "x")
-    tf.unpersist()
-    if colsum is not None and not use_train:
-        colsum.unpersist()
-    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout, saved_colsums, bias)
+    x = bucketed_table(keyed, "doc_id", "x", p) if layout == "bucketed" else written_table(keyed, "x")
+    own_colsums = colsum if dictionary is None else None
+    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout, own_colsums, bias, term_bytes)
 
 
 # Target bytes of feature cells per bucket (a cell is ~24 bytes in Parquet).
@@ -200,8 +190,8 @@ def bucket_count(spark, cells: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-cells * 24 // BUCKET_BYTES))
 
 
-def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object]:
-    """(tkey, term) with tkey = xxhash64(term) when the hash is collision-free
+def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object, float]:
+    """(tkey, term), its rows, the bias key and the mean term bytes; with tkey = xxhash64(term) when the hash is collision-free
     over these terms (checked exactly on the written table), else tkey = term.
     Written to the shared checkpoint folder so it is computed once."""
     import uuid
@@ -212,19 +202,20 @@ def _build_dictionary(distinct_terms: DataFrame) -> tuple[DataFrame, int, object
     path = work_path(spark, "dictionaries", uuid.uuid4().hex[:12])
     distinct_terms.select(F.xxhash64("term").alias("tkey"), "term").write.parquet(path)
     table = spark.read.parquet(path)
-    stats = table.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tkey").alias("nk")).first()
+    stats = table.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tkey").alias("nk"),
+                      F.avg(F.octet_length("term")).alias("size")).first()
     if stats["n"] == stats["nk"]:
         bias_key = spark.range(1).select(F.xxhash64(F.lit(BIAS_TERM)).alias("k")).first()["k"]
-        return table, int(stats["n"]), bias_key
+        return table, int(stats["n"]), bias_key, stats["size"]
     table.select(F.col("term").alias("tkey"), "term").write.parquet(path + "-strings")
-    return spark.read.parquet(path + "-strings"), int(stats["n"]), BIAS_TERM
+    return spark.read.parquet(path + "-strings"), int(stats["n"]), BIAS_TERM, stats["size"]
 
 
 def with_terms(df: DataFrame, split: FeatureSplit) -> DataFrame:
     """Replace ``tkey`` by the term string (dictionary join, size-checked broadcast)."""
     spark = df.sparkSession
-    right = (F.broadcast(split.terms) if split.n_terms * wide_row_bytes(1) <= broadcast_limit_bytes(spark)
-             else split.terms)
+    size = split.n_terms * wide_row_bytes(1, split.term_bytes)
+    right = F.broadcast(split.terms) if size <= broadcast_limit_bytes(spark) else split.terms
     cols = [c for c in df.columns if c != "tkey"]
     return df.join(right, "tkey").select(*[("term" if c == "tkey" else c) for c in ["tkey"] + cols])
 

@@ -46,6 +46,7 @@ class NaiveBayesModel:
     stats: ClassStats
     vocab_size: int            # V
     beta: float
+    key_bytes: float = 24.0    # mean bytes of a term, for size checks
 
     @property
     def k(self) -> int:
@@ -106,16 +107,18 @@ def nb_fit(train: Corpus, classes: ClassSet, extra_vocab=(), vocab_size: int | N
     ``beta`` defaults to 1 / V.
     """
     counts = persist(words_per_class_wide(train, classes.k, extra_vocab))
-    n_terms = counts.count()
+    size = counts.agg(F.count(F.lit(1)).alias("n"),
+                      F.avg(F.octet_length(F.col("term").cast("string"))).alias("bytes")).first()
+    n_terms = int(size["n"])
     stats = collect_class_stats(train, classes, counts)
     v = vocab_size if vocab_size is not None else n_terms
     b = beta if beta is not None else 1.0 / v
     if b <= 0:
         raise ValueError("beta must be > 0")
-    return NaiveBayesModel(classes, counts, n_terms, stats, v, b)
+    return NaiveBayesModel(classes, counts, n_terms, stats, v, b, size["bytes"] or 0.0)
 
 
-def _meet(test: Corpus, side: DataFrame, n_terms: int, row_bytes: int) -> DataFrame:
+def _meet(test: Corpus, side: DataFrame, n_terms: int, row_bytes: float) -> DataFrame:
     """Cells of ``test`` left-joined to the per-term table ``side``, and one row
     with a null term for documents without cells. While ``side`` fits a
     broadcast, token rows meet it in place; beyond that, only (document, term)
@@ -140,7 +143,7 @@ def nb_scores(model: NaiveBayesModel, test: Corpus, vocab: str = "shared") -> Da
     k = model.k
     lik = model.log_likelihood(with_seen=(vocab == "train"))
     unseen = model.unseen_log_likelihood()
-    joined = _meet(test, lik, model.n_terms, wide_row_bytes(k))
+    joined = _meet(test, lik, model.n_terms, wide_row_bytes(k, model.key_bytes))
     prior = model.log_prior()
     aggs = []
     for j in range(1, k + 1):
@@ -200,7 +203,8 @@ def nb_beta_sweep(model: NaiveBayesModel, test: Corpus, betas=BETA_GRID,
     if vocab == "train":  # terms without training occurrences are ignored
         known, unseen = F.when(seen, known).otherwise(nothing), nothing
     lik = model.counts.select("term", known.alias("grid"))
-    joined = _meet(test, lik, model.n_terms, wide_row_bytes((k + 1) * len(betas)))
+    joined = _meet(test, lik, model.n_terms,
+                   wide_row_bytes((k + 1) * len(betas), model.key_bytes))
     cells = joined.select("doc_id", "class_id", "cnt", F.inline(
         F.when(F.col("term").isNull(), nothing).otherwise(F.coalesce(F.col("grid"), unseen))))
     per = cells.groupBy("beta", "doc_id", "class_id").agg(
