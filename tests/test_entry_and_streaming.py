@@ -25,6 +25,18 @@ def test_registry_keys_consistent():
     assert len(qs) >= 30
 
 
+def test_every_query_of_the_core_has_an_oracle():
+    from bowline.plans.registry import all_oracles, all_queries
+    assert set(all_oracles()) == set(all_queries()) and len(all_queries()) == 46
+
+
+@pytest.mark.parametrize("key", ["scan_count_matrix", "matrix_word_ranking", "named_predictions",
+                                 "named_confusion_matrix", "split_tables", "ranked_words_text",
+                                 "lr_write_predictions", "confusion_matrix_train", "uncertain_validation_documents"])
+def test_written_and_named_results_match_oracle(spark, key):
+    test_queries_match_oracle_small(spark, key)
+
+
 @pytest.mark.parametrize("key", ["term_counts", "nb_classify", "confusion_matrix_nb", "word_ranking", "lr_train"])
 def test_queries_match_oracle_small(spark, key):
     con = duckdb.connect()
