@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +59,7 @@ class ClassStats:
 
 def collect_class_stats(train: Corpus, classes: ClassSet, counts: DataFrame | None = None) -> ClassStats:
     """n_docs per class from the document rows (no text read); n_words from
-    the (persisted) wide counts table when given."""
+    the (written) wide counts table when given."""
     k = classes.k
     if counts is None:
         rows = {r["class_id"]: r for r in class_totals(train).collect()}
@@ -128,7 +127,3 @@ def word_frequency_outliers(counts: DataFrame, k: int, bounds: OutlierBounds) ->
     return counts.select(
         "term", tot.alias("total"),
         ((tot >= F.lit(bounds.low)) & (tot <= F.lit(bounds.high))).alias("kept"))
-
-
-def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 
 from bowline.functions.numeric import NEG_INF, argmax_1based
 from bowline.operators.counts import (
-    ClassStats, class_cols, collect_class_stats, persist, words_per_class_wide,
+    ClassStats, class_cols, collect_class_stats, words_per_class_wide,
 )
 from bowline.operators.joins import wide_row_bytes
 from bowline.session import broadcast_limit_bytes
 from bowline.sources.corpus import ClassSet, Corpus
+from bowline.sources.tables import written_table
 
 
 
@@ -41,7 +42,7 @@ BETA_GRID = log_grid(-5, 0, 6)
 @dataclass
 class NaiveBayesModel:
     classes: ClassSet
-    counts: DataFrame          # (term, c_1..c_k), persisted
+    counts: DataFrame          # (term, c_1..c_k), a written table
     n_terms: int               # rows of ``counts``
     stats: ClassStats
     vocab_size: int            # V
@@ -106,7 +107,7 @@ def nb_fit(train: Corpus, classes: ClassSet, extra_vocab=(), vocab_size: int | N
     counting pass, and V = its size unless ``vocab_size`` is given.
     ``beta`` defaults to 1 / V.
     """
-    counts = persist(words_per_class_wide(train, classes.k, extra_vocab))
+    counts = written_table(words_per_class_wide(train, classes.k, extra_vocab), "class-counts")
     size = counts.agg(F.count(F.lit(1)).alias("n"),
                       F.avg(F.octet_length(F.col("term").cast("string"))).alias("bytes")).first()
     n_terms = int(size["n"])

@@ -1,7 +1,7 @@
 """Classify documents as they arrive (Structured Streaming).
 
 Each micro-batch is a set of whole documents, so the batch classification plan
-applies to it unchanged inside ``foreachBatch``; the fitted model (a persisted
+applies to it unchanged inside ``foreachBatch``; the fitted model (a written
 counts table plus k class totals) is the static side. Output of an epoch
 overwrites its own ``epoch=<id>`` folder, so a replayed batch after a failure
 leaves exactly one copy.
