@@ -5,9 +5,14 @@
 2. Pieces are dealt over partitions of about ``GROUP`` pieces by a hash (a key
    of many rows cannot pile up) and packed best-fit decreasing in each. Nearly
    full sequences are final and leave.
-3. The few underfull sequences become items: groups are merged ``FAN_IN`` at a
-   time and packed again, until one group is left or nothing is underfull. A
-   group of a later round that is still large is dealt over several tasks.
+3. Underfull sequences become items of (id, fill) and are packed again, those of
+   many groups in one task, round after round until one group is left. Two
+   sequences join only if one is at most half full, and best fit leaves no more
+   than one such in a group; so of the fuller ones only as many go on, the
+   emptiest, as there are such partners, and the rest is final. A round thus has
+   at most about two items for each group of the round before it, however many
+   underfull sequences there are, and no task gets more than about ``GROUP``.
+4. Pieces take the place that their sequence was given, by a join on its id.
 
 Defined results: null text is the empty text (one piece holding just the end
 id). Rows are packed as they are: repeated rows and null doc_ids each get their
@@ -32,7 +37,6 @@ from bowline.llm.common import Scratch, arrow_map
 SEQ_LEN = 4096
 END_ID = 1
 GROUP = 50_000          # pieces packed together in a task of the first round
-FAN_IN = 8              # groups merged into one in each later round
 NEARLY_FULL = 0.97      # a sequence this full is final at once
 CACHE_WORDS = 800_000   # words remembered in a Python worker
 
@@ -163,25 +167,47 @@ _PACKED = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
            "grp long, seq long, offset long, fill long")
 
 
-def _pack_fn(seq_len: int, round_no: int):
+def _pack_fn(seq_len: int):
+    """Pieces of a group -> their sequence, offset there and its fill."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if round_no == 0:
-            bins, offs, fill = best_fit(pdf["length"].to_numpy(), seq_len)
-        else:
-            # an underfull sequence moves as one item, its pieces staying together
-            seqs, first, item = np.unique(pdf["seq"].to_numpy(), return_index=True, return_inverse=True)
-            b, o, fill = best_fit(pdf["fill"].to_numpy()[first], seq_len)
-            bins, offs = b[item], o[item] + pdf["offset"].to_numpy()
-        pdf = pdf.copy()
-        # (round, group, bin) names a sequence for good
-        pdf["seq"] = (round_no << 56) + (pdf["grp"].to_numpy() << 24) + bins
-        pdf["offset"] = offs
-        pdf["fill"] = fill[bins]
-        return pdf
+        bins, offs, fill = best_fit(pdf["length"].to_numpy(), seq_len)
+        return pdf.assign(seq=(pdf["grp"].to_numpy() << 24) + bins, offset=offs, fill=fill[bins])
+
+    return run
+
+
+def _merge_fn(seq_len: int):
+    """Underfull sequences of a group -> the sequence that takes each (the one
+    at its start keeps its id), how far its pieces shift, and the new fill."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq", ignore_index=True)
+        bins, offs, fill = best_fit(pdf["fill"].to_numpy(), seq_len)
+        seq = pdf["seq"].to_numpy()
+        first = np.empty(len(fill), np.int64)
+        first[bins[offs == 0]] = seq[offs == 0]
+        return pd.DataFrame({"seq": seq, "now": first[bins], "shift": offs, "fill": fill[bins]})
 
     return run
 
 
+def joinable(seqs: DataFrame, seq_len: int, full: int) -> DataFrame:
+    """The underfull ``seqs(seq, fill)`` worth another round: all that are at
+    most half full and about as many of the others, emptiest first."""
+    seqs = seqs.where(F.col("fill") < full)
+    # one row for each fill, at most seq_len of them
+    counts = sorted(map(tuple, seqs.groupBy("fill").count().collect()))
+    want = sum(n for f, n in counts if 2 * f <= seq_len)
+    take = 2 * F.col("fill") <= seq_len
+    for f, n in counts:
+        if 2 * f > seq_len and want > 0:
+            # of equal ones, as many as wanted by a hash
+            some = (F.col("fill") == f) & (F.pmod(F.xxhash64("seq"), F.lit(n)) < want)
+            take, want = take | some, want - n
+    return seqs.where(take)
+
+
 def pieces_of(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN,
               end_id: int = END_ID) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -206,21 +232,32 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str | None =
     items = (pieces.where(F.col("length") < seq_len)
              .withColumn("grp", deal).withColumn("seq", F.lit(0).cast("long"))
              .withColumn("offset", F.lit(0).cast("long")).withColumn("fill", F.col("length")))
-    done, round_no = whole, 0
+    packed = scratch.write(items.groupBy("grp").applyInPandas(_pack_fn(seq_len), _PACKED), "packed")
     full = int(nearly_full * seq_len)
-    while True:
-        packed = scratch.write(items.groupBy("grp").applyInPandas(_pack_fn(seq_len, round_no), _PACKED),
-                               f"round{round_no}")
-        if groups == 1:
-            return done.unionByName(packed.select(*final_cols))
-        done = done.unionByName(packed.where(F.col("fill") >= full).select(*final_cols))
-        items = packed.where(F.col("fill") < full)
-        left = items.select("seq").distinct().count()
-        if not left:
-            return done
-        # Merge FAN_IN groups, or more when few sequences are left, never more
-        # than a task of ``group`` items; rounds end as the number of groups falls.
-        groups = max(1, min(-(-groups // FAN_IN), max(1, -(-left // group))) if left <= group * groups
-                     else -(-groups // FAN_IN))
-        items = items.withColumn("grp", F.pmod(F.xxhash64("seq"), F.lit(groups).cast("long")))
+    # each sequence has one piece at its start
+    seqs, moves, round_no = packed.where("offset = 0").select("seq", "fill"), None, 0
+    while groups > 1:
         round_no += 1
+        live = scratch.write(joinable(seqs, seq_len, full), f"live{round_no}")
+        left = live.count()
+        if left < 2:
+            break
+        groups = min(groups - 1, -(-left // group))
+        merged = scratch.write(
+            live.withColumn("grp", F.pmod(F.xxhash64("seq"), F.lit(groups).cast("long")))
+            .groupBy("grp").applyInPandas(_merge_fn(seq_len), "seq long, now long, shift long, fill long"),
+            f"merged{round_no}")
+        step = merged.where("shift > 0").select(F.col("seq").alias("was"), F.col("now").alias("then"),
+                                                F.col("shift").alias("more"))
+        fresh = step.toDF("seq", "now", "shift")
+        if moves is not None:
+            # what moved before moves on with the sequence that took it
+            fresh = fresh.unionByName(moves.join(step, F.col("now") == F.col("was"), "left").select(
+                "seq", F.coalesce("then", "now").alias("now"),
+                (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift")))
+        moves = scratch.write(fresh, f"moves{round_no}")
+        seqs = merged.where("shift = 0").select("seq", "fill")
+    if moves is not None:
+        packed = (packed.join(moves, "seq", "left").withColumn("seq", F.coalesce("now", "seq"))
+                  .withColumn("offset", F.col("offset") + F.coalesce("shift", F.lit(0))))
+    return whole.unionByName(packed.select(*final_cols))

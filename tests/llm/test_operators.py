@@ -73,6 +73,13 @@ def test_minhash_edge_cases(spark, docs):
     kept = minhash_tensor.drop_near_duplicates(spark, docs, width=2)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7, 9]
+    assert kept.where("doc_id IS NULL").count() == 1
+    spark.conf.set("bowline.broadcastLimitBytes", "1")
+    try:
+        past = minhash_tensor.drop_near_duplicates(spark, docs, width=2)
+        assert past.exceptAll(kept).count() == 0 and kept.exceptAll(past).count() == 0
+    finally:
+        spark.conf.unset("bowline.broadcastLimitBytes")
 
 
 def test_minhash_family_near_the_threshold(spark):
@@ -196,6 +203,21 @@ def test_packing_is_tight_over_many_groups(spark):
     assert check_sequences(rows, 100) <= 1.02 * -(-sum(r.length for r in rows) // 100) + 1
 
 
+def test_packing_carries_few_items_on(spark):
+    """Sequences that nothing can join stay out of later rounds: those go on that
+    are at most half full, and as many others, the emptiest."""
+    seqs = spark.createDataFrame([(k, 60 + k % 30) for k in range(900)] + [(1000 + k, 40) for k in range(6)]
+                                 + [(2000, 99)], "seq long, fill long")
+    rows = packing.joinable(seqs, 100, 97).collect()
+    assert sorted(r.seq for r in rows if r.fill <= 50) == list(range(1000, 1006))
+    assert {r.fill for r in rows if r.fill > 50} <= {60} and len(rows) <= 6 + 30
+    assert packing.joinable(seqs.where("fill > 50"), 100, 97).count() == 0
+    # two of three pieces are over half full: each small one meets at most one of them
+    df = spark.createDataFrame([(i, "a " * (62 if i % 3 else 35)) for i in range(2000)], "doc_id long, text string")
+    rows = packing.pack_documents(spark, df, seq_len=100, group=50).collect()
+    assert len(rows) == 2000 and check_sequences(rows, 100) == sum(r.length > 50 for r in rows)
+
+
 def test_gam_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
