@@ -173,5 +173,5 @@ def top_k(spark: SparkSession, emb: DataFrame, queries: Column | None = None, k:
     best = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
             .applyInPandas(_solve(dim, k), "query_id long, vec_id long, score long"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
