@@ -279,8 +279,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, width: int = SHIN
     rows that repeat a doc_id one row stays, rows without doc_id all stay."""
     found = near_duplicates(spark, docs, width, percent)
     scratch = Scratch(spark, "dedup")
-    keep = scratch.write(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id")
-                         .agg((F.count(F.lit(1)) > 1).alias("repeated")), "keep")
-    once = docs.join(keep.where("NOT repeated").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(keep.where("repeated").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(several).unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    # Only ids that go or repeat are looked up; the rest, null ids too, pass by.
+    ids = scratch.write(found.where("doc_id IS NOT NULL").groupBy("doc_id")
+                        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+                        .where("NOT kept OR rows > 1").select("doc_id", "kept"), "ids")
+    several = ids.where("kept").select("doc_id")
+    n, repeated = ids.agg(F.count(F.lit(1)), F.count_if("kept")).first()
+    # While the ids are known to fit a broadcast, no text is shuffled.
+    small = F.broadcast if 32 * n <= broadcast_limit_bytes(spark) else (lambda df: df)
+    out = docs.join(small(ids.select("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    if repeated:
+        out = out.unionByName(docs.join(small(several), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+                              .select(docs.columns))
+    return out
