@@ -7,10 +7,11 @@
 2. A host's most frequent skeleton is its wrapper. Every other skeleton of the
    host is aligned with it by simple tree matching (largest order-preserving
    matching of equal-labelled nodes), once for each distinct skeleton.
-3. Per wrapper slot, over all pages of the host: blocks, distinct blocks and the
-   share of the most frequent one. A slot whose blocks repeat is template, a slot
-   whose blocks vary is content. The counts are sums of hashed keys, so a host
-   with a third of all pages is spread over many tasks.
+3. Per wrapper slot, over the distinct pages of the host (pages with the same
+   blocks count once): pages, blocks (a value once a page), distinct blocks and
+   the share of the most frequent one. A slot whose blocks repeat is template, a
+   slot whose blocks vary is content. The counts are sums of hashed keys, so a
+   host with a third of all pages is spread over many tasks.
 4. Each page is parsed again, aligned with its host's wrapper, and its blocks
    are kept or dropped by their slot. Element roles (nav, footer, forms, class
    names such as ``ad`` or ``comments``) are always template; inside an article
@@ -21,9 +22,10 @@ decoded and white space joined. Wrappers (a few hundred bytes a host) are
 broadcast below the session's broadcast limit and joined by host beyond it.
 
 Defined results: null or empty html: empty text. Null urls are pages of one
-unnamed host. Pages of hosts too small to tell (fewer than ``MIN_PAGES``) go by
-element roles alone. Unclosed, unopened and truncated markup is tolerated.
-Repeated rows count each; extra columns of the input stay out.
+unnamed host. Pages of hosts too small to tell (fewer than ``MIN_PAGES`` distinct
+pages) go by element roles alone. Unclosed, unopened and truncated markup is
+tolerated. Repeated rows all come out but count once; extra columns of the input
+stay out.
 """
 
 from __future__ import annotations
@@ -44,9 +46,9 @@ from pyspark.sql.types import StringType
 from bowline.llm.common import Scratch, arrow_map
 from bowline.session import broadcast_limit_bytes
 
-MIN_PAGES = 5             # blocks a slot needs before it can be template
+MIN_PAGES = 5             # distinct pages a slot needs before it can be template
 MAX_DISTINCT = 0.5        # template: at most this share of its blocks is distinct
-ARTICLE_PAGES = 20        # the same two inside an article: blocks needed, and
+ARTICLE_PAGES = 20        # the same two inside an article: pages needed, and
 ARTICLE_SHARE = 0.9       # the share that the most frequent block must have
 MAX_DEPTH = 150           # nodes nested deeper are not aligned but go by roles
 
@@ -231,19 +233,26 @@ def _host(url: Column) -> Column:
     return F.regexp_replace(bare, r"^www\.", "")
 
 
-def _blocks_fn():
-    """(host, skeleton, node, hash) of every block; node -1 once for a page."""
-    schema = pa.schema([("host", pa.string()), ("skeleton", pa.string()), ("node", pa.int32()), ("value", pa.int64())])
+def _hash(text: str) -> int:
+    value = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _pages_fn():
+    """Per page: host, fingerprint of its blocks' texts in order, skeleton, and
+    the node and hash of each value of a node once."""
+    schema = pa.schema([("host", pa.string()), ("page", pa.binary()), ("skeleton", pa.string()),
+                        ("nodes", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))])
 
     def fn(cols):
         out = {f.name: [] for f in schema}
         for host, source in zip(cols["host"], cols["html"]):
             page = Page(source or "")
-            skeleton = page.skeleton()
-            for node, value in [(-1, 0), *((b[0], xxhash.xxh3_64_intdigest(b[1].encode("utf-8", "surrogatepass")))
-                                           for b in page.blocks)]:
-                for name, v in zip(out, (host, skeleton, node, value - (1 << 64) if value >> 63 else value)):
-                    out[name].append(v)
+            hashes = [_hash(b[1]) for b in page.blocks]
+            once = sorted({(b[0], h) for b, h in zip(page.blocks, hashes)})
+            mark = xxhash.xxh3_128_digest(np.array(hashes, np.int64).tobytes())
+            for name, v in zip(out, (host, mark, page.skeleton(), [k for k, _ in once], [h for _, h in once])):
+                out[name].append(v)
         return out
 
     return arrow_map(fn, schema)
@@ -264,24 +273,35 @@ def _slots_fn():
 
 
 def induce(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Per host: host, wrapper (skeleton), slots (array of struct<slot, n,
-    distinct_n, top_n>), from all its pages."""
+    """Per host: host, wrapper (skeleton), pages (distinct ones), slots (array of
+    struct<slot, pages, n, distinct_n, top_n>), from all its distinct pages."""
     scratch = Scratch(spark, "wrapper")
     rows = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
-    seen = scratch.write(
-        rows.mapInArrow(_blocks_fn(), "host string, skeleton string, node int, value long")
-        .groupBy("host", "skeleton", "node", "value").agg(F.count(F.lit(1)).alias("n")), "blocks")
-    shapes = seen.where("node = -1").select("host", "skeleton", "n")
-    wrapper = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper"))
+    # Copies are combined before the shuffle; of pages that differ in markup only one is taken.
+    single = scratch.write(
+        rows.mapInArrow(_pages_fn(), "host string, page binary, skeleton string, nodes array<int>, hashes array<long>")
+        .groupBy("host", "page").agg(F.min(F.struct("skeleton", "nodes", "hashes")).alias("p"))
+        .select("host", "p.*"), "pages")
+    shapes = single.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
+    wrapper = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper"),
+                                         F.sum("n").alias("pages"))
     slots = shapes.join(wrapper, "host").select("host", "skeleton", "wrapper") \
         .mapInArrow(_slots_fn(), "host string, skeleton string, node int, slot int")
-    values = (seen.where("node >= 0").join(slots, ["host", "skeleton", "node"])
+    # Beside its values every node of a page has one null, which counts the pages.
+    items = F.concat(F.arrays_zip(F.col("nodes").alias("node"), F.col("hashes").alias("value")),
+                     F.transform(F.array_distinct("nodes"), lambda k: F.struct(
+                         k.alias("node"), F.lit(None).cast("long").alias("value"))))
+    seen = (single.select("host", "skeleton", F.explode(items).alias("i")).select("host", "skeleton", "i.*")
+            .groupBy("host", "skeleton", "node", "value").agg(F.count(F.lit(1)).alias("n")))
+    values = (seen.join(slots, ["host", "skeleton", "node"])
               .groupBy("host", "slot", "value").agg(F.sum("n").alias("n")))
-    stats = values.groupBy("host", "slot").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct_n"),
-                                               F.max("n").alias("top_n"))
+    value_n = F.when(F.col("value").isNotNull(), F.col("n"))
+    stats = values.groupBy("host", "slot").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("pages"), F.sum(value_n).alias("n"),
+        F.count("value").alias("distinct_n"), F.max(value_n).alias("top_n"))
     # at most one entry a wrapper node
     listed = stats.groupBy("host").agg(F.sort_array(F.collect_list(
-        F.struct("slot", "n", "distinct_n", "top_n"))).alias("slots"))
+        F.struct("slot", "pages", "n", "distinct_n", "top_n"))).alias("slots"))
     return wrapper.join(listed, "host", "left")
 
 
@@ -291,8 +311,8 @@ def _verdicts(packed: str) -> tuple[str, frozenset[int], frozenset[int]]:
     they are template inside an article too."""
     got = json.loads(packed)
     slots = got.get("slots") or []
-    loose = {s["slot"] for s in slots if s["n"] >= MIN_PAGES and s["distinct_n"] <= MAX_DISTINCT * s["n"]}
-    strict = {s["slot"] for s in slots if s["n"] >= ARTICLE_PAGES and s["top_n"] >= ARTICLE_SHARE * s["n"]}
+    loose = {s["slot"] for s in slots if s["pages"] >= MIN_PAGES and s["distinct_n"] <= MAX_DISTINCT * s["n"]}
+    strict = {s["slot"] for s in slots if s["pages"] >= ARTICLE_PAGES and s["top_n"] >= ARTICLE_SHARE * s["n"]}
     return got["wrapper"], frozenset(loose), frozenset(strict)
 
 
@@ -323,7 +343,7 @@ def extract_main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     scratch = Scratch(spark, "extract")
     wrappers = scratch.write(induce(spark, pages).select(
-        "host", F.to_json(F.struct("wrapper", "slots")).alias("packed")), "wrappers")
+        "host", F.to_json(F.struct("wrapper", "pages", "slots")).alias("packed")), "wrappers")
     size = wrappers.agg(F.sum(F.octet_length("host") + F.octet_length("packed"))).first()[0] or 0
     if size <= broadcast_limit_bytes(spark) // 4:
         wrappers = F.broadcast(wrappers)

@@ -382,3 +382,20 @@ def test_article_of_every_page(spark):
         parts = re.split(r"</?(?:h1|p)>", re.sub(r"</?b>", "", art).replace("<br>", " "))
         want = [t for t in (" ".join(h.unescape(p).split()) for p in parts) if t]
         assert r.text.split("\n") == want
+
+
+def html_texts(spark, pages):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_wrapper.extract_main_text(spark, df).collect()}
+
+
+def test_html_copies_and_repeated_values_are_not_template(spark):
+    twice = [(f"http://d.x/{i}", f"<div><h2>Story {i // 2}</h2><p>Body {i // 2}</div>") for i in range(12)]
+    # 27 copies of one page, and 2 others, on one host
+    copies = [(f"http://c.x/{i}", f"<article><h1>Title {max(0, i - 26)}</h1><p>Text {max(0, i - 26)}</article>")
+              for i in range(29)]
+    cells = [("http://t.x/", "<table><tr>" + "<td>yes</td>" * 6 + "</tr></table><p>end")]
+    got = html_texts(spark, twice + copies + cells)
+    assert [got[i] for i in range(12)] == [f"Story {i // 2}\nBody {i // 2}" for i in range(12)]
+    assert [got[12 + i] for i in range(29)] == [f"Title {max(0, i - 26)}\nText {max(0, i - 26)}" for i in range(29)]
+    assert got[41] == "\n".join(["yes"] * 6 + ["end"])
