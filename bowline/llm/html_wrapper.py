@@ -15,7 +15,8 @@
 4. Each page is parsed again, aligned with its host's wrapper, and its blocks
    are kept or dropped by their slot. Element roles (nav, footer, forms, class
    names such as ``ad`` or ``comments``) are always template; inside an article
-   or main element only a slot that is all but constant on many pages is.
+   or main element only a slot that is all but constant on many pages is. Blocks
+   outside such elements go by their slot too, and stay where it tells nothing.
 
 A page's text is its kept blocks in page order, one a line, with references
 decoded and white space joined. Wrappers (a few hundred bytes a host) are
@@ -23,7 +24,8 @@ broadcast below the session's broadcast limit and joined by host beyond it.
 
 Defined results: null or empty html: empty text. Null urls are pages of one
 unnamed host. Pages of hosts too small to tell (fewer than ``MIN_PAGES`` distinct
-pages) go by element roles alone. Unclosed, unopened and truncated markup is
+pages) go by element roles alone, and where such a page has text in an article or
+main element, by these elements. Unclosed, unopened and truncated markup is
 tolerated. Repeated rows all come out but count once; extra columns of the input
 stay out.
 """
@@ -306,14 +308,15 @@ def induce(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
 
 @lru_cache(maxsize=1024)
-def _verdicts(packed: str) -> tuple[str, frozenset[int], frozenset[int]]:
-    """A wrapper's skeleton, its template slots, and those so constant that
-    they are template inside an article too."""
+def _verdicts(packed: str) -> tuple[str, bool, frozenset[int], frozenset[int]]:
+    """A wrapper's skeleton, whether its host has enough pages to tell, its
+    template slots, and those so constant that they are template inside an
+    article too."""
     got = json.loads(packed)
     slots = got.get("slots") or []
     loose = {s["slot"] for s in slots if s["pages"] >= MIN_PAGES and s["distinct_n"] <= MAX_DISTINCT * s["n"]}
     strict = {s["slot"] for s in slots if s["pages"] >= ARTICLE_PAGES and s["top_n"] >= ARTICLE_SHARE * s["n"]}
-    return got["wrapper"], frozenset(loose), frozenset(strict)
+    return got["wrapper"], got["pages"] >= MIN_PAGES, frozenset(loose), frozenset(strict)
 
 
 def main_text(source: str | None, wrapper: str | None) -> str:
@@ -321,14 +324,15 @@ def main_text(source: str | None, wrapper: str | None) -> str:
     page = Page(source or "")
     if not page.blocks:
         return ""
-    template, constant, at = frozenset(), frozenset(), {}
+    known, template, constant, at = False, frozenset(), frozenset(), {}
     if wrapper:
-        skeleton, template, constant = _verdicts(wrapper)
+        skeleton, known, template, constant = _verdicts(wrapper)
         at = align(page.skeleton(), skeleton)
-    marked = any(mark and not boiler for _, _, boiler, mark in page.blocks)
+    # Landmarks stand in for the slots of a host that is too small to have any.
+    marked = not known and any(mark and not boiler for _, _, boiler, mark in page.blocks)
     kept = []
     for node, text, boiler, mark in page.blocks:
-        if boiler or mark != marked or at.get(node) in (constant if mark else template):
+        if boiler or (marked and not mark) or at.get(node) in (constant if mark else template):
             continue
         kept.append(text)
     return "\n".join(kept)

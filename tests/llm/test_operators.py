@@ -399,3 +399,14 @@ def test_html_copies_and_repeated_values_are_not_template(spark):
     assert [got[i] for i in range(12)] == [f"Story {i // 2}\nBody {i // 2}" for i in range(12)]
     assert [got[12 + i] for i in range(29)] == [f"Title {max(0, i - 26)}\nText {max(0, i - 26)}" for i in range(29)]
     assert got[41] == "\n".join(["yes"] * 6 + ["end"])
+
+
+def test_html_slots_decide_beside_landmarks(spark):
+    beside = [(f"http://b.x/{i}", f"<body><div>Site name</div><section><h1>Head {i}</h1><p>Lead {i}</section>"
+                                  f"<article><p>Body {i}</article>") for i in range(8)]
+    cards = [(f"http://k.x/{i}", f"<body><section><p>Whole body {i}</section><ul><li><article><p>Teaser {i}</article></ul>")
+             for i in range(8)]
+    got = html_texts(spark, beside + cards + [("http://s.x/", beside[0][1])])
+    assert [got[i] for i in range(8)] == [f"Head {i}\nLead {i}\nBody {i}" for i in range(8)]
+    assert [got[8 + i] for i in range(8)] == [f"Whole body {i}\nTeaser {i}" for i in range(8)]
+    assert got[16] == "Body 0"     # one page tells nothing: landmarks are the prior
