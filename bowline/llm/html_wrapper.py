@@ -77,7 +77,9 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)"
                   r"|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"(?:^|\s|/)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# One attribute, its quoted or bare value consumed with it.
+_ATTR = re.compile(r"(=?[^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
+_USED = frozenset("class id role hidden aria-hidden".split())
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -85,7 +87,9 @@ _SPACE = re.compile(r"\s+")
 def _attributes(raw: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for m in _ATTR.finditer(raw):
-        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+        name = m[1].lower()
+        if name in _USED:
+            out.setdefault(name, m[2] or m[3] or m[4] or "")
     return out
 
 

@@ -410,3 +410,14 @@ def test_html_slots_decide_beside_landmarks(spark):
     assert [got[i] for i in range(8)] == [f"Head {i}\nLead {i}\nBody {i}" for i in range(8)]
     assert [got[8 + i] for i in range(8)] == [f"Whole body {i}\nTeaser {i}" for i in range(8)]
     assert got[16] == "Body 0"     # one page tells nothing: landmarks are the prior
+
+
+def test_html_attribute_names_are_not_looked_for_in_values():
+    for attr in ('style="overflow: hidden"', "title='The hidden truth'", 'title="a class=ad id=b"', "data-x=/hidden/ y",
+                 'alt = " role=search "', 'data-a="x"data-b=" hidden "'):
+        assert html_wrapper.main_text(f"<div {attr}><article><p>text</article></div>", None) == "text", attr
+        assert not html_wrapper._attributes(" " + attr)
+    for attr in ("hidden", "x='1' HIDDEN", 'style="a"hidden', "hidden=''", "data-x=/a/ hidden", 'aria-hidden = "true"',
+                 "Role=search"):
+        assert html_wrapper.main_text(f"<p>text<div {attr}><p>gone</div>", None) == "text", attr
+    assert html_wrapper._attributes(' class="a b" id=c class=d title="The hidden') == {"class": "a b", "id": "c"}
