@@ -13,10 +13,13 @@
    slot whose blocks vary is content. The counts are sums of hashed keys, so a
    host with a third of all pages is spread over many tasks.
 4. Each page is parsed again, aligned with its host's wrapper, and its blocks
-   are kept or dropped by their slot. Element roles (nav, footer, forms, class
-   names such as ``ad`` or ``comments``) are always template; inside an article
-   or main element only a slot that is all but constant on many pages is. Blocks
-   outside such elements go by their slot too, and stay where it tells nothing.
+   are kept or dropped by their slot. Element roles (nav, footer, forms, hidden
+   parts) are always template; inside an article or main element only a slot that
+   is all but constant on many pages is. Blocks outside such elements go by their
+   slot too, and stay where it tells nothing. A class name or id such as ``ad`` or
+   ``comments`` (a whole one) makes template as well, unless an article or main
+   element without such a name lies below it, or the slot varies; the latter does
+   not count beside the text of an article or main element.
 
 A page's text is its kept blocks in page order, one a line, with references
 decoded and white space joined. Wrappers (a few hundred bytes a host) are
@@ -55,7 +58,7 @@ ARTICLE_SHARE = 0.9       # the share that the most frequent block must have
 MAX_DEPTH = 150           # nodes nested deeper are not aligned but go by roles
 
 # HTML element names by their part in a page.
-SKIPPED = frozenset("script style noscript template iframe object svg math head title".split())
+SKIPPED = frozenset("script style noscript template iframe object svg head title".split())
 BOILERPLATE = frozenset("nav header footer aside form button select option input textarea label dialog menu "
                         "fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -95,27 +98,33 @@ def _attributes(raw: str) -> dict[str, str]:
 
 class Page:
     """Nodes as (label, parent), in the order in which they are first opened,
-    and text blocks as (node, text, dropped by role, inside a landmark)."""
+    and text blocks as (node, text, dropped by role, dropped by name unless the
+    slot varies, inside a landmark)."""
 
     def __init__(self, source: str):
         self.labels, self.parents, self.kids = ["#"], [-1], [[]]
-        self.blocks: list[tuple[int, str, bool, bool]] = []
-        # open elements: tag, node, boilerplate so far, landmark so far
-        self.open = [("#", 0, False, False)]
+        # elements named like template: the one around it, landmark below
+        self.named: list[list] = []
+        self.found: list[tuple[int, str, bool, int, bool]] = []
+        # open elements: tag, node, boilerplate so far, innermost named, landmark so far
+        self.open = [("#", 0, False, -1, False)]
         self.buffer: list[str] = []
         self._parse(source)
+        # A landmark below an element is below those around it too.
+        self.blocks = [(node, text, boiler, k >= 0 and not self.named[k][1], mark)
+                       for node, text, boiler, k, mark in self.found]
 
     def _flush(self) -> None:
         if self.buffer:
             text = _SPACE.sub(" ", htmllib.unescape("".join(self.buffer))).strip()
             self.buffer.clear()
             if text:
-                _, node, boiler, mark = self.open[-1]
-                self.blocks.append((node, text, boiler, mark))
+                self.found.append((self.open[-1][1], text, *self.open[-1][2:]))
 
     def _push(self, tag: str, attrs: dict[str, str]) -> None:
-        _, parent, boiler, mark = self.open[-1]
-        names = _NAME.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
+        _, parent, boiler, named, mark = self.open[-1]
+        given = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
+        names = _NAME.findall(given)
         label = f"{tag}.{names[0]}" if names else tag
         kids = self.kids[parent]
         if kids and self.labels[kids[-1]] == label:
@@ -128,9 +137,17 @@ class Page:
             kids.append(node)
         landmark = tag in LANDMARK or attrs.get("role", "").lower() in ("main", "article")
         role = (tag in BOILERPLATE and not (tag == "header" and mark) or attrs.get("role", "").lower() in ROLES
-                or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
-                or (not landmark and tag not in ("body", "html") and not ROLE_WORDS.isdisjoint(names)))
-        self.open.append((tag, node, boiler or role, mark or landmark))
+                or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true")
+        templatelike = tag not in ("body", "html", "main") and not ROLE_WORDS.isdisjoint(given.split())
+        if landmark and not templatelike:
+            k = named
+            while k >= 0 and not self.named[k][1]:
+                self.named[k][1] = True
+                k = self.named[k][0]
+        elif templatelike and not landmark:
+            self.named.append([named, False])
+            named = len(self.named) - 1
+        self.open.append((tag, node, boiler or role, named, mark or landmark))
 
     def _close_to(self, tags, stop=()) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -312,15 +329,16 @@ def induce(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
 
 @lru_cache(maxsize=1024)
-def _verdicts(packed: str) -> tuple[str, bool, frozenset[int], frozenset[int]]:
+def _verdicts(packed: str) -> tuple[str, bool, frozenset[int], frozenset[int], frozenset[int]]:
     """A wrapper's skeleton, whether its host has enough pages to tell, its
-    template slots, and those so constant that they are template inside an
-    article too."""
+    template slots, those so constant that they are template inside an article
+    too, and those that vary."""
     got = json.loads(packed)
     slots = got.get("slots") or []
     loose = {s["slot"] for s in slots if s["pages"] >= MIN_PAGES and s["distinct_n"] <= MAX_DISTINCT * s["n"]}
     strict = {s["slot"] for s in slots if s["pages"] >= ARTICLE_PAGES and s["top_n"] >= ARTICLE_SHARE * s["n"]}
-    return got["wrapper"], got["pages"] >= MIN_PAGES, frozenset(loose), frozenset(strict)
+    varying = {s["slot"] for s in slots if s["pages"] >= MIN_PAGES} - loose
+    return got["wrapper"], got["pages"] >= MIN_PAGES, frozenset(loose), frozenset(strict), frozenset(varying)
 
 
 def main_text(source: str | None, wrapper: str | None) -> str:
@@ -328,15 +346,20 @@ def main_text(source: str | None, wrapper: str | None) -> str:
     page = Page(source or "")
     if not page.blocks:
         return ""
-    known, template, constant, at = False, frozenset(), frozenset(), {}
+    known, template, constant, varying, at = False, frozenset(), frozenset(), frozenset(), {}
     if wrapper:
-        skeleton, known, template, constant = _verdicts(wrapper)
+        skeleton, known, template, constant, varying = _verdicts(wrapper)
         at = align(page.skeleton(), skeleton)
-    # Landmarks stand in for the slots of a host that is too small to have any.
-    marked = not known and any(mark and not boiler for _, _, boiler, mark in page.blocks)
+    marked = any(mark and not boiler and not named for _, _, boiler, named, mark in page.blocks)
     kept = []
-    for node, text, boiler, mark in page.blocks:
-        if boiler or (marked and not mark) or at.get(node) in (constant if mark else template):
+    for node, text, boiler, named, mark in page.blocks:
+        slot = at.get(node)
+        if boiler or slot in (constant if mark else template):
+            continue
+        if named and (slot not in varying or (marked and not mark)):
+            continue
+        # Landmarks stand in for the slots of a host that is too small to have any.
+        if marked and not mark and not known:
             continue
         kept.append(text)
     return "\n".join(kept)

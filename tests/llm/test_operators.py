@@ -421,3 +421,20 @@ def test_html_attribute_names_are_not_looked_for_in_values():
                  "Role=search"):
         assert html_wrapper.main_text(f"<p>text<div {attr}><p>gone</div>", None) == "text", attr
     assert html_wrapper._attributes(' class="a b" id=c class=d title="The hidden') == {"class": "a b", "id": "c"}
+
+
+def test_html_names_of_template_are_whole_and_can_be_overridden(spark):
+    for around in ("container no-sidebar", "layout has-sidebar", "layout sidebar"):
+        assert html_wrapper.main_text(f"<div class='{around}'><main><p>text</main></div>", None) == "text", around
+    for name in ("search-history", "social-policy", "related-work"):
+        assert html_wrapper.main_text(f"<article><section class='{name}'><p>text</section></article>", None) == "text"
+    assert html_wrapper.main_text("<article><p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</article>", None) == "a x=2 b"
+    assert html_wrapper.main_text("<p>text<div class='x Comments'><article class=comment><p>reply</div>", None) == "text"
+    pages = [(f"http://n.x/{i}", f"<article><p>Body {i}<div class=notice><p>Found {i}</div><div class=share><p>Share"
+                                 f"</div></article><div class=ad><p>Buy {i}</div>") for i in range(8)]
+    plain = [(f"http://p.x/{i}", f"<div class=notice><p>Found {i}</div><div class=social><p>Follow us</div>")
+             for i in range(8)]
+    got = html_texts(spark, pages + plain + pages[:1] + [("http://q.x/", plain[0][1])])
+    assert [got[i] for i in range(8)] == [f"Body {i}\nFound {i}" for i in range(8)]
+    assert [got[8 + i] for i in range(8)] == [f"Found {i}" for i in range(8)]
+    assert got[16] == got[0] and got[17] == ""
