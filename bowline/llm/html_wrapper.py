@@ -55,7 +55,6 @@ MIN_PAGES = 5             # distinct pages a slot needs before it can be templat
 MAX_DISTINCT = 0.5        # template: at most this share of its blocks is distinct
 ARTICLE_PAGES = 20        # the same two inside an article: pages needed, and
 ARTICLE_SHARE = 0.9       # the share that the most frequent block must have
-MAX_DEPTH = 150           # nodes nested deeper are not aligned but go by roles
 
 # HTML element names by their part in a page.
 SKIPPED = frozenset("script style noscript template iframe object svg head title".split())
@@ -200,14 +199,12 @@ class Page:
 
 @lru_cache(maxsize=4096)
 def _tree(skeleton: str) -> tuple[list[str], list[list[int]]]:
-    labels, kids, depth = ["#"], [[]], [0]
+    labels, kids = ["#"], [[]]
     for k, item in enumerate(skeleton.split(" ") if skeleton else [], 1):
         parent, _, label = item.partition(":")
         labels.append(label)
         kids.append([])
-        depth.append(depth[int(parent)] + 1)
-        if depth[k] <= MAX_DEPTH:
-            kids[int(parent)].append(k)
+        kids[int(parent)].append(k)
     return labels, kids
 
 
@@ -217,37 +214,39 @@ def align(page: str, wrapper: str) -> dict[int, int]:
     only below matched parents, siblings in order, as many pairs as possible."""
     la, ka = _tree(page)
     lb, kb = _tree(wrapper)
+    # Size of the best matching of two equal-labelled subtrees and the children
+    # it pairs (their own subtrees are in ``memo``), pairs below first.
     memo: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
-
-    def match(a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
-        """Size of the best matching of two equal-labelled subtrees and the
-        children it pairs (their own subtrees are in ``memo``)."""
-        got = memo.get((a, b))
-        if got is not None:
-            return got
+    todo = [(0, 0)]
+    while todo:
+        a, b = todo[-1]
         xs, ys = ka[a], kb[b]
-        w = np.zeros((len(xs) + 1, len(ys) + 1), np.int64)
-        s = [[match(x, y)[0] if la[x] == lb[y] else 0 for y in ys] for x in xs]
-        for i, row in enumerate(s, 1):
-            for j, v in enumerate(row, 1):
-                w[i, j] = max(w[i - 1, j], w[i, j - 1], w[i - 1, j - 1] + v)
+        below = [(x, y) for x in xs for y in ys if la[x] == lb[y] and (x, y) not in memo]
+        if below:
+            todo += below
+            continue
+        todo.pop()
+        w = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+        for i, x in enumerate(xs, 1):
+            for j, y in enumerate(ys, 1):
+                v = memo[x, y][0] if la[x] == lb[y] else 0
+                w[i][j] = max(w[i - 1][j], w[i][j - 1], w[i - 1][j - 1] + v)
         pairs, i, j = [], len(xs), len(ys)
         while i and j:
-            if w[i, j] == w[i - 1, j]:
+            if w[i][j] == w[i - 1][j]:
                 i -= 1
-            elif w[i, j] == w[i, j - 1]:
+            elif w[i][j] == w[i][j - 1]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
                 pairs.append((xs[i], ys[j]))
-        memo[a, b] = int(w[len(xs), len(ys)]) + 1, pairs
-        return memo[a, b]
+        memo[a, b] = w[len(xs)][len(ys)] + 1, pairs
 
     out, todo = {}, [(0, 0)]
     while todo:
         a, b = todo.pop()
         out[a] = b
-        todo += match(a, b)[1]
+        todo += memo[a, b][1]
     return out
 
 

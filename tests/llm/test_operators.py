@@ -438,3 +438,9 @@ def test_html_names_of_template_are_whole_and_can_be_overridden(spark):
     assert [got[i] for i in range(8)] == [f"Body {i}\nFound {i}" for i in range(8)]
     assert [got[8 + i] for i in range(8)] == [f"Found {i}" for i in range(8)]
     assert got[16] == got[0] and got[17] == ""
+
+
+def test_html_deeply_nested_template_is_aligned(spark):
+    assert len(html_wrapper.align(*[html_wrapper.Page("<div>" * 5000 + "x").skeleton()] * 2)) == 5001
+    pages = [(f"http://e.x/{i}", "<div>" * 400 + f"<p>Body {i}</p><dl><dd>Trending now</dl>") for i in range(6)]
+    assert html_texts(spark, pages) == {i: f"Body {i}" for i in range(6)}
