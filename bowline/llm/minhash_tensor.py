@@ -23,7 +23,8 @@ Stages, each bounded per task:
 
 Defined results: null or wordless text: n_shingles 0, linked with nothing. Equal
 sets are one class. Rows that share a doc_id are one document: it is linked when
-one of its texts is, and each row keeps its own n_shingles. A null doc_id is linked with
+one of its texts is, and each row keeps its own n_shingles; in ``drop_near_duplicates``
+different texts under one doc_id are documents of their own. A null doc_id is linked with
 nothing (component_id null, kept true). Extra columns are ignored by ``near_duplicates``
 and returned unchanged by ``drop_near_duplicates``. Empty table: empty result.
 """
@@ -40,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bowline.llm.common import Scratch, arrow_map, components
+from bowline.llm.common import Scratch, arrow_map, components, free_name
 from bowline.session import broadcast_limit_bytes
 
 SHINGLE_WORDS = 5      # default of the operator; the registered query takes 2
@@ -273,22 +274,38 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = SHINGLE_W
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def _numbered(docs: DataFrame, scratch: Scratch, node: str, rows: str) -> DataFrame:
+    """``docs`` with a number for each (doc_id, text), in the order of doc_id and
+    the text's hash, and how many rows share it; null for rows without doc_id."""
+    of = free_name(docs, "text_hash")
+    docs = docs.withColumn(of, F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    nodes = scratch.write(docs.where("doc_id IS NOT NULL").groupBy("doc_id", of).agg(F.count(F.lit(1)).alias(rows))
+                          .sort("doc_id", of).withColumn(node, F.monotonically_increasing_id()), "nodes")
+    return scratch.write(docs.join(nodes, ["doc_id", of], "left").drop(of), "numbered")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, width: int = SHINGLE_WORDS,
                          percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component (the smallest doc_id); of
-    rows that repeat a doc_id one row stays, rows without doc_id all stay."""
-    found = near_duplicates(spark, docs, width, percent)
+    """``docs`` with one document of each component, the smallest doc_id, and the
+    smallest hash of the text where texts share it. Of rows that repeat doc_id
+    and text the first as JSON stays, rows without doc_id all stay. Texts are
+    shuffled once where a doc_id repeats, else only past the broadcast limit."""
     scratch = Scratch(spark, "dedup")
-    # Only ids that go or repeat are looked up; the rest, null ids too, pass by.
-    ids = scratch.write(found.where("doc_id IS NOT NULL").groupBy("doc_id")
-                        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
-                        .where("NOT kept OR rows > 1").select("doc_id", "kept"), "ids")
-    several = ids.where("kept").select("doc_id")
-    n, repeated = ids.agg(F.count(F.lit(1)), F.count_if("kept")).first()
+    columns, node, rows = docs.columns, "doc_id", None
+    if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        node, rows = free_name(docs, "node"), free_name(docs, "copies")
+        docs = _numbered(docs, scratch, node, rows)
+    found = near_duplicates(spark, docs.select(F.col(node).alias("doc_id"), "text"), width, percent)
+    # Only ids that go are looked up; the rest, null ids too, pass by.
+    ids = scratch.write(found.where("NOT kept").select(F.col("doc_id").alias(node)), "ids")
+    if rows:
+        ids = ids.distinct()
     # While the ids are known to fit a broadcast, no text is shuffled.
-    small = F.broadcast if 32 * n <= broadcast_limit_bytes(spark) else (lambda df: df)
-    out = docs.join(small(ids.select("doc_id")), "doc_id", "left_anti").select(docs.columns)
-    if repeated:
-        out = out.unionByName(docs.join(small(several), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-                              .select(docs.columns))
-    return out
+    small = F.broadcast if 32 * ids.count() <= broadcast_limit_bytes(spark) else (lambda df: df)
+    out = docs.join(small(ids), node, "left_anti")
+    if not rows:
+        return out.select(columns)
+    row = F.struct(*columns)
+    first = out.where(F.col(rows) > 1).groupBy(node).agg(F.min_by(row, F.to_json(row)).alias(node + "_row"))
+    return (out.where(F.col(rows).isNull() | (F.col(rows) == 1)).select(columns)
+            .unionByName(first.select(node + "_row.*")))

@@ -444,3 +444,15 @@ def test_html_deeply_nested_template_is_aligned(spark):
     assert len(html_wrapper.align(*[html_wrapper.Page("<div>" * 5000 + "x").skeleton()] * 2)) == 5001
     pages = [(f"http://e.x/{i}", "<div>" * 400 + f"<p>Body {i}</p><dl><dd>Trending now</dl>") for i in range(6)]
     assert html_texts(spark, pages) == {i: f"Body {i}" for i in range(6)}
+
+
+def test_minhash_repeated_ids_with_different_texts(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abc"}
+    rows = [(1, text["a"], "x"), (1, text["b"], "x"), (2, text["a"] + " tail", "x"), (3, text["b"], "x"),
+            (4, text["c"], "z"), (4, text["c"], "y"), (5, "", "x"), (5, None, "x"), (None, text["a"], "x")]
+    want = {(1, text["a"], "x"), (1, text["b"], "x"), (4, text["c"], "y"), (None, text["a"], "x")}
+    for order in (rows, rows[::-1]):
+        got = [tuple(r) for r in minhash_tensor.drop_near_duplicates(
+            spark, spark.createDataFrame(order, "doc_id long, text string, node string").repartition(3)).collect()]
+        assert {r for r in got if r[1]} | {r for r in got if r[0] == 5} == set(got)
+        assert {r for r in got if r[0] != 5} == want and len(got) == 5
