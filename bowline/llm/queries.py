@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm import (bytecnn_lang, decontam, gam_quality, html_wrapper, interleave, minhash_tensor, packing,
-                         token_resync, voronoi_knn, warc_revisit)
+from bowline.llm import (bpe_chunks, bytecnn_lang, conv_trie, decontam, gam_quality, html_wrapper, interleave,
+                         minhash_tensor, packing, target_resample, token_resync, voronoi_knn, warc_revisit)
 from bowline.llm.common import importable
 from bowline.sources.corpus import read_table
 
@@ -70,9 +70,29 @@ def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return target_resample.resample(spark, read_table(spark, sf_dir, "documents"),
+                                    read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return conv_trie.shared_prefixes(spark, read_table(spark, sf_dir, "conversations"))
+
+
+def op13_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the text decoded from them."""
+    importable(spark)
+    coded = bpe_chunks.encode_documents(spark, read_table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_warc_revisits, op3_minhash_dedup, op4_decontamination, op5_token_counts,
-    op6_quality_gam, op7_interleaved_shards, op8_language_bytecnn, op9_voronoi_topk, op10_bestfit_packing)}
+    op6_quality_gam, op7_interleaved_shards, op8_language_bytecnn, op9_voronoi_topk, op10_bestfit_packing,
+    op11_target_resampling, op12_conversation_trie, op13_bpe_chunks)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -154,6 +174,59 @@ cut AS (SELECT *, CASE WHEN pos < (total % 8) * (total // 8 + 1) THEN pos // (to
   ELSE total % 8 + (pos - (total % 8) * (total // 8 + 1)) // greatest(total // 8, 1) END AS shard FROM placed)
 SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
   (pos - shard * (total // 8) - least(shard, total % 8))::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM cut""",
+    "op11_target_resampling": f"""
+WITH crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+dw AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, ws FROM dw),
+tw AS MATERIALIZED (SELECT unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
+fw AS MATERIALIZED (SELECT r, unnest(ws) AS w FROM docs),
+words AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM fw UNION SELECT w FROM tw)),
+bucket AS MATERIALIZED (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+  lambda c, b: xor(t[(xor(c, b) % 256) + 1], c // 256))) % 10000 AS b FROM words, crc_table),
+s AS (SELECT b, count(*) AS n FROM fw JOIN bucket USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM tw JOIN bucket USING (w) GROUP BY b),
+gain AS (SELECT b, floor(1000 * ln(((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM fw) + 10000))::DOUBLE
+  / ((s.n + 1) * ((SELECT count(*) FROM tw) + 10000))::DOUBLE))::BIGINT AS g FROM s LEFT JOIN t USING (b)),
+weight AS (SELECT r, sum(g)::BIGINT AS weight FROM fw JOIN bucket USING (w) JOIN gain USING (b) GROUP BY r),
+scored AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+  + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+    / 4294967296::DOUBLE)))::BIGINT AS score FROM docs LEFT JOIN weight USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS k,
+  count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END AS rank FROM ranked""",
+    "op12_conversation_trie": """
+WITH crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base, hex(encode(conv_id::VARCHAR)) AS hx FROM own),
+convs AS MATERIALIZED (SELECT conv_id, base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(range(len(hx) // 2), lambda i: ('0x' || substr(hx, 2 * i + 1, 2))::BIGINT)),
+  lambda c, b: xor(t[(xor(c, b) % 256) + 1], c // 256))) % 9 AS h FROM ids, crc_table),
+parts AS (SELECT c.conv_id, 1 AS part, place, role, text FROM convs c JOIN own o ON o.conv_id = c.base AND place <= h
+  UNION ALL SELECT c.conv_id, 2, place, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND place > h),
+rebuilt AS MATERIALIZED (SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS b,
+  md5(strlen(role) || ':' || role || text) AS t FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+lens AS (SELECT conv_id, coalesce(max(depth), 0) AS len FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+step AS MATERIALIZED (SELECT conv_id, 0 AS depth, '' AS node, NULL AS parent, 0 AS b FROM convs UNION ALL
+  SELECT a.conv_id, a.depth, string_agg(p.t, '' ORDER BY p.depth),
+    coalesce(string_agg(p.t, '' ORDER BY p.depth) FILTER (p.depth < a.depth), ''), any_value(a.b)
+  FROM rebuilt a JOIN rebuilt p ON p.conv_id = a.conv_id AND p.depth <= a.depth GROUP BY a.conv_id, a.depth),
+nodes AS MATERIALIZED (SELECT node, any_value(parent) AS parent, min(conv_id) AS conv_id, depth, count(*) AS n_convs, any_value(b) AS b,
+  coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = depth), '') AS ends
+  FROM step JOIN lens USING (conv_id) GROUP BY node, depth),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+above AS (SELECT DISTINCT d.node, a.node AS top FROM step d JOIN step a ON a.conv_id = d.conv_id AND a.depth <= d.depth),
+under AS (SELECT top AS node, count(*) FILTER (kids.node IS NULL) AS n_leaves, sum((n_convs - 1) * b) AS saved
+  FROM above JOIN nodes USING (node) LEFT JOIN kids USING (node) GROUP BY top)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+  n_leaves, saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN under USING (node) LEFT JOIN kids USING (node) LEFT JOIN nodes p ON p.node = n.parent""",
     "op9_voronoi_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
