@@ -21,26 +21,31 @@ Layout: x is written once as a Parquet table bucketed by doc_id in the shared
 checkpoint folder. A step is: x join broadcast(W) -> aggregate by doc_id with
 no exchange -> residuals times eta -> shuffled-hash join back to x on doc_id
 with no exchange -> its products and the shrunk rows of W summed by term (the
-one shuffle: partial sums) = the new W. W is checkpointed every step (reliable checkpoint in the session's
-checkpoint folder) so lineage never grows. W is broadcast only when its
-computed size is under the limit; otherwise the score join is a shuffled
-sort-merge join on term (AQE splits hot terms; bias cells are kept out of it,
-so the '' key is never a join key) and the per-document partial sums are
-shuffled.
+one shuffle: partial sums) = the new W. Each W is a written table in the shared
+checkpoint folder, so lineage never grows, and a training run deletes the one
+before. W is broadcast only when its computed size is under the limit.
+
+Past the limit a second, term-major copy of x is written once, bucketed by tkey
+like W itself: the score join reads two co-bucketed tables and shuffles only the
+per-document sums, the residual join reads the document-major copy, and no step
+moves a cell. Terms of many cells (and the bias) are in a plain table beside the
+buckets; their rows of W are at most as many as there are buckets, twice, and are
+broadcast.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bowline.functions.numeric import argmax_1based, safe_div
 from bowline.operators.joins import wide_row_bytes
 from bowline.session import broadcast_limit_bytes
 from bowline.sources.corpus import Corpus
-from bowline.sources.tables import bucketed_table, written_table
+from bowline.sources.tables import bucketed_table, release, written_table
 
 BIAS_TERM = ""
 
@@ -95,6 +100,18 @@ class FeatureSplit:
     colsums: DataFrame | None = None  # (term, colsum) of a normalised training split
     bias_value: float = 1.0
     term_bytes: float = 24.0  # mean UTF-8 bytes of a term, for size checks
+    buckets: int = 1
+    _term_major: "TermMajor | None" = None
+
+    def broadcasts(self, k: int) -> bool:
+        """Whether W of ``k`` classes is small enough to broadcast."""
+        return self.n_terms * wide_row_bytes(k) <= broadcast_limit_bytes(self.x.sparkSession)
+
+    def term_major(self) -> "TermMajor":
+        """The term-major copy, written when it is first asked for."""
+        if self._term_major is None:
+            self._term_major = _build_term_major(self)
+        return self._term_major
 
     def cells(self) -> DataFrame:
         """Feature cells without the bias column, (doc_id, class_id, tkey, x)."""
@@ -105,6 +122,32 @@ class FeatureSplit:
         return with_terms(self.cells(), self)
 
 
+@dataclass
+class TermMajor:
+    cells: DataFrame    # (tkey, doc_id, x) bucketed by tkey
+    hot: DataFrame      # (tkey, doc_id, class_id, x) of the terms with many cells, bias included
+    hot_keys: DataFrame # (tkey), at most two for each bucket, and the bias
+    buckets: int
+
+
+def _build_term_major(split: FeatureSplit) -> TermMajor:
+    p = split.buckets
+    sizes = split.x.groupBy("tkey").agg(F.count(F.lit(1)).alias("n"))
+    hot_keys = written_table(sizes.where((F.col("n") > split.n_cells / (2 * p))
+                                         | (F.col("tkey") == F.lit(split.bias_key))).select("tkey"), "hot-terms")
+    cells = split.x.select("tkey", "doc_id", "class_id", "x")
+    known = _hot_side(hot_keys, p, 0)
+    cold = bucketed_table(cells.drop("class_id").join(known, "tkey", "left_anti"), "tkey", "terms", p)
+    hot = written_table(cells.join(known, "tkey", "left_semi"), "hot-cells")
+    return TermMajor(cold, hot, hot_keys, p)
+
+
+def _hot_side(df: DataFrame, buckets: int, k: int) -> DataFrame:
+    """``df`` with a row for each hot term: broadcast while so many fit."""
+    fits = (2 * buckets + 1) * wide_row_bytes(k) <= broadcast_limit_bytes(df.sparkSession)
+    return F.broadcast(df) if fits else df.hint("merge")
+
+
 def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit | None" = None,
                    partitions: int | None = None, layout: str = "auto",
                    norm_stats: str = "split") -> FeatureSplit:
@@ -177,7 +220,7 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
         layout = "spread" if total and top > 2 * total / p else "bucketed"
     x = bucketed_table(keyed, "doc_id", "x", p) if layout == "bucketed" else written_table(keyed, "x")
     own_colsums = colsum if dictionary is None else None
-    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout, own_colsums, bias, term_bytes)
+    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout, own_colsums, bias, term_bytes, p)
 
 
 # Target bytes of feature cells per bucket (a cell is ~24 bytes in Parquet).
@@ -220,46 +263,55 @@ def with_terms(df: DataFrame, split: FeatureSplit) -> DataFrame:
     return df.join(right, "tkey").select(*[("term" if c == "tkey" else c) for c in ["tkey"] + cols])
 
 
+# Fixed value: the standard deviation of randomly initialised weights.
+INIT_SD = 0.005
+
+
+def seeded_normal(seed: int, class_id: int, term) -> Column:
+    """A standard normal number that seed, class and term alone decide (F12):
+    Box-Muller over two 52-bit fractions of an MD5."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{class_id}:"), term).cast("binary"))
+    u, v = (F.conv(F.substring(digest, at, 13), 16, 10).cast("bigint").cast("double") for at in (1, 14))
+    return F.sqrt(-2 * F.log((u + 0.5) / F.lit(2.0 ** 52))) * F.cos(v * F.lit(2 * math.pi / 2.0 ** 52))
+
+
 def init_weights(train: FeatureSplit, k: int, random_initial: bool = False, seed: int = 42) -> DataFrame:
-    """W over the training terms plus the bias row; zeros, or N(0, 0.005)."""
-    terms = train.terms.select("tkey")
-    if random_initial:
-        # randn adds the partition number to its seed: keep the columns' seeds apart
-        cols = [(F.randn(seed + j * 2**32) * F.lit(0.005)).alias(f"w_{j}") for j in range(1, k + 1)]
-    else:
-        cols = [F.lit(0.0).alias(f"w_{j}") for j in range(1, k + 1)]
-    return terms.select("tkey", *cols).checkpoint(eager=True)
+    """W over the training terms plus the bias row; zeros, or N(0, 0.005) with
+    numbers that no partitioning changes."""
+    cols = [(seeded_normal(seed, j, F.col("term")) * F.lit(INIT_SD) if random_initial else F.lit(0.0)).alias(f"w_{j}")
+            for j in range(1, k + 1)]
+    return _keep(train.terms.select("tkey", *cols), train, k)
+
+
+def _keep(W: DataFrame, split: FeatureSplit, k: int) -> DataFrame:
+    """W as a written table, bucketed like the term-major cells if it is too
+    large to broadcast."""
+    if split.broadcasts(k):
+        return written_table(W, "W")
+    return bucketed_table(W, "tkey", "W", split.buckets)
 
 
 def _scores(W: DataFrame, split: FeatureSplit, k: int, w_rows: int) -> DataFrame:
     """(doc_id, class_id, z_1..z_{k-1}) for every document (each has a bias
     cell), partitioned by doc_id alone so that later joins on it need no
     further exchange."""
-    spark = W.sparkSession
     wcols = [f"w_{j}" for j in range(1, k)]
     aggs = [F.sum(F.col("x") * F.col(f"w_{j}")).alias(f"z_{j}") for j in range(1, k)]
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_n")]
     aggs = [F.max("class_id").alias("class_id"), *aggs]
-    if w_rows * wide_row_bytes(k) <= broadcast_limit_bytes(spark):
+    if w_rows * wide_row_bytes(k) <= broadcast_limit_bytes(W.sparkSession):
         return split.x.join(F.broadcast(W.select("tkey", *wcols)), "tkey").groupBy("doc_id").agg(*aggs)
-    # W too large to broadcast: term cells meet W in a shuffled sort-merge join
-    # on term, where AQE's skew-join handling splits hot terms; the bias part
-    # is added from the doc-bucketed cells with the bias weights (k numbers)
-    # as literals, so '' is never a join key.
-    b = _bias_weights(W, k, split.bias_key)
-    from_terms = split.cells().join(W.select("tkey", *wcols).hint("merge"), "tkey").select(
-        "doc_id", "class_id", *[(F.col("x") * F.col(f"w_{j}")).alias(f"v_{j}") for j in range(1, k)])
-    from_bias = split.x.where(F.col("tkey") == F.lit(split.bias_key)).select(
-        "doc_id", "class_id", *[(F.col("x") * F.lit(b[j - 1])).alias(f"v_{j}") for j in range(1, k)])
-    return (from_terms.unionByName(from_bias).groupBy("doc_id")
-                      .agg(F.max("class_id").alias("class_id"),
-                           *[F.sum(f"v_{j}").alias(f"z_{j}") for j in range(1, k)]))
-
-
-def _bias_weights(W: DataFrame, k: int, bias_key) -> list[float]:
-    row = W.where(F.col("tkey") == F.lit(bias_key)).select(*[f"w_{j}" for j in range(1, k + 1)]).first()
-    return [float(row[f"w_{j}"]) if row is not None else 0.0 for j in range(1, k + 1)]
+    # Too large: cells and W meet in their buckets, and sums are shuffled. Every
+    # document has a bias cell among the hot ones, which brings its class.
+    tm = split.term_major()
+    if getattr(W, "_buckets", None) != tm.buckets:
+        W = W.repartition(tm.buckets, "tkey")      # a W from elsewhere: it moves, not the cells
+    known = W.join(_hot_side(tm.hot_keys, tm.buckets, 0), "tkey", "left_semi").select("tkey", *wcols)
+    cold = tm.cells.join(W.select("tkey", *wcols).hint("shuffle_hash"), "tkey") \
+        .withColumn("class_id", F.lit(None).cast("int"))
+    hot = tm.hot.join(_hot_side(known, tm.buckets, k), "tkey")
+    return cold.unionByName(hot).groupBy("doc_id").agg(*aggs).repartition(split.buckets, "doc_id")
 
 
 def probabilities(W: DataFrame, split: FeatureSplit, k: int, stable: bool = False,
@@ -298,10 +350,13 @@ def accuracy(W: DataFrame, split: FeatureSplit, k: int, stable: bool = False) ->
 
 def gradient_step(W: DataFrame, train: FeatureSplit, k: int, eta: float, lam: float,
                   normalize_w: bool = False, stable: bool = False) -> DataFrame:
-    """One full-batch step (L3); returns the new, checkpointed W."""
-    new = gradient_step_plan(W, train, k, eta, lam, stable).checkpoint(eager=True)
+    """One full-batch step (L3); returns the new W, a written table."""
+    new = _keep(gradient_step_plan(W, train, k, eta, lam, stable), train, k)
     if normalize_w:
-        new = normalize_weights(new, k).checkpoint(eager=True)
+        raw, new = new, normalize_weights(new, k)
+        if new is not raw:
+            new = _keep(new, train, k)
+            release(raw)
     return new
 
 
@@ -370,7 +425,7 @@ def train(train_split: FeatureSplit, val_split: FeatureSplit | None, k: int, sch
     lines, snapshots, and checks of both accuracies. A check that breaks the
     stopping rule ends the run and is not added to the history. A run without
     steps only evaluates. Steps since the last snapshot get one at the end."""
-    W = init_weights(train_split, k) if W is None else W
+    given, W = W, init_weights(train_split, k) if W is None else W
     rule = StoppingRule(max_drop)
     result = TrainingResult(W, 0, start_iter, [], False, [])
     unsaved = 0
@@ -390,7 +445,10 @@ def train(train_split: FeatureSplit, val_split: FeatureSplit | None, k: int, sch
         checked(0)
     for at, kinds in schedule.events():
         for _ in range(at - result.iterations):
-            result.W = gradient_step(result.W, train_split, k, eta, lam, normalize_w, stable)
+            last = result.W
+            result.W = gradient_step(last, train_split, k, eta, lam, normalize_w, stable)
+            if last is not given:
+                release(last)      # of a run of any length, one W is kept
         unsaved += at - result.iterations
         result.iterations = at
         if log and "log" in kinds:

@@ -19,14 +19,11 @@ from bowline.plans import sql as S
 from bowline.plans.workload import LR_LABEL, LR_NORMALISED, LR_PLAIN, LR_STEPS, Workload
 from bowline.session import work_path
 from bowline.sources import matrix as M
+from bowline.sources import models as MD
 from bowline.sources import tables as T
 from bowline.sources.corpus import ClassSet, term_counts
 
 
-# Columns of the count matrix: a feature selection, the most frequent terms.
-MATRIX_TERMS = 200
-
-
 def _run_dir(spark, name: str) -> str:
     return work_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
 
@@ -68,16 +65,12 @@ def q_write_predictions(spark, sf_dir) -> DataFrame:
 
 
 def _matrix_files(spark, sf_dir) -> tuple[str, str, str]:
-    """(matrix, vocabulary, labels): the text files a classifier starts from,
-    for all documents over the most frequent terms (ties by term)."""
+    """(matrix, vocabulary, labels): the text files a classifier starts from, for
+    all labelled documents over the whole vocabulary, in sparse rows."""
     w = Workload.of(spark, sf_dir)
     matrix, words, labels = (_run_dir(spark, n) for n in ("matrix", "matrix-words", "matrix-labels"))
-    corpus = w.corpus(NQ.EVAL_LABEL)
-    totals = corpus.cells().groupBy("term").agg(F.sum("cnt").alias("n"))
-    top = totals.orderBy(F.desc("n"), "term").limit(MATRIX_TERMS).select("term")
-    top.orderBy("term").write.text(words)
-    vocabulary = M.read_vocabulary(spark, words)
-    M.write_count_matrix(corpus, vocabulary, vocabulary.count(), matrix)
+    w.corpus(None).vocabulary().orderBy("term").write.text(words)
+    M.write_sparse_matrix(w.corpus(NQ.EVAL_LABEL).labelled(), M.read_vocabulary(spark, words), matrix)
     classes = w.classes(NQ.EVAL_LABEL).to_df(spark)
     T.write_lines(classes.select(F.concat_ws(" ", F.col("class_id").cast("string"), "name").alias("value")), labels)
     return matrix, words, labels
@@ -86,8 +79,7 @@ def _matrix_files(spark, sf_dir) -> tuple[str, str, str]:
 def q_scan_count_matrix(spark, sf_dir) -> DataFrame:
     """Write the count matrix, read it back: its nonzero cells, with words."""
     matrix, words, _ = _matrix_files(spark, sf_dir)
-    cells = M.read_count_matrix(spark, matrix, check_width="row").cells()
-    return R.with_words(cells, M.read_vocabulary(spark, words))
+    return R.with_words(M.read_sparse_matrix(spark, matrix).cells(), M.read_vocabulary(spark, words))
 
 
 def q_matrix_word_ranking(spark, sf_dir) -> DataFrame:
@@ -95,11 +87,39 @@ def q_matrix_word_ranking(spark, sf_dir) -> DataFrame:
     matrix, words, labels = _matrix_files(spark, sf_dir)
     classes = ClassSet.from_df(M.read_class_labels(spark, labels))
     vocabulary = M.read_vocabulary(spark, words)
-    model = NB.nb_fit(M.read_count_matrix(spark, matrix, check_width="row"), classes)
+    model = NB.nb_fit(M.read_sparse_matrix(spark, matrix), classes, vocab_size=vocabulary.count())
     ranking = R.word_ranking(model, num_words=100, words=vocabulary)
     return ranking.select("rank", "term", F.round("score", 9).alias("score"))
 
 
+def q_scan_matrix_rejects(spark, sf_dir) -> DataFrame:
+    """The count matrix with rows spoilt by a rule on their ids, read tolerantly:
+    rows by reason (null: read), and the tokens that were read."""
+    matrix, _, _ = _matrix_files(spark, sf_dir)
+    last, doc = F.concat(F.col("value"), F.lit(" 5:many")), F.split("value", " ")[0].cast("bigint")
+    parts = F.split("value", " ", 3)
+    spoilt = (F.when(doc % 10 == 1, last).when(doc % 10 == 3, F.concat_ws(" ", parts[0], F.lit("x"), F.get(parts, F.lit(2))))
+              .when(doc % 10 == 5, parts[0]).when(doc % 10 == 7, F.concat(F.lit("no."), F.col("value")))
+              .otherwise(F.col("value")))
+    path = _run_dir(spark, "matrix-spoilt")
+    T.write_lines(spark.read.text(matrix).select(spoilt.alias("value")), path)
+    scan = M.scan_sparse_matrix(spark, path)
+    tokens = scan.corpus.cells().agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"))
+    return scan.counts().select(F.coalesce("reason", F.lit("read")).alias("reason"), "n").unionByName(
+        tokens.select(F.lit("tokens").alias("reason"), "n"))
+
+
+def q_score_from_bundle(spark, sf_dir) -> DataFrame:
+    """Train, commit the model, and score the benchmark items from the committed
+    bundle alone: class ids and names."""
+    w = Workload.of(spark, sf_dir)
+    root = _run_dir(spark, "bundles")
+    MD.ModelStore(spark, root).save(w.lr_weights(LR_NORMALISED, LR_STEPS), w.features("train", True), w.classes(LR_LABEL),
+                                    LR_STEPS, LR_NORMALISED["eta"], LR_NORMALISED["lam"], True)
+    bundle = MD.ModelStore(spark, root).load()
+    return bundle.predict(w.benchmark()).select(F.col("doc_id").alias("id"), "predicted", "predicted_name")
+
+
 def q_named_predictions(spark, sf_dir) -> DataFrame:
     w = Workload.of(spark, sf_dir)
     preds = NQ.q_nb_predict(spark, sf_dir)
@@ -153,8 +173,7 @@ def q_lr_write_predictions(spark, sf_dir) -> DataFrame:
 
 
 def _fresh_store(spark) -> T.SnapshotStore:
-    return T.SnapshotStore.for_run(spark, "x_normalization", LR_NORMALISED["eta"], LR_NORMALISED["lam"],
-                                   uuid.uuid4().hex[:12])
+    return T.SnapshotStore(spark, _run_dir(spark, "snapshots"))
 
 
 def q_resume_training(spark, sf_dir) -> DataFrame:
@@ -193,6 +212,8 @@ QUERIES = {
     "resume_training": q_resume_training,
     "scan_count_matrix": q_scan_count_matrix,
     "matrix_word_ranking": q_matrix_word_ranking,
+    "scan_matrix_rejects": q_scan_matrix_rejects,
+    "score_from_bundle": q_score_from_bundle,
     "named_predictions": q_named_predictions,
     "named_confusion_matrix": q_named_confusion_matrix,
     "confusion_matrix_train": q_confusion_matrix_train,
@@ -217,15 +238,20 @@ def _oracle() -> dict[str, str]:
     o["model_snapshots"] = S.with_(
         snap, f"SELECT 2 AS iter, term, class_id, round(w, {LQ.WD}) AS w FROM w2 UNION ALL "
               f"SELECT 3 AS iter, term, class_id, round(w, {LQ.WD}) AS w FROM w3")
-    top = [S.toks("alltoks"), f"top AS (SELECT term FROM alltoks GROUP BY term ORDER BY count(*) DESC, term "
-                              f"LIMIT {MATRIX_TERMS})",
-           "toks AS MATERIALIZED (SELECT doc_id, term FROM alltoks JOIN top USING (term))"]
-    o["scan_count_matrix"] = S.with_(
-        top + [S.classes(NQ.EVAL_LABEL), S.docs(NQ.EVAL_LABEL)],
-        "SELECT d.doc_id, d.class_id, t.term, count(*) AS cnt FROM toks t JOIN docs d USING (doc_id) "
-        "WHERE d.class_id IS NOT NULL GROUP BY ALL")
+    o["scan_count_matrix"] = NQ.ORACLE["words_per_class"].replace(
+        "SELECT d.class_id, t.term, count(*) AS cnt", "SELECT d.doc_id, d.class_id, t.term, count(*) AS cnt").replace(
+        "GROUP BY d.class_id, t.term", "GROUP BY d.doc_id, d.class_id, t.term")
     ranking = NQ.ORACLE["word_ranking"]
-    o["matrix_word_ranking"] = ranking.replace(S.toks(), ",\n".join(top), 1)
+    o["matrix_word_ranking"] = ranking
+    o["scan_matrix_rejects"] = S.with_(
+        [S.toks(), S.classes(NQ.EVAL_LABEL), S.docs(NQ.EVAL_LABEL),
+         "why AS (SELECT doc_id, CASE doc_id % 10 WHEN 1 THEN 'count' WHEN 3 THEN 'class' WHEN 5 THEN 'fields' "
+         "WHEN 7 THEN 'id' ELSE 'read' END AS reason FROM docs WHERE class_id IS NOT NULL)"],
+        "SELECT reason, count(*) AS n FROM why GROUP BY reason UNION ALL SELECT 'tokens', count(*) FROM toks "
+        "JOIN why USING (doc_id) WHERE reason = 'read'")
+    o["score_from_bundle"] = LQ.ORACLE["lr_predict_raw"].replace(
+        "SELECT doc_id AS id, predicted FROM pr_raw", "SELECT p.doc_id AS id, p.predicted, c.name AS predicted_name "
+        "FROM pr_raw p LEFT JOIN cls c ON c.class_id = p.predicted")
     o["named_predictions"] = NQ.ORACLE["nb_predict"].replace(
         "SELECT doc_id AS id, predicted FROM pred",
         "SELECT p.doc_id AS id, p.predicted, c.name AS predicted_name FROM pred p LEFT JOIN cls c ON c.class_id = p.predicted")

@@ -8,6 +8,8 @@ would hang on rounding). The oracle unrolls the gradient steps as CTEs.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,7 +131,33 @@ def q_uncertain_validation_documents(spark, sf_dir) -> DataFrame:
     return top.select("rank", "doc_id", F.round("entropy", PD).alias("entropy"), F.round("gini", PD).alias("gini"))
 
 
+# A run that ends by the stopping rule: the accuracy over classes that the text
+# says nothing about wavers, and a fall of STOP_DROP below the best ends it.
+STOP_STEPS, STOP_CHECK, STOP_DROP, STOP_ETA = 10_000, 5, 0.002, 1e-5
+
+
+def q_lr_train_to_stop(spark, sf_dir) -> DataFrame:
+    """The history of a training run that stops by itself, and (kind ``stop``)
+    the step at which it did."""
+    w = _w(spark, sf_dir)
+    res = L.train(w.features("train", False, WIDE_LABEL), w.features("validation", False, WIDE_LABEL),
+                  w.classes(WIDE_LABEL).k, L.Schedule(STOP_STEPS, check_every=STOP_CHECK), STOP_ETA,
+                  LR_PLAIN["lam"], STOP_DROP, stable=True)
+    rows = [("check", i, round(tr, PD), round(va, PD)) for i, tr, va in res.history]
+    rows.append(("stop" if res.stopped_early else "end", res.iterations, None, None))
+    L.release(res.W)
+    return spark.createDataFrame(rows, "kind string, iter int, train_accuracy double, validation_accuracy double")
+
+
+def q_random_weights(spark, sf_dir) -> DataFrame:
+    """W as a run with a random start begins."""
+    w = _w(spark, sf_dir)
+    return _weights_out(w, L.init_weights(w.features("train", True), w.k_lr, random_initial=True))
+
+
 QUERIES = {
+    "lr_train_to_stop": q_lr_train_to_stop,
+    "random_weights": q_random_weights,
     "lr_probabilities_source": q_lr_probabilities_source,
     "uncertain_validation_documents": q_uncertain_validation_documents,
     "normalize_features": q_normalize_features,
@@ -153,10 +181,10 @@ def _features(name: str, docs_filter: str, normalize: bool, tok: str = "toks") -
     x = ("cnt / sum(cnt) OVER (PARTITION BY term)" if normalize else "cnt")
     bias = f"1.0 / (SELECT count(*) FROM d_{name})" if normalize else "1.0"
     return [
-        f"d_{name} AS ({docs_filter})",
-        f"tf_{name} AS (SELECT t.doc_id, t.term, count(*)::DOUBLE AS cnt FROM {tok} t JOIN d_{name} d "
+        f"d_{name} AS MATERIALIZED ({docs_filter})",
+        f"tf_{name} AS MATERIALIZED (SELECT t.doc_id, t.term, count(*)::DOUBLE AS cnt FROM {tok} t JOIN d_{name} d "
         f"USING (doc_id) GROUP BY t.doc_id, t.term)",
-        f"x_{name} AS (SELECT doc_id, term, {x} AS x FROM tf_{name})",
+        f"x_{name} AS MATERIALIZED (SELECT doc_id, term, {x} AS x FROM tf_{name})",
         f"r_{name} AS (SELECT doc_id, class_id, {bias} AS bias FROM d_{name})",
     ]
 
@@ -164,13 +192,13 @@ def _features(name: str, docs_filter: str, normalize: bool, tok: str = "toks") -
 def _probs(tag: str, W: str, split: str) -> list[str]:
     """CTE p_<tag>(doc_id, y, j, p)."""
     return [
-        f"z_{tag} AS (SELECT x.doc_id, w.class_id AS j, sum(x.x * w.w) AS z FROM x_{split} x JOIN {W} w "
+        f"z_{tag} AS MATERIALIZED (SELECT x.doc_id, w.class_id AS j, sum(x.x * w.w) AS z FROM x_{split} x JOIN {W} w "
         f"ON w.term = x.term WHERE w.class_id < (SELECT k FROM kk) GROUP BY x.doc_id, w.class_id)",
         f"e_{tag} AS (SELECT r.doc_id, r.class_id AS y, c.class_id AS j, CASE WHEN c.class_id = (SELECT k FROM kk) "
         f"THEN 1.0 ELSE exp(coalesce(z.z, 0) + b.w * r.bias) END AS e FROM r_{split} r CROSS JOIN cls c "
         f"LEFT JOIN z_{tag} z ON z.doc_id = r.doc_id AND z.j = c.class_id "
         f"LEFT JOIN {W} b ON b.term = '' AND b.class_id = c.class_id)",
-        f"p_{tag} AS (SELECT doc_id, y, j, e / sum(abs(e)) OVER (PARTITION BY doc_id) AS p FROM e_{tag})",
+        f"p_{tag} AS MATERIALIZED (SELECT doc_id, y, j, e / sum(abs(e)) OVER (PARTITION BY doc_id) AS p FROM e_{tag})",
     ]
 
 
@@ -180,18 +208,18 @@ def _pred(tag: str) -> str:
 
 
 def _steps(n: int, eta: float, lam: float) -> list[str]:
-    ctes = ["w0 AS (SELECT t.term, c.class_id, 0.0::DOUBLE AS w FROM (SELECT DISTINCT term FROM x_tr "
+    ctes = ["w0 AS MATERIALIZED (SELECT t.term, c.class_id, 0.0::DOUBLE AS w FROM (SELECT DISTINCT term FROM x_tr "
             "UNION ALL SELECT '') t CROSS JOIN cls c)"]
     for i in range(1, n + 1):
         prev = f"w{i - 1}"
         ctes += _probs(f"s{i}", prev, "tr")
         ctes.append(
-            f"g{i} AS (SELECT x.term, p.j AS class_id, sum(x.x * (CASE WHEN p.y = p.j THEN 1.0 ELSE 0.0 END - p.p)) AS g "
+            f"g{i} AS MATERIALIZED (SELECT x.term, p.j AS class_id, sum(x.x * (CASE WHEN p.y = p.j THEN 1.0 ELSE 0.0 END - p.p)) AS g "
             f"FROM x_tr x JOIN p_s{i} p USING (doc_id) GROUP BY x.term, p.j UNION ALL "
             f"SELECT '' AS term, p.j AS class_id, sum(r.bias * (CASE WHEN p.y = p.j THEN 1.0 ELSE 0.0 END - p.p)) AS g "
             f"FROM p_s{i} p JOIN r_tr r USING (doc_id) GROUP BY p.j)")
         ctes.append(
-            f"w{i} AS (SELECT w.term, w.class_id, w.w + {eta!r} * (coalesce(g.g, 0) - {lam!r} * w.w) AS w "
+            f"w{i} AS MATERIALIZED (SELECT w.term, w.class_id, w.w + {eta!r} * (coalesce(g.g, 0) - {lam!r} * w.w) AS w "
             f"FROM {prev} w LEFT JOIN g{i} g ON g.term = w.term AND g.class_id = w.class_id)")
     return ctes
 
@@ -217,6 +245,12 @@ def _oracle() -> dict[str, str]:
     o["normalize_features"] = S.with_(_base(True), f"SELECT doc_id, term, round(x, {WD}) AS x FROM x_tr")
     one = _base(True) + _steps(1, n_eta, n_lam)
     o["lr_gradient_step"] = S.with_(one, f"SELECT term, class_id, round(w, {WD}) AS w FROM w1")
+    u, v = (f"(('0x' || substr(h, {at}, 13))::BIGINT::DOUBLE" for at in (1, 14))
+    o["random_weights"] = S.with_(
+        _base(True) + ["hashed AS (SELECT t.term, c.class_id, md5('42:' || c.class_id || ':' || t.term) AS h FROM "
+                       "(SELECT DISTINCT term FROM x_tr UNION ALL SELECT '') t CROSS JOIN cls c)"],
+        f"SELECT term, class_id, round(0.005 * sqrt(-2 * ln({u} + 0.5::DOUBLE) / 4503599627370496::DOUBLE)) "
+        f"* cos({v}) * {2 * math.pi / 2.0 ** 52!r}::DOUBLE), {WD}) AS w FROM hashed")
     o["normalize_weights"] = S.with_(
         one, "SELECT term, class_id, round(CASE WHEN s = 0 THEN w ELSE w / s END, 15) AS w FROM "
              "(SELECT term, class_id, w, sum(abs(w)) OVER () AS s FROM w1)")

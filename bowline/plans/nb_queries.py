@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bowline.operators import class_blocks as CB
 from bowline.operators import counts as C
 from bowline.operators import evaluate as E
 from bowline.operators import naive_bayes as NB
 from bowline.operators import ranking as R
 from bowline.plans import sql as S
 from bowline.plans.workload import Workload
-from bowline.sources.corpus import term_counts
+from bowline.sources.corpus import ClassSet, corpus_from_table, term_counts
 
 EVAL_LABEL = "source"
 FIT_LABEL = "lang"
@@ -143,7 +144,31 @@ def q_word_ranking(spark, sf_dir) -> DataFrame:
     return ranking.select("rank", "term", F.round("score", 9).alias("score"))
 
 
+def q_words_per_class_blocks(spark, sf_dir) -> DataFrame:
+    """The counts by class, taken in blocks of eight classes."""
+    w = _w(spark, sf_dir)
+    model = CB.fit_class_blocks(w.corpus(EVAL_LABEL), w.classes(EVAL_LABEL), block=8)
+    return model.log_likelihood_long().select("class_id", "term", F.round("log_likelihood", 9).alias("log_likelihood"))
+
+
+def _pair_corpus(w: Workload):
+    """The documents by source and language together: a few dozen classes."""
+    docs = w.table("documents").withColumn("pair", F.concat("source", F.lit("/"), "lang"))
+    classes = ClassSet.from_labels(docs, "pair")
+    return corpus_from_table(docs, classes, "pair"), classes
+
+
+def q_nb_predict_class_blocks(spark, sf_dir) -> DataFrame:
+    """Hold-out predictions over all (source, lang) classes, in blocks."""
+    w = _w(spark, sf_dir)
+    corpus, classes = _pair_corpus(w)
+    model = CB.fit_class_blocks(corpus.where(w.split().train()), classes, 32, [w.validation(FIT_LABEL)])
+    return CB.predict_class_blocks(model, corpus.where(w.split().validation())).select("doc_id", "predicted")
+
+
 QUERIES = {
+    "words_per_class_blocks": q_words_per_class_blocks,
+    "nb_predict_class_blocks": q_nb_predict_class_blocks,
     "term_counts": q_term_counts,
     "words_per_class": q_words_per_class,
     "docs_per_class": q_docs_per_class,
@@ -258,6 +283,13 @@ def _oracle() -> dict[str, str]:
         ev, "SELECT a.class_id AS predicted, b.class_id AS actual, CAST(count(p.doc_id) AS BIGINT) AS n "
             "FROM cls a CROSS JOIN cls b LEFT JOIN pred p ON p.predicted = a.class_id AND p.class_id = b.class_id "
             "GROUP BY a.class_id, b.class_id")
+    pair = "(source || '/' || lang)"
+    o["nb_predict_class_blocks"] = S.with_(
+        _base(pair) + S.nb_model(_TRAIN) + [_VAL_DOCS] + S.nb_scores("vdocs", "toks"), "SELECT doc_id, predicted FROM pred")
+    o["words_per_class_blocks"] = S.with_(
+        _base(EVAL_LABEL) + S.nb_model("TRUE"),
+        "SELECT w.class_id, w.term, round(log2((w.c + (SELECT beta FROM bb)) / p.den), 9) AS log_likelihood "
+        "FROM wc w JOIN prior p USING (class_id)")
     o["prediction_counts"] = S.with_(ev, "SELECT predicted, count(*) AS n FROM pred GROUP BY predicted")
     o["word_ranking"] = S.with_(
         _ranking_ctes() + [

@@ -10,7 +10,7 @@ TOKEN_RE = "[^a-z0-9]+"
 
 
 def toks(name: str = "toks", table: str = "documents", id_col: str = "doc_id") -> str:
-    return (f"{name} AS (SELECT doc_id, term FROM (SELECT {id_col} AS doc_id, "
+    return (f"{name} AS MATERIALIZED (SELECT doc_id, term FROM (SELECT {id_col} AS doc_id, "
             f"unnest(string_split_regex(lower(coalesce(text, '')), '{TOKEN_RE}')) AS term "
             f"FROM {table}) WHERE term <> '')")
 
@@ -28,7 +28,7 @@ def split(name: str = "split", fraction: float = 0.2) -> str:
 
 def docs(label: str, name: str = "docs") -> str:
     return (f"{name} AS (SELECT d.doc_id, c.class_id FROM documents d "
-            f"LEFT JOIN cls c ON CAST(d.{label} AS VARCHAR) = c.name)")
+            f"LEFT JOIN cls c ON CAST({label if label.startswith('(') else 'd.' + label} AS VARCHAR) = c.name)")
 
 
 def nb_model(train_filter: str, vocab_from: str = "toks", beta: str | None = None) -> list[str]:

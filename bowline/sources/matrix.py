@@ -1,6 +1,9 @@
 """Readers for the reference's text formats.
 
 * count matrix: one document per line, ``id,c_1..c_V[,class]``, no header
+* sparse count matrix: ``id class index:count index:count ..``, one line a
+  document, class ``-`` where there is none; as wide as the vocabulary is, it
+  holds only what is not zero
 * vocabulary: one term per line; the 0-based line number is the column index
 * class labels: ``<class_id> <name>`` per line
 * metrics: CSV with header ``beta,accuracy``
@@ -9,15 +12,20 @@ Lines are parsed with ``split`` + ``posexplode`` in one stage and zero cells are
 dropped before any shuffle. Casts run in ANSI mode, so a malformed number fails
 the job. ``check_width=True`` refuses rows of unequal length before anything
 else, in a pass of its own; ``"row"`` fails the reading job on a row that is not
-as wide as the first one, without a second pass.
+as wide as the first one, without a second pass. The permissive readers set
+malformed rows aside with a reason instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bowline.session import broadcast_limit_bytes
 from bowline.sources.corpus import CellCorpus, Corpus
+from bowline.sources.tables import written_table
 
 
 def read_lines_numbered(spark: SparkSession, path: str) -> DataFrame:
@@ -25,26 +33,34 @@ def read_lines_numbered(spark: SparkSession, path: str) -> DataFrame:
 
     Rows of one file split arrive in order and carry consecutive
     ``monotonically_increasing_id`` values (stable on recomputation: the file
-    splits are fixed); per-split line counts (one row per split, bounded by the
-    number of splits) give each split's offset. Files that Spark wrote come in
-    the order of their part numbers, others by name.
+    splits are fixed). Prefix sums in two levels give each split's offset: of the
+    splits within their file, in parallel, and of the files, of which the driver
+    holds a list anyway. Files that Spark wrote come in the order of their part
+    numbers, others by name.
     """
     raw = spark.read.text(path).select(
         F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
         F.monotonically_increasing_id().alias("mid"), "value")
-    blocks = raw.groupBy("file", "block").agg(F.min("mid").alias("first"), F.count(F.lit(1)).alias("n"))
-    offsets = blocks.select(
-        "file", "block", "first",
-        (F.sum("n").over(_ordered_window()) - F.col("n")).alias("offset"))
-    # one row per file split: as many as the scan has tasks
-    return (raw.join(F.broadcast(offsets), ["file", "block"])
+    blocks = written_table(raw.groupBy("file", "block").agg(F.min("mid").alias("first"), F.count(F.lit(1)).alias("n")),
+                           "line-blocks")
+    part = F.regexp_extract("file", r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
+    files = blocks.groupBy("file").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("splits")) \
+        .withColumn("part", part).collect()
+    before, starts = 0, []
+    for f in sorted(files, key=lambda f: (f["part"] is not None, f["part"] or 0, f["file"])):
+        starts.append((f["file"], before))
+        before += f["lines"]
+    within = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (blocks.withColumn("ahead", F.coalesce(F.sum("n").over(within), F.lit(0)))
+               .join(_sized(spark.createDataFrame(starts, "file string, start bigint"), len(starts)), "file")
+               .select("file", "block", "first", (F.col("start") + F.col("ahead")).alias("offset")))
+    return (raw.join(_sized(offsets, sum(f["splits"] for f in files)), ["file", "block"])
                .select((F.col("offset") + F.col("mid") - F.col("first")).alias("line_no"), "value"))
 
 
-def _ordered_window():
-    from pyspark.sql import Window
-    part = F.regexp_extract("file", r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
-    return Window.orderBy(part, "file", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _sized(df: DataFrame, rows: int, row_bytes: int = 300) -> DataFrame:
+    """``df`` for the small side of a join: broadcast while it is known to fit."""
+    return F.broadcast(df) if rows * row_bytes <= broadcast_limit_bytes(df.sparkSession) else df
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
@@ -119,3 +135,88 @@ def write_count_matrix(corpus: Corpus, vocabulary: DataFrame, n_terms: int, path
     lines = corpus.rows().join(counted, "doc_id", "left").select(F.concat_ws(",", *fields).alias("value"))
     lines.write.mode("overwrite").text(path)
     return path
+
+
+@dataclass
+class MatrixScan:
+    """What a permissive reader made of a file (Q12): the rows that parse, and
+    the others as (value, reason)."""
+
+    corpus: CellCorpus
+    rejects: DataFrame
+
+    def counts(self) -> DataFrame:
+        """(reason, n): rows by reason; those that were read have none."""
+        read = self.corpus.rows().agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("reason"), "n")
+        return read.unionByName(self.rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _cells_of(rows: DataFrame, pairs: Column) -> CellCorpus:
+    """``rows(doc_id, class_id, ..)`` and their cells, ``pairs`` being an array of
+    (term, cnt); zero cells are dropped."""
+    cells = rows.select("doc_id", "class_id", F.inline(pairs)).where(F.col("cnt") != 0)
+    return CellCorpus(cells, rows.select("doc_id", "class_id"))
+
+
+def _scan(lines: DataFrame, problem: Column, doc_id: Column, class_id: Column, pairs: Column) -> MatrixScan:
+    judged = lines.withColumn("reason", problem)
+    good = judged.where("reason IS NULL").select("*", doc_id.alias("doc_id"), class_id.alias("class_id"))
+    return MatrixScan(_cells_of(good, pairs), judged.where("reason IS NOT NULL").select("value", "reason"))
+
+
+def _is_number(raw: Column, kind: str = "bigint") -> Column:
+    return F.trim(raw).try_cast(kind).isNotNull()
+
+
+def scan_count_matrix(spark: SparkSession, path: str, width: int, labelled: bool = True) -> MatrixScan:
+    """The dense matrix of ``width`` count columns, malformed rows set aside:
+    ``width`` (fields missing or too many), ``id``, ``class`` or ``count``."""
+    lines = spark.read.text(path).where(F.trim(F.col("value")) != "").withColumn("a", F.split("value", ","))
+    class_raw = F.element_at("a", -1) if labelled else F.lit("0")
+    raw = F.slice("a", 2, width)
+    problem = (F.when(F.size("a") != width + 1 + int(labelled), "width").when(~_is_number(F.col("a")[0]), "id")
+               .when(~_is_number(class_raw, "int"), "class").when(~F.forall(raw, lambda c: _is_number(c)), "count"))
+    pairs = F.transform(raw, lambda c, i: F.struct(i.cast("int").alias("term"), F.trim(c).cast("bigint").alias("cnt")))
+    class_id = F.trim(class_raw).cast("int") if labelled else F.lit(None).cast("int")
+    return _scan(lines, problem, F.trim(F.col("a")[0]).cast("bigint"), class_id, pairs)
+
+
+def write_sparse_matrix(corpus: Corpus, vocabulary: DataFrame, path: str) -> str:
+    """``corpus`` as sparse count-matrix text over all of ``vocabulary(term_id,
+    term)``; a line holds one document's nonzero counts in column order."""
+    terms = _sized(vocabulary.select("term", "term_id"), vocabulary.count(), 80)
+    counted = (corpus.tf().join(terms, "term").groupBy("doc_id")
+                     .agg(F.sort_array(F.collect_list(F.struct("term_id", "cnt"))).alias("cells")))
+    cells = F.transform("cells", lambda c: F.concat(c["term_id"].cast("string"), F.lit(":"), c["cnt"].cast("string")))
+    line = F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce(F.col("class_id").cast("string"), F.lit("-")), cells)
+    corpus.rows().join(counted, "doc_id", "left").select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def scan_sparse_matrix(spark: SparkSession, path: str) -> MatrixScan:
+    """The sparse matrix, malformed rows set aside: ``fields`` (no class field),
+    ``id``, ``class`` or ``count`` (a cell that is not index:count)."""
+    lines = spark.read.text(path).where(F.trim(F.col("value")) != "").withColumn("a", F.split(F.trim("value"), " +"))
+    class_raw = F.get("a", F.lit(1))
+    raw = F.slice("a", 3, F.greatest(F.size("a") - 2, F.lit(0)))
+    halves = lambda c: F.split(c, ":")
+    is_cell = lambda c: ((F.size(halves(c)) == 2) & _is_number(halves(c)[0], "int")
+                         & _is_number(F.get(halves(c), F.lit(1))))
+    problem = (F.when(F.size("a") < 2, "fields").when(~_is_number(F.col("a")[0]), "id")
+               .when(~(_is_number(class_raw, "int") | (class_raw == "-")), "class")
+               .when(~F.forall(raw, is_cell), "count"))
+    pairs = F.transform(raw, lambda c: F.struct(halves(c)[0].cast("int").alias("term"),
+                                                halves(c)[1].cast("bigint").alias("cnt")))
+    class_id = F.when(class_raw != "-", class_raw.cast("int"))
+    return _scan(lines, problem, F.col("a")[0].cast("bigint"), class_id, pairs)
+
+
+def read_sparse_matrix(spark: SparkSession, path: str) -> CellCorpus:
+    """The sparse matrix; a malformed row fails the job that reads it."""
+    scan = scan_sparse_matrix(spark, path)
+    broken = F.raise_error(F.concat(F.lit("malformed count-matrix row ("), F.col("reason"), F.lit("): "), F.col("value")))
+    check = scan.rejects.select(broken.cast("bigint").alias("doc_id"), F.lit(None).cast("int").alias("class_id"))
+    rows = scan.corpus.rows().unionByName(check)
+    cells = scan.corpus.cells().unionByName(check.select(
+        "doc_id", "class_id", F.lit(0).alias("term"), F.lit(0).cast("bigint").alias("cnt")))
+    return CellCorpus(cells, rows)

@@ -1,9 +1,16 @@
 """Written tables in the shared checkpoint folder: load-or-build (S6),
-prediction CSVs (K1), ranked-word text (K2) and model snapshots (K3, L7)."""
+prediction CSVs (K1), ranked-word text (K2) and model snapshots (K3, L7).
+
+Commit: what several applications may write is written aside, under a name of its
+own, and becomes visible by one rename that fails where the target exists. A
+reader finds either nothing or all of it, and the loser of a race reads what the
+winner wrote.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
 
@@ -13,13 +20,64 @@ from pyspark.sql import functions as F
 from bowline.session import durable_path, work_path
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of ``path``."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _hadoop(spark, path)
     return bool(fs.exists(hpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
+def publish(spark: SparkSession, aside: str, path: str) -> bool:
+    """Rename ``aside`` to ``path`` unless that exists; whether it was done. What
+    was not published is deleted."""
+    sc = spark.sparkContext
+    fs, target = _hadoop(spark, path)
+    source = _hadoop(spark, aside)[1]
+    fs.mkdirs(target.getParent())
+    context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(target).toUri(), sc._jsc.hadoopConfiguration())
+    options = sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(source), fs.makeQualified(target), options)
+        return True
+    except Exception:
+        if not fs.exists(target):
+            raise
+        fs.delete(source, True)
+        return False
+
+
+def publish_manifest(spark: SparkSession, path: str, content: dict) -> dict:
+    """Commit ``content`` as the JSON file ``path``; what the file holds then (of
+    a faster writer, if there was one)."""
+    aside = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    fs, hpath = _hadoop(spark, aside)
+    out = fs.create(hpath, False)
+    out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    out.close()
+    return content if publish(spark, aside, path) else read_manifest(spark, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    fs, hpath = _hadoop(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def _files_fingerprint(source: DataFrame) -> list[str]:
     """Path, length and modification time of every file the plan reads (file
     metadata only), and the plan without its per-session expression numbers."""
@@ -35,8 +93,9 @@ def _files_fingerprint(source: DataFrame) -> list[str]:
 
 
 def load_or_build(spark: SparkSession, name: str, build, *key_parts, source: DataFrame | None = None) -> DataFrame:
-    """Read the Parquet table for (name, key) when a committed copy exists
-    (``_SUCCESS`` present), else build it, write it and read it back.
+    """Read the Parquet table for (name, key) when a committed copy exists, else
+    build it, write it, commit it and read it back. Of two applications that
+    build one key, both read the copy that was committed first.
 
     The key covers the parameters and, when given, the source's files (path,
     length, modification time) and plan: an overwritten input is built again,
@@ -45,10 +104,15 @@ def load_or_build(spark: SparkSession, name: str, build, *key_parts, source: Dat
     """
     parts = [repr(p) for p in key_parts] + (_files_fingerprint(source) if source is not None else [])
     key = hashlib.sha256("|".join(parts).encode()).hexdigest()[:32]
-    path = durable_path(spark, "tables", f"{name}-{key}")
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    base = durable_path(spark, "tables", f"{name}-{key}")
+    held = read_manifest(spark, f"{base}/committed.json")
+    if held is None:
+        data = f"data-{uuid.uuid4().hex[:12]}"
+        build().write.parquet(f"{base}/{data}")
+        held = publish_manifest(spark, f"{base}/committed.json", {"data": data})
+        if held["data"] != data:
+            delete_path(spark, f"{base}/{data}")
+    return spark.read.parquet(f"{base}/{held['data']}")
 
 
 def write_predictions(preds: DataFrame, path: str, id_col: str = "doc_id",
@@ -113,8 +177,12 @@ class SnapshotStore:
         return max(self.committed(), default=0)
 
     def save(self, W: DataFrame, iterations: int) -> int:
+        """The snapshot's number. It is written aside and renamed, so nobody reads
+        half of it; where another run committed that number first, that stays."""
         n = self.latest() + iterations
-        W.write.mode("overwrite").parquet(f"{self.root}/iter={n}")
+        aside = f"{self.root}/.{uuid.uuid4().hex}"
+        W.write.parquet(aside)
+        publish(self.spark, aside, f"{self.root}/iter={n}")
         return n
 
     def load(self, iteration: int | None = None) -> tuple[DataFrame | None, int]:
@@ -143,7 +211,9 @@ def bucketed_table(df: DataFrame, key: str, name: str, buckets: int | None = Non
     path = work_path(spark, "bucketed", table)
     (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
        .option("path", path).saveAsTable(table))
-    return spark.table(table)
+    out = spark.table(table)
+    out._written, out._buckets = (table, path), n
+    return out
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:
@@ -152,4 +222,16 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = (None, path)
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files (and the catalog entry) of a ``written_table`` or
+    ``bucketed_table`` that nothing reads any more; other frames are left alone."""
+    table, path = getattr(df, "_written", (None, None))
+    if table:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    if path:
+        delete_path(df.sparkSession, path)
