@@ -220,7 +220,9 @@ def build_features(corpus: Corpus, normalize: bool, dictionary: "FeatureSplit |
         layout = "spread" if total and top > 2 * total / p else "bucketed"
     x = bucketed_table(keyed, "doc_id", "x", p) if layout == "bucketed" else written_table(keyed, "x")
     own_colsums = colsum if dictionary is None else None
-    return FeatureSplit(x, m, x.count(), n_terms, terms, bias_key, layout, own_colsums, bias, term_bytes, p)
+    # a training split holds all its cells; from others, unknown terms are gone
+    n_cells = total + m if dictionary is None else x.count()
+    return FeatureSplit(x, m, n_cells, n_terms, terms, bias_key, layout, own_colsums, bias, term_bytes, p)
 
 
 # Target bytes of feature cells per bucket (a cell is ~24 bytes in Parquet).

@@ -39,6 +39,10 @@ def log_grid(start: float, stop: float, num: int) -> tuple[float, ...]:
 BETA_GRID = log_grid(-5, 0, 6)
 
 
+# Sums of one row of the sweep: as many as whole-stage codegen takes.
+SWEEP_COLUMNS = 80
+
+
 @dataclass
 class NaiveBayesModel:
     classes: ClassSet
@@ -178,16 +182,21 @@ def nb_beta_sweep(model: NaiveBayesModel, test: Corpus, betas=BETA_GRID,
                   vocab: str = "shared") -> DataFrame:
     """(beta, doc_id, class_id, predicted) for every beta, from one counts table.
 
-    The log likelihoods of all smoothing values are computed once per term, as
-    an array of (beta, l_1..l_k) on the model side; each token row meets its
-    array in one (size-checked) join and expands it, so no logarithm is taken
-    per token. The priors do not depend on beta. One aggregate by (beta, doc).
+    The log likelihoods of all smoothing values are computed once per term, on
+    the model side, in groups of smoothing values that are ``SWEEP_COLUMNS`` wide
+    at most; a token row meets them in one (size-checked) join and is repeated
+    for each group, not for each value (once with few classes, so not at all), and
+    no logarithm is taken per token. The priors do not depend on beta. One
+    aggregate by (group, document).
     """
     if vocab not in ("shared", "train"):
         raise ValueError("vocab must be 'shared' or 'train'")
     k = model.k
     words = model.stats.n_words
     betas = [float(b) for b in betas]
+    width = max(1, min(len(betas), SWEEP_COLUMNS // k))
+    groups = [betas[lo:lo + width] for lo in range(0, len(betas), width)]
+    names = [f"l_{i}_{j}" for i in range(width) for j in range(1, k + 1)]
     seen = sum((F.col(f"c_{j}") for j in range(1, k + 1)), F.lit(0)) > 0
 
     def smoothed(count, beta: float):
@@ -195,8 +204,12 @@ def nb_beta_sweep(model: NaiveBayesModel, test: Corpus, betas=BETA_GRID,
                 for j in range(1, k + 1)]
 
     def grid(values):
-        return F.array(*[F.struct(F.lit(b).alias("beta"), *[v.alias(f"l_{j}") for j, v in enumerate(values(b), 1)])
-                         for b in betas])
+        """(group, l_i_j ..) for every group; a place without a beta counts 0."""
+        rows = []
+        for g, some in enumerate(groups):
+            cells = [v for b in some for v in values(b)] + [F.lit(0.0)] * (k * (width - len(some)))
+            rows.append(F.struct(F.lit(g).alias("group"), *[v.alias(n) for v, n in zip(cells, names)]))
+        return F.array(*rows)
 
     nothing = grid(lambda b: [F.lit(0.0)] * k)
     known = grid(lambda b: smoothed(lambda j: F.col(f"c_{j}"), b))
@@ -204,13 +217,17 @@ def nb_beta_sweep(model: NaiveBayesModel, test: Corpus, betas=BETA_GRID,
     if vocab == "train":  # terms without training occurrences are ignored
         known, unseen = F.when(seen, known).otherwise(nothing), nothing
     lik = model.counts.select("term", known.alias("grid"))
-    joined = _meet(test, lik, model.n_terms,
-                   wide_row_bytes((k + 1) * len(betas), model.key_bytes))
-    cells = joined.select("doc_id", "class_id", "cnt", F.inline(
-        F.when(F.col("term").isNull(), nothing).otherwise(F.coalesce(F.col("grid"), unseen))))
-    per = cells.groupBy("beta", "doc_id", "class_id").agg(
-        *[F.sum(F.col("cnt") * F.col(f"l_{j}")).alias(f"a_{j}") for j in range(1, k + 1)])
+    joined = _meet(test, lik, model.n_terms, wide_row_bytes((k + 1) * len(betas), model.key_bytes))
+    rows = F.when(F.col("term").isNull(), nothing).otherwise(F.coalesce(F.col("grid"), unseen))
+    if len(groups) == 1:
+        cells = joined.select("doc_id", "class_id", "cnt", rows[0].alias("only")).select("doc_id", "class_id", "cnt", "only.*")
+    else:
+        cells = joined.select("doc_id", "class_id", "cnt", F.inline(rows))
+    per = cells.groupBy("group", "doc_id", "class_id").agg(*[F.sum(F.col("cnt") * F.col(n)).alias(n) for n in names])
     prior = model.log_prior()
-    return per.select(
-        "beta", "doc_id", "class_id",
-        argmax_1based([F.col(f"a_{j}") + F.lit(prior[j - 1]) for j in range(1, k + 1)]).alias("predicted"))
+    of_group = F.array(*[F.array(*[F.lit(b) for b in some]) for some in groups])
+    best = F.array(*[argmax_1based([F.col(f"l_{i}_{j}") + F.lit(prior[j - 1]) for j in range(1, k + 1)])
+                     for i in range(width)])
+    return (per.select("doc_id", "class_id", F.inline(F.arrays_zip(F.get(of_group, "group").alias("beta"),
+                                                                   best.alias("predicted"))))
+            .where("beta IS NOT NULL").select("beta", "doc_id", "class_id", "predicted"))

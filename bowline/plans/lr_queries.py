@@ -132,8 +132,9 @@ def q_uncertain_validation_documents(spark, sf_dir) -> DataFrame:
 
 
 # A run that ends by the stopping rule: the accuracy over classes that the text
-# says nothing about wavers, and a fall of STOP_DROP below the best ends it.
-STOP_STEPS, STOP_CHECK, STOP_DROP, STOP_ETA = 10_000, 5, 0.002, 1e-5
+# says nothing about wavers, and a fall of more than STOP_DROP below the best ends it
+# (after some dozens of steps at sf0.01).
+STOP_STEPS, STOP_CHECK, STOP_DROP, STOP_ETA = 100, 10, 0.0075, 2e-6
 
 
 def q_lr_train_to_stop(spark, sf_dir) -> DataFrame:

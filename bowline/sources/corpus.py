@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,18 +182,41 @@ def corpus_from_table(df: DataFrame, classes: ClassSet | None = None,
                                 F.col(text_col).alias("_text")))
 
 
+# A scan shared by more tasks than this would plan longer than it tokenises.
+MOST_SHARES = 32
+SPLIT_BYTES = 128 * 1024 * 1024      # usual size of a Parquet row group, the least that a task can read
+
+
+def scan_shares(df: DataFrame) -> int:
+    """How many tasks should share each split of ``df``'s files so that all cores
+    have work: 1 where there are splits enough (or no files)."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    splits = 0
+    for name in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        splits += -(-path.getFileSystem(conf).getFileStatus(path).getLen() // SPLIT_BYTES)
+        if splits >= spark.sparkContext.defaultParallelism:
+            return 1
+    return min(MOST_SHARES, -(-spark.sparkContext.defaultParallelism // splits)) if splits else 1
+
+
 def balance(df: DataFrame) -> DataFrame:
-    """Spread rows round-robin when the scan yields fewer partitions than the
-    cluster has cores (few large files / row groups).
-
-    Tokenising is CPU-bound, so an under-parallel scan starves the cores.
-    Round-robin (not hashing on doc_id) keeps partitions even whatever the key
-    distribution - a doc_id shared by many rows cannot pile up in one task - and
-    Spark sorts before a round-robin exchange, so a recomputed partition gets
-    the same rows. Large inputs with many splits are left as they are.
+    """``df`` with enough tasks for CPU-bound work, without moving a row.
+
+    Tokenising is CPU-bound, so a scan of a few large row groups starves the
+    cores. Then several tasks read the same split and each takes every n-th row of
+    the file: reading a split again costs much less than tokenising it, no text is
+    shuffled, and the shares are even whatever the keys are. Inputs with a split
+    for every core are left as they are, as are frames that read no files.
     """
-    spark = df.sparkSession
-    p = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < p:
-        return df.repartition(p)
-    return df
+    shares = scan_shares(df)
+    if shares == 1:
+        return df
+    columns = df.columns
+    try:
+        numbered = df.select("*", F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:      # rows of this source have no number
+        numbered = df.withColumn("_row", F.xxhash64(*columns))
+    parts = [numbered.where(F.pmod("_row", F.lit(shares)) == i).select(columns) for i in range(shares)]
+    return reduce(DataFrame.unionAll, parts)

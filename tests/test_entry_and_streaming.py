@@ -27,7 +27,9 @@ def test_registry_keys_consistent():
 
 def test_every_query_of_the_core_has_an_oracle():
     from bowline.plans.registry import all_oracles, all_queries
-    assert set(all_oracles()) == set(all_queries()) and len(all_queries()) == 46
+    # a run to the stopping rule is compared with NumPy instead (test_scale.py)
+    assert set(all_queries()) - set(all_oracles()) == {"lr_train_to_stop"} and set(all_oracles()) < set(all_queries())
+    assert len(all_queries()) == 52
 
 
 @pytest.mark.parametrize("key", ["scan_count_matrix", "matrix_word_ranking", "named_predictions",

@@ -1,10 +1,11 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from bowline.functions.text import tokens
 from bowline.operators.split import kth_smallest, ordered_split
-from bowline.sources.corpus import term_counts
+from bowline.sources.corpus import TextCorpus, balance, scan_shares, term_counts
 
 
 def test_tokens_rule(spark):
@@ -65,3 +66,29 @@ def test_split_with_null_and_repeated_keys(spark):
         assert s.n_train + s.n_validation == s.n == sum(k is not None for k in keys)
         labels = {r[0]: r[1] for r in df.select("doc_id", s.label()).collect()}
         assert None not in keys or labels[None] is None
+
+
+@pytest.mark.parametrize("kind", ["parquet", "json"])
+def test_a_scan_of_one_split_is_shared_without_moving_text(spark, tmp_path, kind):
+    """Every task takes its rows of the same split: no exchange, even shares
+    whatever the ids are, every row once."""
+    path = str(tmp_path / "docs")
+    rows = spark.range(2000).select((F.col("id") % 3).alias("doc_id"), F.lit(None).cast("int").alias("class_id"),
+                                    F.concat(F.lit("word "), F.col("id").cast("string")).alias("_text"))
+    rows.coalesce(1).write.format(kind).save(path)
+    back = spark.read.schema(rows.schema).format(kind).load(path)
+    assert scan_shares(back) == spark.sparkContext.defaultParallelism
+    out = balance(back.where("doc_id < 2"))
+    want = rows.where("doc_id < 2")
+    assert out.columns == rows.columns
+    assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < 2 * 1334 / len(sizes)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    plan = TextCorpus(back).cells().groupBy("term").count()._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan
+
+
+def test_frames_without_files_are_left_alone(spark):
+    df = spark.range(5).select(F.col("id").alias("doc_id"))
+    assert scan_shares(df) == 1 and balance(df) is df
