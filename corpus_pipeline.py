@@ -1,6 +1,12 @@
 """The corpus pipeline: language, quality, near-duplicates, benchmark leaks,
 packing. Each stage is one operator of ``bowline.llm`` over everything that the
-stage before it kept, which is written as Parquet and read again in between."""
+stage before it kept, which is written as Parquet and read again in between.
+
+Defined results of the stages: texts that are null, empty or without letters go at
+the first one; rows without a doc_id are judged like others and are never copies of
+one another; repeated rows are judged alike, and near_dedup keeps one of them. All
+columns but those that a stage needs pass through, whatever their names. Empty
+tables give empty tables."""
 
 from __future__ import annotations
 
@@ -24,10 +30,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays
-    (the shingles and similarity of the registered operator)."""
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the
+    document with the smallest id stays."""
     importable(spark)
-    return minhash_tensor.drop_near_duplicates(spark, docs, width=2)
+    return minhash_tensor.drop_near_duplicates(spark, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
