@@ -96,9 +96,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     every id that has an edge to another id, component = smallest id reachable.
 
     Alternating large-star / small-star rounds. Each round is two aggregations
-    with partial sums and two joins on the node id, which adaptive execution
-    splits when one node has very many neighbours; the edges of each round are
-    a written table, and only a count and a checksum come to the driver.
+    with partial sums and two joins on the node id. One node may have very many
+    larger neighbours: in the join that meets them both sides are plain shuffles of
+    written tables, which adaptive execution can split. Behind it every node is
+    keyed by its larger end and has few. The edges of each round are a written
+    table, and only a count and a checksum come to the driver.
     """
     e = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .distinct(), "edges")
@@ -106,6 +108,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        lows = low = scratch.write(low, "low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Every node keeps its edge towards the smallest neighbour it has seen.
         large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
@@ -115,6 +118,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         nxt = scratch.write(small, "edges")
         after = _signature(nxt)
         scratch.drop(e)
+        scratch.drop(lows)
         e = nxt
         if after == before:
             break

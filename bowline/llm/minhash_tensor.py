@@ -11,14 +11,15 @@ Stages, each bounded per task:
 
 1. Every text -> distinct word shingles (64-bit hashes), set size, a 128-bit
    fingerprint of the set and the half keys. Equal sets become one node.
-2. Table keys are exploded by the JVM; a running first-in-key links every
-   member of a bucket to the bucket's smallest member (a star: a bucket of g
-   members gives g - 1 pairs, never all pairs).
-3. Star pairs are confirmed on full sets.
-4. Buckets that still hold members of different components (a star pair failed)
-   are gathered into clusters. All members outside the largest component of a
-   cluster, in blocks, are compared with the members in size reach on full
-   sets, and only links that merge components leave a task.
+2. Every member of a bucket hangs on the bucket's smallest id, first within a
+   batch of nodes, then the batches' smallest on the smallest of all: a bucket
+   of g members gives g - 1 pairs, never all pairs, and as many rows of the
+   shuffle as there are batches at most.
+3. These pairs are confirmed on full sets.
+4. A pair that is no link ties the components of its two ends. Their members
+   with most links are compared; components still tied then are a cluster, and
+   members of different components of a cluster are compared on full sets where
+   an exact prefix filter lets them meet.
 5. Components of all confirmed links.
 
 Defined results: null or wordless text: n_shingles 0, linked with nothing. Equal
@@ -35,7 +36,6 @@ import hashlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -48,8 +48,8 @@ SHINGLE_WORDS = 5      # default of the operator; the registered query takes 2
 PERCENT = 80           # link when 100 * intersection >= PERCENT * union
 R = 4                  # minhashes of a half key
 M = 14                 # half keys of each collection; M * M tables
-BLOCK = 256            # unlinked members compared together in a task
-CHUNK = 1024           # cluster members they are compared with in a task
+STAR_ROWS = 4096       # nodes whose buckets are joined before the shuffle
+MIDDLE = 4             # members of a component that are compared before all
 SEED = 20240229
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -127,52 +127,6 @@ def _set_fn(width: int):
     return arrow_map(fn, schema)
 
 
-def _linked(inter, na, nb, percent):
-    return 100 * inter >= percent * (na + nb - inter)
-
-
-def _block_links(percent: int):
-    """Confirm, on full sets, links between the block's unlinked members and
-    the members of one chunk; only links that join components come out."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = pdf[pdf["side"] == 0]
-        right = pdf[pdf["side"] == 1]
-        sets = [np.asarray(x, np.int64) for x in left["s"]]
-        if not len(sets) or not len(right):
-            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
-        size = np.array([len(x) for x in sets])
-        val = np.concatenate(sets)
-        own = np.repeat(np.arange(len(sets)), size)
-        order = np.argsort(val, kind="stable")
-        val, own = val[order], own[order]
-        lid, lcomp = left["id"].to_numpy(), left["component"].to_numpy()
-        root: dict[int, int] = {}
-
-        def find(x):
-            while root.get(x, x) != x:
-                x = root[x]
-            return x
-
-        out = []
-        for rid, rcomp, s in zip(right["id"], right["component"], right["s"]):
-            s = np.asarray(s, np.int64)
-            lo, hi = np.searchsorted(val, s, "left"), np.searchsorted(val, s, "right")
-            n = hi - lo
-            if not n.sum():
-                continue
-            at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            inter = np.bincount(own[at], minlength=len(sets))
-            for k in np.flatnonzero(_linked(inter, size, len(s), percent)):
-                x, y = find(int(lcomp[k])), find(int(rcomp))
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    out.append((int(lid[k]), int(rid)))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return run
-
-
 def _sets_of(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Full sets of the documents ``ids(id)``, shingled again from the text.
     While the ids are known to fit a broadcast, no text is shuffled."""
@@ -185,67 +139,168 @@ def _sets_of(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
             .where(F.size("s") > 0))
 
 
+def _table_keys(x: list, m: int) -> np.ndarray:
+    """Keys of the m * m tables, a row for each node."""
+    half = np.array(x, np.int64).reshape(-1, 2 * m).view(np.uint64)
+    return _mix(half[:, :m, None] * _C1 + half[:, None, m:] * _C2).reshape(-1, m * m).view(np.int64)
+
+
+def _local_stars(m: int, pairs: bool):
+    """Within a batch of nodes (id, keys), the members of a bucket hang on their
+    smallest id: as rows (id, leader), or the leaders' rows (key, id). A bucket
+    then has a row for each batch at most, however many members it has."""
+    names = ("id", "leader") if pairs else ("key", "id")
+    schema = pa.schema([(n, pa.int64()) for n in names])
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, STAR_ROWS):
+                part = batch.slice(lo, STAR_ROWS)
+                ids = part.column(0).to_numpy()
+                keys = _table_keys(part.column(1).flatten().to_numpy(), m)
+                order = np.argsort(ids, kind="stable")
+                ids, flat = ids[order], keys[order].ravel()
+                # the first place of a key belongs to its smallest id
+                found, first, inverse = np.unique(flat, return_index=True, return_inverse=True)
+                leader = ids[first // keys.shape[1]]
+                if pairs:
+                    own = np.repeat(ids, keys.shape[1])
+                    rows = np.unique(np.stack([own, leader[inverse]], axis=1)[own != leader[inverse]], axis=0)
+                    out = rows[:, 0], rows[:, 1]
+                else:
+                    out = found, leader
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], schema=schema)
+
+    return run
+
+
+def bucket_pairs(nodes: DataFrame, m: int) -> DataFrame:
+    """Distinct (id, leader): in every bucket all members hang on one of them, in
+    at most two steps (its batch's smallest id, and the smallest of all)."""
+    keyed = nodes.select("id", "keys")
+    local = keyed.mapInArrow(_local_stars(m, True), "id long, leader long")
+    # A running first value: the window keeps no group in memory.
+    w = Window.partitionBy("key").orderBy("id")
+    leaders = keyed.mapInArrow(_local_stars(m, False), "key long, id long") \
+        .withColumn("leader", F.first("id").over(w)).where("id <> leader").select("id", "leader")
+    return leaders.unionByName(local).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links among ``pairs(a, b)``, on full sets."""
+    both = F.size("sa").cast("long") + F.size("sb")
+    return (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+            .withColumn("inter", F.size(F.array_intersect("sa", "sb")).cast("long"))
+            .where(100 * F.col("inter") >= percent * (both - F.col("inter"))).select("a", "b"))
+
+
+def cross_candidates(rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of ``rows(id, component, cluster, top)`` of one cluster and
+    different components that can be linked: an exact prefix filter over
+    ``sets(id, set, s)``, whose ``set`` numbers the sets.
+
+    Shingles are put in an order, first those that only one component of the
+    cluster has, then the rarest. Two linked sets have at least a = ceil(p (n + m)
+    / (100 + p)) common shingles, so the first of these is among the first n - a + 1
+    of one set and among the first m - a + 1 of the other; for the smaller set that
+    is within n - ceil(2 p n / (100 + p)) + 1 places, for the larger within m -
+    ceil(p m / 100) + 1. Shingles of one component only fill these places without
+    making pairs, so sets that are alike in a template but differ in a tenth of
+    their own meet nobody. Members of a cluster's largest component (``top``) are
+    not joined with each other at all.
+    """
+    held = (rows.join(sets, "id")
+            .select("id", "set", F.size("s").cast("long").alias("n"), "component", "top", "cluster",
+                    F.explode("s").alias("x"))
+            .withColumn("x", F.xxhash64("cluster", "x")).drop("cluster"))
+    shared = held.groupBy("x").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("lo"),
+                                   F.max("component").alias("hi")).where("lo <> hi").select("x", "df")
+    live = scratch.write(held.join(scratch.write(shared, "shared"), "x"), "live")
+    # the shared shingles stand behind the own ones
+    counts = live.groupBy("set", "n").agg(F.count(F.lit(1)).alias("kept")) \
+        .withColumn("own", F.col("n") - F.col("kept"))
+    reach = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
+    counts = counts.where(reach > F.col("own")).select("set", "own", reach.cast("long").alias("reach"))
+    place = F.col("own") + F.row_number().over(Window.partitionBy("set").orderBy("df", "x"))
+    prefix = scratch.write(live.join(counts, "set").withColumn("place", place).where("place <= reach")
+                           .select("id", "n", "component", "top", "x", "place"), "prefix")
+    both = F.lit(100 + percent)
+    small = prefix.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * (2 * percent) / both) + 1)
+    common = F.ceil((F.col("na") + F.col("nb")) * percent / both)
+
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        left, right = (df.select("x", *[F.col(c).alias(c[0] + side) for c in ("id", "n", "component", "place")])
+                       for df, side in ((left, "a"), (right, "b")))
+        return left.join(right, "x").where(
+            (F.col("ca") != F.col("cb")) & (F.col("na") <= F.col("nb")) & (100 * F.col("na") >= percent * F.col("nb"))
+            & (F.col("pa") <= F.col("na") - common + 1) & (F.col("pb") <= F.col("nb") - common + 1)) \
+            .select(F.col("ia").alias("a"), F.col("ib").alias("b"))
+
+    return meet(small.where("NOT top"), prefix).unionByName(meet(small.where("top"), prefix.where("NOT top"))).distinct()
+
+
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """Distinct (a, b): components that a pair which is no link ties together."""
+    return (pairs.join(comp.select("id", F.col("component").alias("ci")), "id", "left")
+            .join(comp.select(F.col("id").alias("leader"), F.col("component").alias("cl")), "leader", "left")
+            .select(F.least(F.coalesce("ci", "id"), F.coalesce("cl", "leader")).alias("a"),
+                    F.greatest(F.coalesce("ci", "id"), F.coalesce("cl", "leader")).alias("b"))
+            .where("a <> b").distinct())
+
+
+def middle_pairs(members: DataFrame, comp: DataFrame, links: DataFrame, apart: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the members with most links of two tied components, at
+    most MIDDLE * MIDDLE for each tie: where the middle of one is near that of the
+    other, no other member has to be looked at."""
+    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
+    rows = (members.join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+            .join(ends.groupBy("id").agg(F.count(F.lit(1)).alias("links")), "id", "left"))
+    order = Window.partitionBy("component").orderBy(F.desc_nulls_last("links"), "id")
+    middle = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= MIDDLE).select("component", "id")
+    left = middle.select(F.col("component").alias("a"), F.col("id").alias("ia"))
+    right = middle.select(F.col("component").alias("b"), F.col("id").alias("ib"))
+    return apart.join(left, "a").join(right, "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
+
+
 def near_duplicate_links(spark: SparkSession, nodes: DataFrame, docs: DataFrame, scratch: Scratch,
                          width: int, percent: int, r: int, m: int) -> DataFrame:
     """Confirmed links (a, b) between nodes (id, n, keys); enough of them that
     their components are those of all links between nodes that share a table."""
-    left = F.posexplode(F.slice("keys", 1, m)).alias("i", "x")
-    right = F.posexplode(F.slice("keys", m + 1, m)).alias("j", "y")
-    keyed = (nodes.select("id", "keys", left).select("id", "i", "x", right)
-             .select("id", F.xxhash64("i", "j", "x", "y").alias("key")))
-    # A running first value: the window keeps no group in memory.
-    w = Window.partitionBy("key").orderBy("id")
-    stars = scratch.write(keyed.withColumn("leader", F.first("id").over(w)).where("id <> leader"), "stars")
-    pairs = scratch.write(stars.select("id", "leader").distinct(), "pairs")
+    pairs = scratch.write(bucket_pairs(nodes, m), "pairs")
     members = scratch.write(pairs.select("id").unionByName(pairs.select(F.col("leader").alias("id"))).distinct(),
                             "members")
-    sets = scratch.write(_sets_of(members, docs, width).distinct(), "sets")
-    lo, hi = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
-    inter = F.size(F.array_intersect("sa", "sb")).cast("long")
+    sets = scratch.write(_sets_of(members, docs, width).distinct()
+                         .withColumn("set", F.monotonically_increasing_id()), "sets")
     # Sizes alone rule out most false pairs before the sets are read.
     sizes = nodes.select("id", "n")
     near = (pairs.join(sizes.withColumnRenamed("n", "na"), "id")
             .join(sizes.select(F.col("id").alias("leader"), F.col("n").alias("nb")), "leader")
-            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("id", "leader"))
-    star_links = scratch.write(
-        near.join(sets.select("id", F.col("s").alias("sa")), "id")
-        .join(sets.select(F.col("id").alias("leader"), F.col("s").alias("sb")), "leader")
-        .withColumn("inter", inter)
-        .where(100 * F.col("inter") >= percent * (lo.cast("long") + hi - F.col("inter")))
-        .select(F.col("leader").alias("a"), F.col("id").alias("b")), "links")
+            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+            .select(F.col("leader").alias("a"), F.col("id").alias("b")))
+    star_links = scratch.write(_confirmed(near, sets, percent), "links")
 
     comp = scratch.write(components(star_links, scratch), "components")
-    held = stars.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    split = (held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                     F.min("id").alias("first")).where("lo <> hi"))
-    split = scratch.write(split.select("key", "first"), "split")
-    if split.isEmpty():
+    # A pair that is no link ties the components of its ends.
+    apart = scratch.write(_apart(pairs, comp), "apart")
+    if apart.isEmpty():
         return star_links
-    loose = scratch.write(held.join(split, "key").select("id", "component", "first").distinct(), "loose")
-    cluster = components(loose.select(F.col("first").alias("a"), F.col("id").alias("b")), scratch)
-    rows = loose.select("id", "component").distinct().join(cluster.withColumnRenamed("component", "cluster"), "id")
-    rows = scratch.write(rows.join(nodes.select("id", "n"), "id"), "clusters")
-    # The largest component of a cluster needs no comparison inside itself.
+    middle = middle_pairs(members, comp, star_links, apart)
+    links = star_links.unionByName(scratch.write(_confirmed(middle, sets, percent), "links"))
+    comp = scratch.write(components(links, scratch), "components")
+    # What is still tied is a cluster, and compared exactly.
+    cluster = scratch.write(components(_apart(pairs, comp), scratch)
+                            .select(F.col("id").alias("component"), F.col("component").alias("cluster")), "clusters")
+    if cluster.isEmpty():
+        return links
+    rows = scratch.write(members.join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+                         .join(cluster, "component"), "rows")
     sizes = rows.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("c"))
-    top = sizes.groupBy("cluster").agg(F.max(F.struct("c", F.col("component"))).alias("t"),
-                                       F.sum("c").alias("members"))
-    rows = rows.join(top.select("cluster", F.col("t.component").alias("top"), "members"), "cluster")
-    rank = F.row_number().over(Window.partitionBy("cluster").orderBy("n", "id")) - 1
-    strays = (rows.where("component <> top")
-              .withColumn("block", F.floor(rank / F.lit(BLOCK)).cast("long")))
-    strays = scratch.write(strays, "strays")
-    blocks = strays.groupBy("cluster", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("members") / F.lit(CHUNK))).cast("long")
-    chunk_of = F.pmod(F.xxhash64("id"), chunks)
-    reach = (100 * F.col("n") >= percent * F.col("least")) & (percent * F.col("n") <= 100 * F.col("most"))
-    cols = ["cluster", "block", "chunk", "side", "id", "component"]
-    theirs = rows.withColumn("chunk", chunk_of).join(blocks, "cluster").where(reach) \
-        .withColumn("side", F.lit(1)).select(cols)
-    ours = strays.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))) \
-        .withColumn("side", F.lit(0)).select(cols)
-    more = (ours.unionByName(theirs).join(sets, "id")
-            .groupBy("cluster", "block", "chunk").applyInPandas(_block_links(percent), "a long, b long"))
-    return star_links.unionByName(scratch.write(more, "links"))
+    top = sizes.groupBy("cluster").agg(F.max(F.struct("c", "component")).alias("t")) \
+        .select(F.col("t.component").alias("component"), F.lit(True).alias("top"))
+    rows = rows.join(top, "component", "left").withColumn("top", F.coalesce("top", F.lit(False)))
+    found = scratch.write(cross_candidates(rows, sets, percent, scratch), "candidates")
+    return links.unionByName(scratch.write(_confirmed(found, sets, percent), "links"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT,
