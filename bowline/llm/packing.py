@@ -38,7 +38,9 @@ SEQ_LEN = 4096
 END_ID = 1
 GROUP = 50_000          # pieces packed together in a task of the first round
 NEARLY_FULL = 0.97      # a sequence this full is final at once
-CACHE_WORDS = 800_000   # words remembered in a Python worker
+CACHE_BYTES = 96 << 20  # words and runs remembered in a Python worker, with what a dictionary needs for each
+ENTRY_BYTES = 160       # of a dictionary, beside the characters
+LONG_RUN = 256          # longer ones are not remembered
 
 # A text of these characters only is cut into words here, by the tokenizer's own
 # published pattern (its \p{L} and \p{N} are the classes below for them); any
@@ -76,6 +78,7 @@ class WordEncoder:
         self.special = re.compile("|".join(special) or r"(?!)")
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.held = 0
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in self.tok.encode_batch(texts, add_special_tokens=False)]
@@ -99,14 +102,23 @@ class WordEncoder:
             plain = not t or bool(_PLAIN.fullmatch(t) and not self.special.search(t))
             by_word.append(plain)
             cut.append(_WORDS.findall(t.lower()) if plain and t else (t or "").replace("\n", " ").split(" "))
+        if self.held > CACHE_BYTES:
+            self.words.clear()
+            self.runs.clear()
+            self.held = 0
+        long = []
         for known, learn, want in ((self.words, self._learn_words, True), (self.runs, self._learn_runs, False)):
-            if len(known) > CACHE_WORDS:
-                known.clear()
             new = set().union(*[ws for ws, plain in zip(cut, by_word) if plain == want]).difference(known)
             if new:
                 learn(list(new))
-        return [b"".join(map((self.words if plain else self.runs).__getitem__, ws))
-                for ws, plain in zip(cut, by_word)]
+                long += [(known, w) for w in new if len(w) > LONG_RUN]
+                self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
+        out = [b"".join(map((self.words if plain else self.runs).__getitem__, ws))
+               for ws, plain in zip(cut, by_word)]
+        for known, w in long:
+            del known[w]
+            self.held -= len(w) + ENTRY_BYTES
+        return out
 
     def _learn_runs(self, runs: list[str]) -> None:
         self.runs.update((r, one.tobytes()) for r, one in zip(runs, self._library(runs)))
