@@ -446,6 +446,57 @@ def test_html_deeply_nested_template_is_aligned(spark):
     assert html_texts(spark, pages) == {i: f"Body {i}" for i in range(6)}
 
 
+@pytest.mark.parametrize("n", [1, 8, 30])
+def test_html_comments_adverts_and_related_boxes_go_in_any_layout(spark, n):
+    """They vary from page to page as articles do, and are template all the same."""
+    def texts(make):
+        return html_texts(spark, [(f"http://v.x/{i}", make(i)) for i in range(n)])
+
+    body = "<h1>Title {0}</h1><p>First paragraph {0}</p><p>Second paragraph {0}</p>"
+    want = {i: f"Title {i}\nFirst paragraph {i}\nSecond paragraph {i}" for i in range(n)}
+    after = texts(lambda i: f"<main><article>{body.format(i)}</article><section class=comments><h2>Comments</h2>"
+                            f"<article><p>Reader {i} says so</p></article></section></main>")
+    bare = texts(lambda i: f"<div>{body.format(i)}</div><div class=ad><p>Buy {i}</p></div><div id=comments><p>Reader {i}"
+                           f"</p></div><div class=related><p>More on {i}</p></div>")
+    inside = texts(lambda i: f"<article>{body.format(i)}<div class=related><a href=/{i}>Teaser {i}</a></div>"
+                             f"<div class='x comments'><p>Reader {i}</p></div></article>")
+    assert after == want and bare == want and inside == want
+
+
+def test_html_constant_headings_stay_and_constant_lines_go(spark):
+    made = "<article><h1>Paper {0}</h1><h2>Abstract</h2><p>About {0}</p><h2>Conclusion</h2><p>So {0}</p>" \
+           "<p>All rights reserved</p><table><tr><td>yes</td></tr></table><h2>Share this</h2><p class=x>Mail</p></article>"
+    got = html_texts(spark, [(f"http://w.x/{i}", made.format(i)) for i in range(30)])
+    assert got == {i: f"Paper {i}\nAbstract\nAbout {i}\nConclusion\nSo {i}\nyes" for i in range(30)} \
+        or got == {i: f"Paper {i}\nAbstract\nAbout {i}\nConclusion\nSo {i}" for i in range(30)}
+
+
+def test_html_slots_of_links_are_template(spark):
+    """A menu without a telling name, whose entries differ from page to page."""
+    made = "<body><div><div><a href=/{0}>Near {0}</a> <a href=/x{0}>Far {0}</a></div></div><section><p>Text {0}, " \
+           "with <a href=/>a link</a> in it</p></section>"
+    got = html_texts(spark, [(f"http://l.x/{i}", made.format(i)) for i in range(9)])
+    assert got == {i: f"Text {i}, with a link in it" for i in range(9)}
+
+
+def test_html_wrapper_decides_where_no_list_does(spark, monkeypatch):
+    """With every list of names and roles emptied, the slots alone still find the
+    article of the pages of larger hosts."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = pages.select("page_id", html_wrapper._host(F.col("url")).alias("host"), "html").collect()
+    big = {h for h in {r.host for r in rows} if sum(r.host == h for r in rows) >= 9}
+    listed = {r.page_id: r.text for r in html_wrapper.extract_main_text(spark, pages).collect()}
+    packed = {r.host: r.packed for r in html_wrapper.induce(spark, pages).select(
+        "host", F.to_json(F.struct("wrapper", "pages", "slots", "fixed")).alias("packed")).collect()}
+    for name in ("ROLE_WORDS", "ALWAYS", "ROLES", "BOILERPLATE"):
+        monkeypatch.setattr(html_wrapper, name, frozenset())
+    mine = [r for r in rows if r.host in big]
+    menu = [r for r in mine if r.html.split("<a href")[1].split(">")[1].split("<")[0]
+            in html_wrapper.main_text(r.html, packed[r.host]).split("\n")]
+    assert len(mine) > 50 and len(menu) <= 0.1 * len(mine)
+    assert all(set(listed[r.page_id].split("\n")) <= set(html_wrapper.main_text(r.html, packed[r.host]).split("\n")) for r in mine)
+
+
 def test_minhash_repeated_ids_with_different_texts(spark):
     text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abc"}
     rows = [(1, text["a"], "x"), (1, text["b"], "x"), (2, text["a"] + " tail", "x"), (3, text["b"], "x"),
@@ -456,3 +507,40 @@ def test_minhash_repeated_ids_with_different_texts(spark):
             spark, spark.createDataFrame(order, "doc_id long, text string, node string").repartition(3)).collect()]
         assert {r for r in got if r[1]} | {r for r in got if r[0] == 5} == set(got)
         assert {r for r in got if r[0] != 5} == want and len(got) == 5
+
+
+def _near_misses(n, between, seed=5):
+    """Texts of one template that share tables and mostly don't link (0.78), with
+    a few whose own words differ in one place only, and ``between`` short ones that
+    link all others."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(181)]
+    texts = {}
+    for i in range(n):
+        own = [f"o{i}x{k}" for k in range(25)]
+        if i % 10 == 9:
+            own = texts[i - 1].split()[181:-1] + [f"z{i}"]
+        texts[i] = " ".join(template + own)
+    for i in range(n, n + between):
+        texts[i] = " ".join(template[:170] + [f"r{rng.random()}" for _ in range(3)])
+    return texts
+
+
+@pytest.mark.parametrize("n,between", [(150, 5), (600, 0)])
+def test_minhash_near_misses_meet_in_proportion(spark, monkeypatch, n, between):
+    """A template of near misses is one cluster; what is compared grows with the
+    documents, not with their pairs, and the classes are those of brute force."""
+    seen, whole = [], minhash_tensor.cross_candidates
+
+    def counted(*args):
+        out = whole(*args)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash_tensor, "cross_candidates", counted)
+    texts = _near_misses(n, between)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_tensor.near_duplicates(spark, df, width=2).collect()}
+    assert got == brute_components(texts)
+    # short texts in the middle settle all; without them the prefix filter decides
+    assert len(seen) == (0 if between else 1) and sum(seen) <= 2 * n
