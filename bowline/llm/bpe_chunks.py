@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm.common import arrow_map
+from bowline.llm.common import arrow_map, at_work
 
 MASK_BITS = 11                 # chunks of about 2 KB
 LEAST, MOST = 256, 1 << 16     # bytes of a chunk
@@ -302,6 +302,7 @@ def _codec_fn(path: str | None):
                         ("decoded", pa.string())])
 
     def fn(cols):
+        at_work("bpe", codec.cache_clear)
         c = codec(path or default_tokenizer())
         ids = c.encode(cols["text"])
         return {"doc_id": cols["doc_id"], "n_tokens": [len(i) // 4 for i in ids], "ids": ids,

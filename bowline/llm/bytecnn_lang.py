@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm.common import free_name, hash_share
+from bowline.llm.common import at_work, free_name, hash_share
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -191,6 +191,7 @@ def language(spark: SparkSession, net: Folded, text) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
+        at_work("language")
         return pd.DataFrame(shared.value.predict(list(texts)), columns=["lang_pred", "score"])
 
     return predict(text)

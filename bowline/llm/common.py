@@ -15,6 +15,18 @@ from bowline.session import checkpoint_dir
 
 SLICE_ROWS = 512
 
+# Of a Python worker: what an operator keeps between tasks, and how to let it go.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def at_work(operator: str, release: Callable[[], None] | None = None) -> None:
+    """Called where an operator works in a Python worker: what other operators keep
+    in this process is released (workers are used again by later stages)."""
+    for other in [o for o in _HELD if o != operator]:
+        _HELD.pop(other)()
+    if release:
+        _HELD[operator] = release
+
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package where it is not installed: its

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm.common import free_name
+from bowline.llm.common import at_work, free_name
 
 WINDOW = 10
 PART_BYTES = 32 * 1024 * 1024
@@ -96,6 +96,7 @@ _SCANNERS: dict[str, Scanner] = {}
 
 
 def _scanner(token: str, windows) -> Scanner:
+    at_work("decontamination", _SCANNERS.clear)
     if token not in _SCANNERS:
         _SCANNERS.clear()
         _SCANNERS[token] = Scanner(windows.value)

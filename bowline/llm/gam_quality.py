@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm.common import arrow_map, free_name, hash_share
+from bowline.llm.common import arrow_map, at_work, free_name, hash_share
 
 TRAIN_ROWS = 20_000
 BINS = 32
@@ -203,6 +203,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = T
 def quality_score(model: Gam, text):
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        at_work("quality")
         x = np.array([features(t) for t in texts], np.float64).reshape(len(texts), len(FEATURES))
         return pd.Series(model.score(x))
 

@@ -41,14 +41,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bowline.llm.common import Scratch, arrow_map, components, free_name
+from bowline.llm.common import Scratch, arrow_map, at_work, components, free_name
 from bowline.session import broadcast_limit_bytes
 
 SHINGLE_WORDS = 5      # default of the operator; the registered query takes 2
 PERCENT = 80           # link when 100 * intersection >= PERCENT * union
 R = 4                  # minhashes of a half key
 M = 14                 # half keys of each collection; M * M tables
-STAR_ROWS = 4096       # nodes whose buckets are joined before the shuffle
+STAR_ROWS = 1024       # nodes whose buckets are joined before the shuffle
 MIDDLE = 4             # members of a component that are compared before all
 SEED = 20240229
 
@@ -107,6 +107,7 @@ def _sketch_fn(width: int, r: int, m: int):
                         ("keys", pa.list_(pa.int64()))])
 
     def fn(cols):
+        at_work("minhash")
         n, f, keys = [], [], []
         for t in cols["text"]:
             s = shingle_set(t, width)

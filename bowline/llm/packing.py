@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.llm.common import Scratch, arrow_map
+from bowline.llm.common import Scratch, arrow_map, at_work
 
 SEQ_LEN = 4096
 END_ID = 1
 GROUP = 50_000          # pieces packed together in a task of the first round
 NEARLY_FULL = 0.97      # a sequence this full is final at once
-CACHE_BYTES = 96 << 20  # words and runs remembered in a Python worker, with what a dictionary needs for each
+CACHE_BYTES = 80 << 20  # words and runs remembered in a Python worker, with what a dictionary needs for each
 ENTRY_BYTES = 160       # of a dictionary, beside the characters
 LONG_RUN = 256          # longer ones are not remembered
 
@@ -135,6 +135,7 @@ def _pieces_fn(path: str | None, seq_len: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def fn(cols):
+        at_work("packing", encoder.cache_clear)
         out = {f.name: [] for f in schema}
         for lo in range(0, len(cols["text"]), 64):
             raw_ids = encoder(path or default_tokenizer()).encode(cols["text"][lo:lo + 64])
