@@ -544,3 +544,15 @@ def test_minhash_near_misses_meet_in_proportion(spark, monkeypatch, n, between):
     assert got == brute_components(texts)
     # short texts in the middle settle all; without them the prefix filter decides
     assert len(seen) == (0 if between else 1) and sum(seen) <= 2 * n
+
+
+def test_a_worker_keeps_the_caches_of_one_operator():
+    from bowline.llm import common
+
+    common.at_work("none")
+    freed = []
+    common.at_work("a", lambda: freed.append("a"))
+    common.at_work("a", lambda: freed.append("a"))
+    assert not freed
+    common.at_work("b")
+    assert freed == ["a"] and not common._HELD
