@@ -25,10 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bowline.llm.common import at_work, free_name, hash_share
+from bowline.llm.common import SLICE_ROWS, at_work, free_name, hash_share
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -97,12 +99,12 @@ class Folded:
         return res
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        raws = [t.encode("utf-8", "surrogatepass") if t and _LETTER.search(t) else None for t in texts]
         out: list[tuple[str, float]] = []
-        for raw in raws:
-            if raw is None or not self.langs:
+        for text in texts:      # one encoded text at a time
+            if not self.langs or not text or not _LETTER.search(text):
                 out.append(("und", 0.0))
                 continue
+            raw = text.encode("utf-8", "surrogatepass")
             win = windows_of(raw)
             weight = np.full(len(win), float(WINDOW))
             weight[-1] = len(raw) - WINDOW * (len(win) - 1)
@@ -198,11 +200,23 @@ def language(spark: SparkSession, net: Folded, text) -> Column:
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score."""
-    net = train(spark, docs)
-    return (docs.select("doc_id", held_out("doc_id").alias("held_out"),
-                        language(spark, net, F.col("text").cast("string")).alias("p"))
-            .select("doc_id", "held_out", "p.lang_pred", "p.score"))
+    """Per row: doc_id, held_out, lang_pred, score. Texts go to the worker in small
+    pieces, and no row waits in the executor for its result to come back."""
+    shared = spark.sparkContext.broadcast(train(spark, docs))
+
+    def score(batches):
+        at_work("language")
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(lo, SLICE_ROWS)
+                found = shared.value.predict(part.column(2).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([f[0] for f in found], pa.string()),
+                     pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+
+    rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), F.col("text").cast("string").alias("text"))
+    out = T.StructType([*rows.schema.fields[:2], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(score, out)
 
 
 def keep_known(spark: SparkSession, docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
