@@ -3,7 +3,6 @@ folder, column naming, and connected components as DataFrame rounds."""
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bowline.session import checkpoint_dir
+from bowline.session import checkpoint_dir, importable  # noqa: F401
 
 SLICE_ROWS = 512
 
@@ -28,17 +27,6 @@ def at_work(operator: str, release: Callable[[], None] | None = None) -> None:
         _HELD[operator] = release
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed: its
-    folder goes on the path of workers started on the same machine. A cluster
-    gets it with ``--py-files`` or an installed package."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
-
-
 class Scratch:
     """Written tables below the session's checkpoint folder. A table cuts the
     lineage: a lost executor rereads files instead of redoing earlier stages."""
