@@ -183,40 +183,49 @@ def scan_count_matrix(spark: SparkSession, path: str, width: int, labelled: bool
 
 def write_sparse_matrix(corpus: Corpus, vocabulary: DataFrame, path: str) -> str:
     """``corpus`` as sparse count-matrix text over all of ``vocabulary(term_id,
-    term)``; a line holds one document's nonzero counts in column order."""
+    term)``; a line holds one document's nonzero counts in column order. Cells get
+    their column before they move: by document, once, as numbers."""
     terms = _sized(vocabulary.select("term", "term_id"), vocabulary.count(), 80)
-    counted = (corpus.tf().join(terms, "term").groupBy("doc_id")
-                     .agg(F.sort_array(F.collect_list(F.struct("term_id", "cnt"))).alias("cells")))
+    dealt = corpus.cells().join(terms, "term").select("doc_id", "class_id", "term_id", "cnt").repartition("doc_id")
+    counted = (dealt.groupBy("doc_id", "class_id", "term_id").agg(F.sum("cnt").alias("cnt")).groupBy("doc_id")
+               .agg(F.sort_array(F.collect_list(F.struct("term_id", "cnt"))).alias("cells")))
     cells = F.transform("cells", lambda c: F.concat(c["term_id"].cast("string"), F.lit(":"), c["cnt"].cast("string")))
     line = F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce(F.col("class_id").cast("string"), F.lit("-")), cells)
     corpus.rows().join(counted, "doc_id", "left").select(line.alias("value")).write.mode("overwrite").text(path)
     return path
 
 
-def scan_sparse_matrix(spark: SparkSession, path: str) -> MatrixScan:
-    """The sparse matrix, malformed rows set aside: ``fields`` (no class field),
-    ``id``, ``class`` or ``count`` (a cell that is not index:count)."""
+def _judge_sparse(spark: SparkSession, path: str) -> DataFrame:
+    """(value, reason, doc_id, class_id, cells) of every line; a cell is split once."""
     lines = spark.read.text(path).where(F.trim(F.col("value")) != "").withColumn("a", F.split(F.trim("value"), " +"))
     class_raw = F.get("a", F.lit(1))
     raw = F.slice("a", 3, F.greatest(F.size("a") - 2, F.lit(0)))
-    halves = lambda c: F.split(c, ":")
-    is_cell = lambda c: ((F.size(halves(c)) == 2) & _is_number(halves(c)[0], "int")
-                         & _is_number(F.get(halves(c), F.lit(1))))
+    cell = lambda h: F.struct(
+        F.when(F.size(h) == 2, F.trim(h[0]).try_cast("int")).alias("term"), F.trim(F.get(h, F.lit(1))).try_cast("bigint").alias("cnt"))
+    read = lines.select("value", "a", F.transform(F.transform(raw, lambda c: F.split(c, ":")), cell).alias("cells"))
     problem = (F.when(F.size("a") < 2, "fields").when(~_is_number(F.col("a")[0]), "id")
                .when(~(_is_number(class_raw, "int") | (class_raw == "-")), "class")
-               .when(~F.forall(raw, is_cell), "count"))
-    pairs = F.transform(raw, lambda c: F.struct(halves(c)[0].cast("int").alias("term"),
-                                                halves(c)[1].cast("bigint").alias("cnt")))
-    class_id = F.when(class_raw != "-", class_raw.cast("int"))
-    return _scan(lines, problem, F.col("a")[0].cast("bigint"), class_id, pairs)
+               .when(F.exists("cells", lambda c: c["term"].isNull() | c["cnt"].isNull()), "count"))
+    return read.select("value", problem.alias("reason"), F.trim(F.col("a")[0]).try_cast("bigint").alias("doc_id"),
+                       F.when(class_raw != "-", F.trim(class_raw).try_cast("int")).alias("class_id"), "cells")
+
+
+def scan_sparse_matrix(spark: SparkSession, path: str) -> MatrixScan:
+    """The sparse matrix, malformed rows set aside: ``fields`` (no class field),
+    ``id``, ``class`` or ``count`` (a cell that is not index:count). The lines are
+    parsed once, into a written table that everything asked of the scan reads."""
+    judged, good = _judge_sparse(spark, path), F.col("reason").isNull()
+    kept = written_table(judged.select("reason", F.when(~good, F.col("value")).alias("value"), "doc_id", "class_id",
+                                       F.when(good, F.col("cells")).alias("cells")), "matrix-scan")
+    return MatrixScan(_cells_of(kept.where(good), F.col("cells")), kept.where(~good).select("value", "reason"))
 
 
 def read_sparse_matrix(spark: SparkSession, path: str) -> CellCorpus:
     """The sparse matrix; a malformed row fails the job that reads it."""
-    scan = scan_sparse_matrix(spark, path)
+    judged, good = _judge_sparse(spark, path), F.col("reason").isNull()
     broken = F.raise_error(F.concat(F.lit("malformed count-matrix row ("), F.col("reason"), F.lit("): "), F.col("value")))
-    check = scan.rejects.select(broken.cast("bigint").alias("doc_id"), F.lit(None).cast("int").alias("class_id"))
-    rows = scan.corpus.rows().unionByName(check)
-    cells = scan.corpus.cells().unionByName(check.select(
-        "doc_id", "class_id", F.lit(0).alias("term"), F.lit(0).cast("bigint").alias("cnt")))
-    return CellCorpus(cells, rows)
+    row = F.when(good, F.struct("doc_id", "class_id", "cells")).otherwise(broken)
+    cells = (judged.select(row.alias("row")).select("row.doc_id", "row.class_id", F.inline("row.cells"))
+             .where(F.col("cnt") != 0))
+    rows = judged.where(F.when(good, F.lit(True)).otherwise(broken.cast("boolean")))
+    return CellCorpus(cells, rows.select("doc_id", "class_id"))

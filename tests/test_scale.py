@@ -314,3 +314,34 @@ def test_a_new_process_scores_from_the_bundle_alone(spark, normalize):
     store.load(4).write_predictions(test, out, normalize=normalize, norm_stats=stats)
     back = T.read_predictions(spark, out).collect()
     assert {r["id"]: r["class"] for r in back} == want and {r["iter"] for r in back} == {4}
+
+
+def test_a_tolerant_scan_parses_its_lines_once(spark, tmp_path):
+    path = tmp_path / "m.txt"
+    path.write_text("1 1 0:2 4:1\n2 1 0:x\n3\n4 - 2:5\n5 1 2:5:1\n6 2 3:0\n")
+    scan = M.scan_sparse_matrix(spark, str(path))
+    for df in (scan.corpus.cells(), scan.corpus.rows(), scan.rejects):
+        assert "FileScan text" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, scan.corpus.cells().collect())) == [(1, 1, 0, 2), (1, 1, 4, 1), (4, None, 2, 5)]
+    assert {(r["reason"], r["n"]) for r in scan.counts().collect()} == {(None, 3), ("count", 2), ("fields", 1)}
+
+
+def test_the_strict_reader_reads_the_lines_once_and_refuses(spark, tmp_path):
+    import pytest
+    path = tmp_path / "m.txt"
+    path.write_text("1 1 0:2\n2 x 0:1\n")
+    back = M.read_sparse_matrix(spark, str(path))
+    assert back.cells()._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    for job in (back.cells, back.rows):
+        with pytest.raises(Exception, match="malformed"):
+            job().count()
+
+
+def test_matrix_lines_of_repeated_documents_move_once(spark, tmp_path):
+    from bowline.sources.corpus import ClassSet, corpus_from_table
+    rows = [(1, "a b a", "x"), (1, "b c", "x"), (2, "c", None), (3, "", "x"), (None, "a", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    vocabulary = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "term_id int, term string")
+    path = M.write_sparse_matrix(corpus_from_table(df, ClassSet(("x",)), "label"), vocabulary, str(tmp_path / "out"))
+    lines = sorted(r["value"] for r in spark.read.text(path).collect())
+    assert lines == ["1", "1 1 0:2 1:2 2:1", "1 1 0:2 1:2 2:1", "2 - 2:1", "3 1"]
