@@ -92,3 +92,18 @@ def test_a_scan_of_one_split_is_shared_without_moving_text(spark, tmp_path, kind
 def test_frames_without_files_are_left_alone(spark):
     df = spark.range(5).select(F.col("id").alias("doc_id"))
     assert scan_shares(df) == 1 and balance(df) is df
+
+
+def test_cells_come_counted_and_tokenised_as_the_column_rule(spark):
+    """A row gives one cell for each distinct token, not one for each occurrence."""
+    from bowline.functions.text import tokens
+    from pyspark.sql import functions as F
+    rows = [(1, 1, "B a b  b\tA-1 a1"), (2, None, None), (3, 2, "İx K9 naïve 中文z"), (3, 2, "x x"), (None, 1, "q\x00q")]
+    df = spark.createDataFrame(rows, "doc_id long, class_id int, _text string")
+    corpus = TextCorpus(df)
+    assert sorted((r["term"], r["cnt"]) for r in corpus.cells().where("doc_id = 1").collect()) == [("1", 1), ("a", 2), ("a1", 1), ("b", 3)]
+    want = df.select("doc_id", "class_id", F.explode(tokens("_text")).alias("term")).groupBy("doc_id", "class_id", "term").count()
+    assert sorted(map(str, corpus.tf().collect())) == sorted(str(r).replace("count=", "cnt=") for r in want.collect())
+    empty = [tuple(r) for r in corpus.scoring_cells().where("term IS NULL").collect()]
+    assert empty == [(2, None, None, 0)]
+    assert sorted(r["n_tokens"] for r in corpus.docs().collect()) == [0, 2, 2, 6, 7]
