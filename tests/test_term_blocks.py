@@ -67,3 +67,39 @@ def test_slots_fill_every_partition(spark):
     labels = TB.slots(spark, 7)
     ids = spark.range(1).select(F.explode(F.array(*[F.lit(v).cast("bigint") for v in labels])).alias("tb")).repartition(7, "tb")
     assert sorted(r["p"] for r in ids.select(F.spark_partition_id().alias("p")).collect()) == list(range(7))
+
+
+def test_texts_are_counted_without_a_shuffle_and_other_splits_without_a_join(spark, monkeypatch):
+    """Cells of texts are written as they come; a held split is keyed by hash and
+    normalised in its blocks, so neither terms nor column sums are broadcast."""
+    from bowline.sources.corpus import ClassSet, corpus_from_table
+    rows = [(1, "a b b", "x"), (1, "b c", "y"), (2, "c a", "y"), (3, "d", "x"), (4, "", "x")]
+    make = lambda rs: corpus_from_table(spark.createDataFrame(rs, "doc_id long, text string, label string"),
+                                        ClassSet(("x", "y")), "label")
+    plans, write = {}, L.written_table
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+    monkeypatch.setattr(L, "written_table", noted)
+    feats = L.build_features(make(rows), True)
+    assert "Exchange" not in plans["tf"]
+    held = L.build_features(make([(7, "b b z", "x"), (8, "a b", "y")]), True, dictionary=feats)
+    assert held.block_cells[1] and "Join" not in held.block_cells[0]._jdf.queryExecution().executedPlan().toString()
+    run = L.run_steps(feats, 2, 2, 5.0, 0.01, (held,))
+    got = {r["doc_id"]: r["p_1"] for r in run.probabilities(held).collect()}
+    W = run.kept()
+    want = {r["doc_id"]: r["p_1"] for r in L.probabilities(W, held, 2, w_rows=feats.n_terms).collect()}
+    assert got.keys() == want.keys() and all(np.isclose(got[d], want[d], rtol=1e-12) for d in want)
+    assert feats.cells_with_terms().where("doc_id = 1 and term = 'b' and class_id = 1").count() == 1
+
+
+def test_a_term_with_the_key_of_another_is_joined(spark):
+    from types import SimpleNamespace
+    from pyspark.sql import functions as F
+    tf = spark.createDataFrame([("b",), ("z",)], "term string")
+    terms = lambda named: spark.createDataFrame([("b", named)], "h string, term string").select(
+        F.xxhash64("h").alias("tkey"), "term")
+    assert L._hashes_apart(tf, SimpleNamespace(bias_key=1, terms=terms("b")))
+    assert not L._hashes_apart(tf, SimpleNamespace(bias_key=1, terms=terms("other")))
+    assert not L._hashes_apart(tf, SimpleNamespace(bias_key="", terms=terms("b")))
