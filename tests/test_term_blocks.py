@@ -103,3 +103,60 @@ def test_a_term_with_the_key_of_another_is_joined(spark):
     assert L._hashes_apart(tf, SimpleNamespace(bias_key=1, terms=terms("b")))
     assert not L._hashes_apart(tf, SimpleNamespace(bias_key=1, terms=terms("other")))
     assert not L._hashes_apart(tf, SimpleNamespace(bias_key="", terms=terms("b")))
+
+
+def _many(spark, docs=60, words=40):
+    """A text corpus of two classes with a few hundred cells, and one of other texts."""
+    from bowline.sources.corpus import ClassSet, corpus_from_table
+    text = lambda d, shift: " ".join(f"w{(d * 7 + i * i + shift) % 97}" for i in range(words))
+    make = lambda ids, shift: corpus_from_table(
+        spark.createDataFrame([(d, text(d, shift), "xy"[d % 2]) for d in ids], "doc_id long, text string, label string"),
+        ClassSet(("x", "y")), "label")
+    return make(range(docs), 0), make(range(1000, 1000 + docs // 2), 5)
+
+
+def test_no_row_holds_a_block_and_results_do_not_depend_on_its_size(spark, monkeypatch):
+    """Cells and states lie in rows of bounded size, however many a block has."""
+    from pyspark.sql import functions as F
+    for n, v in dict(CHUNK_CELLS=32, PIECE_CELLS=100, STATE_BYTES=64, GROUPED=2, TERMS_OUT=3).items():
+        monkeypatch.setattr(TB, n, v)
+    corpus, more = _many(spark)
+    feats = L.build_features(corpus, True)
+    held = L.build_features(more, True, dictionary=feats)
+    run = L.run_steps(feats, 2, 3, 5.0, 0.01, (held,))
+    b = run.run.blocks
+    size = b.table.where("part >= 0").agg(F.max(F.octet_length("at") / 2).alias("n"), F.count("*").alias("rows")).first()
+    cells = feats.n_cells + held.bound
+    assert size["n"] <= cells / b.table.select("tb").distinct().count() / 3 and size["rows"] >= cells / (4 * 32)
+    assert run.run.state.agg(F.max(F.octet_length("docs"))).first()[0] <= 8 * 24
+    W = L.init_weights(feats, 2)
+    for _ in range(3):
+        W = L.gradient_step(W, feats, 2, 5.0, 0.01)
+    want = {r["tkey"]: (r["w_1"], r["w_2"]) for r in W.collect()}
+    got = {r["tkey"]: (r["w_1"], r["w_2"]) for r in run.weights().collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[t], want[t], rtol=1e-9, atol=1e-14) for t in want)
+    want = {r["doc_id"]: r["p_1"] for r in L.probabilities(W, held, 2, w_rows=feats.n_terms).collect()}
+    got = {r["doc_id"]: r["p_1"] for r in run.probabilities(held).collect()}
+    assert got.keys() == want.keys() and all(np.isclose(got[d], want[d], rtol=1e-9) for d in want)
+
+
+def test_a_step_reads_chunks_one_by_one_where_they_lie(spark):
+    """No cell is exchanged, a block's rows reach Python as they come, and the
+    session's own batch sizes hold again after the step."""
+    corpus, _ = _many(spark)
+    feats = L.build_features(corpus, False)
+    before = {n: spark.conf.get(n, None) for n in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")}
+    run = L.run_steps(feats, 2, 1, 0.01, 0.01)
+    assert before == {n: spark.conf.get(n, None) for n in before}
+    b = run.run.blocks
+    plan = b._meet(b.to_blocks(run.run.state), TB._scores_of(2, b.normalize), "part int, dc bigint, docs binary, z binary, tb bigint")
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and "Bucketed: true" in plan
+    assert "FlatMapGroupsInArrow" in plan and "CoGroup" not in plan
+
+
+def test_counts_keep_their_values_in_few_bytes():
+    for x, size in (([1, 2, 255], 1), ([0, 256], 2), ([70000, 1], 8), ([0.5, 1], 8), ([-1, 2], 8), ([], 8)):
+        x = np.array(x, float)
+        raw = TB._narrow(x).tobytes()
+        assert len(raw) == size * len(x) and TB._wide(raw, len(x)).tolist() == x.tolist()
